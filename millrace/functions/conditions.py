@@ -30,7 +30,7 @@ def is_holiday_season(month: Column) -> Column:
 
 
 def rate_band(rate: Column, low: float = 0.15, high: float = 0.25) -> Column:
-    return F.when(rate < low, "low").when(rate < high, "medium").otherwise("high")
+    return F.when(rate < low, "low_delay").when(rate < high, "medium_delay").otherwise("high_delay")
 
 
 def status_label(cancelled: Column, late: Column) -> Column:

@@ -108,6 +108,9 @@ def path_segment(url: Column, marker: str, index: int = 1) -> Column:
     return F.split_part(F.split_part(url, F.lit(marker), F.lit(2)), F.lit("/"), F.lit(index))
 
 
-def range_label(lo: Column, hi: Column) -> Column:
-    """``lo-hi`` in whole units."""
-    return F.concat(lo.cast("long").cast("string"), F.lit("-"), hi.cast("long").cast("string"))
+def range_label(lo: Column, hi: Column, unit: str) -> Column:
+    """``lo-hi unit`` in whole numbers, or one number when both are equal."""
+    whole = lambda c: c.cast("long").cast("string")
+    return F.when(lo == hi, F.concat(whole(lo), F.lit(f" {unit}"))).otherwise(
+        F.concat(whole(lo), F.lit("-"), whole(hi), F.lit(f" {unit}"))
+    )

@@ -79,6 +79,7 @@ def main() -> None:
     sf = args[0] if args else "0.01"
     sf_dir = f"/root/testdata/sf{sf}"
     spark = local_session()
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     queries, oracles = entry.queries(), entry.oracle_sql()
