@@ -36,17 +36,22 @@ def join_on(
     return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def attach(df: DataFrame, keys: Sequence[str], stats: dict[str, Column]) -> DataFrame:
+def attach(
+    df: DataFrame, keys: Sequence[str], stats: dict[str, Column], source: DataFrame | None = None
+) -> DataFrame:
     """Add whole-group statistics to every row.
 
     Aggregates first (partial sums on the map side) and joins the small result
     back, so a key with a third of the rows never sits in one window partition.
+    ``source`` names a cheaper frame of the same rows to aggregate, so that a
+    chain of these calls does not run its upstream plan again and again.
     """
+    source = df if source is None else source
     cols = [c.alias(n) for n, c in stats.items()]
     if not keys:
-        one = df.agg(F.struct(*cols).alias("s")).scalar()
+        one = source.agg(F.struct(*cols).alias("s")).scalar()
         return df.withColumns({n: one[n] for n in stats})
-    return join_on(df, df.groupBy(*keys).agg(*cols), keys, "left")
+    return join_on(df, source.groupBy(*keys).agg(*cols), keys, "left")
 
 
 def salted_join(

@@ -107,7 +107,7 @@ def bounded(
     cheaper frame with the same rows per key on which to measure the keys.
     """
     limit = limit or max_group_rows(df.sparkSession)
-    if fits(sizes or df, keys, limit):
+    if fits(df if sizes is None else sizes, keys, limit):
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({n: f(w) for n, f in columns.items()})
     blocks = with_halo(df, keys, order, before, after, limit)
@@ -184,7 +184,7 @@ def running(
     """
     limit = limit or max_group_rows(df.sparkSession)
     end = 0 if include_current else -1
-    if fits(sizes or df, keys, limit):
+    if fits(df if sizes is None else sizes, keys, limit):
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
         return df.withColumns({n: _RUNNING[k][0](c, w) for n, (k, c) in columns.items()})
 

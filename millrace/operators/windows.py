@@ -141,7 +141,7 @@ def prior_rate(
         out = bounded(out, [place], order, {"__prior": lambda w: F.lag("__rate").over(w)}, 1, sizes=df.select(place))
     else:
         raise ValueError("mode is 'row' or 'day'")
-    out = attach(out, [place], {"__mean": F.avg(outcome)})
+    out = attach(out, [place], {"__mean": F.avg(outcome)}, source=df)
     return out.withColumn(name, F.coalesce("__prior", "__mean", F.lit(fallback))).select(*df.columns, name)
 
 
@@ -189,7 +189,7 @@ def layered_rate(df: DataFrame, layers: Sequence[Sequence[str]], outcome: str, l
     """First available group mean over several groupings, then ``last``."""
     out = df
     for i, keys in enumerate(layers):
-        out = attach(out, keys, {f"__l{i}": F.avg(outcome)})
+        out = attach(out, keys, {f"__l{i}": F.avg(outcome)}, source=df)
     return out.withColumn(name, F.coalesce(*[F.col(f"__l{i}") for i in range(len(layers))], last)).select(
         *df.columns, name
     )
@@ -198,7 +198,7 @@ def layered_rate(df: DataFrame, layers: Sequence[Sequence[str]], outcome: str, l
 def volume_and_distance_weight(df: DataFrame, keys: Sequence[str], distance: str, name: str) -> DataFrame:
     """Share of all rows plus mean distance relative to the overall mean."""
     out = attach(df, keys, {"__n": F.count(F.lit(1)), "__d": F.avg(distance)})
-    out = attach(out, [], {"__all_n": F.sum(F.lit(1)), "__all_d": F.avg(distance)})
+    out = attach(out, [], {"__all_n": F.count(F.lit(1)), "__all_d": F.avg(distance)}, source=df)
     return out.withColumn(
         name, F.col("__n") / F.col("__all_n") + F.col("__d") / F.col("__all_d")
     ).select(*df.columns, name)

@@ -1,6 +1,6 @@
 """All registered queries; importing a plan module registers its queries."""
 
-from millrace.plans import joining, profiling, rates, stats  # noqa: F401
+from millrace.plans import joining, profiling, rates, stats, windowing  # noqa: F401
 from millrace.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

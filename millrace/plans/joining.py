@@ -173,11 +173,14 @@ def price_dividend_join(spark, sf):
 
 @query(
     "overlapping_texts",
-    "SELECT doc_id FROM documents WHERE lang = 'en' AND text IN (SELECT text FROM documents WHERE lang <> 'en')",
+    """SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
+    AND text IN (SELECT text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))""",
 )
 def overlapping_texts(spark, sf):
     docs = table(spark, sf, "documents")
-    return joins.shared_rows(docs.filter("lang = 'en'"), docs.filter("lang <> 'en'"), ["text"]).select("doc_id")
+    labels = table(spark, sf, "labels")
+    labelled, other = joins.shared_rows(docs, labels, ["doc_id"]), joins.unseen(docs, labels, ["doc_id"])
+    return joins.shared_rows(labelled, other, ["text"]).select("doc_id")
 
 
 @query(
