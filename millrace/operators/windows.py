@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from millrace.functions import maths, times
@@ -270,30 +270,31 @@ def local_minima(df: DataFrame, keys: Sequence[str], time: str, col: str, name:
     return out.withColumn(name, F.when(hit, 1).otherwise(0)).drop("__prev", "__next")
 
 
+def crossed(a: str, b: str, back: int = 0) -> Callable[[WindowSpec], Column]:
+    """1 where ``a`` rose above ``b`` exactly ``back`` rows ago."""
+
+    def over(w: WindowSpec) -> Column:
+        at = lambda c, n: F.lag(c, n).over(w) if n else F.col(c)
+        hit = (at(a, back + 1) <= at(b, back + 1)) & (at(a, back) > at(b, back))
+        return F.when(hit, 1).otherwise(0)
+
+    return over
+
+
+def held_since_cross(a: str, b: str, bars: int = 3) -> Callable[[WindowSpec], Column]:
+    """1 where ``a`` crossed above ``b`` ``bars`` rows ago and stayed above since."""
+    up = F.when(F.col(a) > F.col(b), 1).otherwise(0)
+    return lambda w: crossed(a, b, bars)(w) * F.min(up).over(w.rowsBetween(1 - bars, 0))
+
+
 def crossover(df: DataFrame, keys: Sequence[str], time: str, a: str, b: str, name: str) -> DataFrame:
     """1 where ``a`` was at or under ``b`` on the row before and is above it now."""
-    out = bounded(
-        df, keys, [time],
-        {"__above": lambda w: (F.lag(a).over(w) <= F.lag(b).over(w)) & (F.col(a) > F.col(b))}, 1,
-    )
-    return out.withColumn(name, F.when(F.col("__above"), 1).otherwise(0)).drop("__above")
+    return bounded(df, keys, [time], {name: crossed(a, b)}, 1)
 
 
 def confirmed_cross(df: DataFrame, keys: Sequence[str], time: str, a: str, b: str, name: str, bars: int = 3) -> DataFrame:
     """1 where ``a`` crossed above ``b`` ``bars`` rows ago and stayed above since."""
-    crossed = crossover(df, keys, time, a, b, "__cross")
-    above = F.when(F.col(a) > F.col(b), 1).otherwise(0)
-    out = bounded(
-        crossed.withColumn("__up", above), keys, [time],
-        {
-            "__then": lambda w: F.lag("__cross", bars).over(w),
-            "__held": lambda w: F.min("__up").over(w.rowsBetween(1 - bars, 0)),
-        },
-        bars,
-    )
-    return out.withColumn(
-        name, F.when((F.col("__then") == 1) & (F.col("__held") == 1), 1).otherwise(0)
-    ).drop("__cross", "__up", "__then", "__held")
+    return bounded(df, keys, [time], {name: held_since_cross(a, b, bars)}, bars + 1)
 
 
 def within_next(df: DataFrame, keys: Sequence[str], time: str, flag: str, name: str, bars: int = 5) -> DataFrame:
@@ -314,10 +315,8 @@ def within_next(df: DataFrame, keys: Sequence[str], time: str, flag: str, name:
 
 def rising_edge(df: DataFrame, keys: Sequence[str], time: str, flag: str, name: str) -> DataFrame:
     """1 on the first row of a run of the flag; the key's first row never counts."""
-    out = bounded(df, keys, [time], {"__prev": lambda w: F.lag(flag).over(w)}, 1)
-    return out.withColumn(
-        name, F.when((F.col("__prev") == 0) & (F.col(flag) == 1), 1).otherwise(0)
-    ).drop("__prev")
+    hit = lambda w: F.when((F.lag(flag).over(w) == 0) & (F.col(flag) == 1), 1).otherwise(0)
+    return bounded(df, keys, [time], {name: hit}, 1)
 
 
 def rolling_position(df: DataFrame, keys: Sequence[str], time: str, col: str, name: str, bars: int = 5, of: str = "max") -> DataFrame:
