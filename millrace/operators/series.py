@@ -235,7 +235,7 @@ def zigzag(
     bar close the line.
     """
     keys = [symbol] if threshold_col is None else [symbol, threshold_col]
-    rows = df.select(*keys, F.unix_micros(time).alias("__time"), F.col("close").cast("double").alias("close"))
+    rows = df.select(*keys, F.unix_micros(F.col(time).cast("timestamp")).alias("__time"), F.col("close").cast("double").alias("close"))
     schema = T.StructType(
         [T.StructField(f"__key{i}", rows.schema[k].dataType) for i, k in enumerate(keys)]
         + [T.StructField("__time", T.LongType()), T.StructField("close", T.DoubleType())]
@@ -257,12 +257,12 @@ def threshold_sweep(df: DataFrame, symbol: str, time: str, thresholds: Sequence[
 
 def zigzag_line(df: DataFrame, pivots: DataFrame, symbol: str, time: str) -> DataFrame:
     """The straight line between neighbouring pivots at every bar."""
-    marks = pivots.select(symbol, time, F.struct(F.unix_micros(time).alias("t"), F.col("close").alias("p")).alias("__p"))
+    marks = pivots.select(symbol, time, F.struct(F.unix_micros(F.col(time).cast("timestamp")).alias("t"), F.col("close").alias("p")).alias("__p"))
     bars = df.select(symbol, time, "close").join(marks, [symbol, time], "left")
     out = running(bars, [symbol], [time], {"__a": ("last", F.col("__p"))})
     out = following(out, [symbol], [time], {"__b": ("last", F.col("__p"))})
     a, b = F.col("__a"), F.col("__b")
-    part = maths.share((F.unix_micros(time) - a["t"]).cast("double"), b["t"] - a["t"])
+    part = maths.share((F.unix_micros(F.col(time).cast("timestamp")) - a["t"]).cast("double"), b["t"] - a["t"])
     line = a["p"] + F.coalesce(part, F.lit(0.0)) * (b["p"] - a["p"])
     return out.select(symbol, time, "close", line.alias("line"))
 
