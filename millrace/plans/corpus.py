@@ -349,7 +349,7 @@ def us_date_texts(spark, sf):
 
 @query(
     "epoch_conversion",
-    """SELECT event_id, epoch_ms(ts) AS ms, strftime(ts, '%Y-%m-%d %H:%M') AS bar, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS day_no,
+    """SELECT event_id, epoch_us(ts) // 1000 AS ms, strftime(ts, '%Y-%m-%d %H:%M') AS bar, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS day_no,
     CAST(isodow(ts) AS INTEGER) AS weekday, strftime(ts, '%b') AS month FROM events""",
 )
 def epoch_conversion(spark, sf):
