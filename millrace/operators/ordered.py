@@ -55,13 +55,13 @@ def number_rows(
     before = (
         pieces.groupBy(*keys, PIECE)
         .count()
-        .withColumn("__before", F.coalesce(F.sum("count").over(_carried(keys)), F.lit(0)))
+        .withColumn("__ord_before", F.coalesce(F.sum("count").over(_carried(keys)), F.lit(0)))
         .drop("count")
     )
     return (
         join_on(pieces.withColumn(name, local), before, [*keys, PIECE], "left")
-        .withColumn(name, F.col(name) + F.col("__before"))
-        .drop("__before", PIECE)
+        .withColumn(name, F.col(name) + F.col("__ord_before"))
+        .drop("__ord_before", PIECE)
     )
 
 
@@ -155,13 +155,13 @@ _RUNNING = {
     ),
     "last": (
         _last_value,
-        lambda c: F.max_by(c, F.when(c.isNotNull(), F.col("__n"))),
+        lambda c: F.max_by(c, F.when(c.isNotNull(), F.col("__ord_n"))),
         _last_value,
         lambda carry, here: F.coalesce(here, carry),
     ),
     "first": (
         _first_value,
-        lambda c: F.min_by(c, F.when(c.isNotNull(), F.col("__n"))),
+        lambda c: F.min_by(c, F.when(c.isNotNull(), F.col("__ord_n"))),
         _first_value,
         lambda carry, here: F.coalesce(carry, here),
     ),
@@ -188,23 +188,23 @@ def running(
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
         return df.withColumns({n: _RUNNING[k][0](c, w) for n, (k, c) in columns.items()})
 
-    inputs = {f"__v_{n}": c for n, (_, c) in columns.items()}
+    inputs = {f"__ord_v_{n}": c for n, (_, c) in columns.items()}
     pieces = _pieces(df.withColumns(inputs), keys, order, limit)
     in_piece = Window.partitionBy(*keys, PIECE).orderBy(*order)
-    pieces = pieces.withColumn("__n", F.row_number().over(in_piece))
-    w = Window.partitionBy(*keys, PIECE).orderBy("__n").rowsBetween(Window.unboundedPreceding, end)
-    local = pieces.withColumns({n: _RUNNING[k][0](F.col(f"__v_{n}"), w) for n, (k, _) in columns.items()})
+    pieces = pieces.withColumn("__ord_n", F.row_number().over(in_piece))
+    w = Window.partitionBy(*keys, PIECE).orderBy("__ord_n").rowsBetween(Window.unboundedPreceding, end)
+    local = pieces.withColumns({n: _RUNNING[k][0](F.col(f"__ord_v_{n}"), w) for n, (k, _) in columns.items()})
     totals = pieces.groupBy(*keys, PIECE).agg(
-        *[_RUNNING[k][1](F.col(f"__v_{n}")).alias(f"__t_{n}") for n, (k, _) in columns.items()]
+        *[_RUNNING[k][1](F.col(f"__ord_v_{n}")).alias(f"__ord_t_{n}") for n, (k, _) in columns.items()]
     )
     carry = totals.select(
         *keys,
         PIECE,
-        *[_RUNNING[k][2](F.col(f"__t_{n}"), _carried(keys)).alias(f"__c_{n}") for n, (k, _) in columns.items()],
+        *[_RUNNING[k][2](F.col(f"__ord_t_{n}"), _carried(keys)).alias(f"__ord_c_{n}") for n, (k, _) in columns.items()],
     )
     out = join_on(local, carry, [*keys, PIECE], "left")
     out = out.withColumns(
-        {n: _RUNNING[k][3](F.col(f"__c_{n}"), F.col(n)) for n, (k, _) in columns.items()}
+        {n: _RUNNING[k][3](F.col(f"__ord_c_{n}"), F.col(n)) for n, (k, _) in columns.items()}
     )
     return out.select(*df.columns, *columns)
 

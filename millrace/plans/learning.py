@@ -104,10 +104,10 @@ def flattened_vectors(spark, sf):
     return clean.vector_columns(df.select("late", "features"), "features", size).drop("features")
 
 
-@query("flattened_embeddings", "SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i}" for i in range(8)) + " FROM embeddings")
+@query("flattened_embeddings", "SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i}" for i in range(64)) + " FROM embeddings")
 def flattened_embeddings(spark, sf):
-    df = clean.vector_columns(table(spark, sf, "embeddings"), "embedding", 8).drop("embedding")
-    return df.withColumns({f"f{i}": F.col(f"f{i}").cast("double") for i in range(8)})
+    df = clean.vector_columns(table(spark, sf, "embeddings"), "embedding", 64).drop("embedding")
+    return df.withColumns({f"f{i}": F.col(f"f{i}").cast("double") for i in range(64)})
 
 
 # --- streams ------------------------------------------------------------------
