@@ -94,7 +94,7 @@ def time_profile(df: DataFrame, roles: Roles, order: Sequence[str], mode: str =
     """Clock columns, prior-period rate, same-day history and congestion."""
     r, base = roles, stage(clock_columns(df, roles))
     out = prior_rate(base, r.origin, r.day, order, r.outcome, "prior_rate", mode, RATE_FALLBACK)
-    out = same_day_so_far(out, r.origin, r.day, order, r.outcome)
+    out = same_day_so_far(out, r.origin, r.day, order, r.outcome, sizes=base)
     if "daily_operations" not in out.columns:
         out = attach(out, [r.origin, r.day], {"daily_operations": F.count(F.lit(1))}, source=base)
     out = stage(out)

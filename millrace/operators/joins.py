@@ -13,7 +13,7 @@ from millrace.operators.ordered import running
 from millrace.session import stage
 
 # Cells are refined until none holds more right-hand points than this.
-_CELL_POINTS = 256
+_CELL_POINTS = 32
 _SPHERE = 2.0  # the longest chord of the unit sphere
 
 

@@ -48,11 +48,12 @@ def words(col: Column) -> Column:
 
 
 def _grams(tokens: Column, n: int) -> Column:
-    if n == 1:
-        return tokens
-    starts = F.sequence(F.lit(1), F.size(tokens) - F.lit(n - 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-    return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
+    """Runs of ``n`` tokens, built from shifted slices so that tokens are not split again per gram."""
+    size = F.greatest(F.size(tokens) - F.lit(n - 1), F.lit(0))
+    grams = F.slice(tokens, F.lit(1), size)
+    for shift in range(1, n):
+        grams = F.zip_with(grams, F.slice(tokens, F.lit(shift + 1), size), lambda a, b: F.concat_ws(" ", a, b))
+    return grams
 
 
 def _with_scores(df: DataFrame) -> DataFrame:
@@ -70,11 +71,12 @@ def rouge_n(df: DataFrame, key: Sequence[str], prediction: str, reference: str,
     map side; no join is needed.
     """
     side = lambda c, p: F.transform(
-        _grams(words(F.col(c)), n), lambda g: F.struct(g.alias("gram"), F.lit(p).alias("p"), F.lit(1 - p).alias("r"))
+        _grams(F.col(c), n), lambda g: F.struct(g.alias("gram"), F.lit(p).alias("p"), F.lit(1 - p).alias("r"))
     )
+    tokens = df.select(*key, words(F.col(prediction)).alias("__p"), words(F.col(reference)).alias("__r"))
     # A null gram keeps rows that have no grams at all.
     none = F.array(F.struct(F.lit(None).cast("string").alias("gram"), F.lit(0).alias("p"), F.lit(0).alias("r")))
-    grams = df.select(*key, F.explode(F.concat(side(prediction, 1), side(reference, 0), none)).alias("g"))
+    grams = tokens.select(*key, F.explode(F.concat(side("__p", 1), side("__r", 0), none)).alias("g"))
     counts = grams.groupBy(*key, "g.gram").agg(F.sum("g.p").alias("p"), F.sum("g.r").alias("r"))
     return _with_scores(
         counts.groupBy(*key).agg(

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import maths, times
 from millrace.operators.keyed import attach, join_on
@@ -54,6 +55,32 @@ def prefer_first_source(sources: Sequence[DataFrame], key: str) -> DataFrame:
     return out.select(key, "__row.*") if rest else out.select(key)
 
 
+def _row_frame(kind: str, col: str, dtype: T.DataType, lo: int, hi: int) -> Callable[[WindowSpec], Column]:
+    """Aggregate over a row frame.
+
+    Spark adds up a sliding frame anew for every row. Sums and counts of whole
+    numbers are instead taken as the gap of two growing totals, which is exact
+    and costs the same for any frame length.
+    """
+    whole = isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    if kind not in ("sum", "count", "avg") or not (whole or kind == "count"):
+        return lambda w: _ROW_KINDS[kind](col).over(w.rowsBetween(lo, hi))
+    start = Window.unboundedPreceding
+
+    def gap(agg: Callable, w: WindowSpec) -> Column:
+        upto, before = agg(col).over(w.rowsBetween(start, hi)), agg(col).over(w.rowsBetween(start, lo - 1))
+        return F.coalesce(upto, F.lit(0)) - F.coalesce(before, F.lit(0))
+
+    def over(w: WindowSpec) -> Column:
+        n = gap(F.count, w)
+        if kind == "count":
+            return n
+        total = F.when(n > 0, gap(F.sum, w))  # null without values, as a plain sum
+        return total if kind == "sum" else total / n
+
+    return over
+
+
 def trailing(
     df: DataFrame,
     keys: Sequence[str],
@@ -76,11 +103,12 @@ def trailing(
     end = 0 if include_current else -1
     if frame == "rows":
         cols = {f"__v_{n}": c for n, (_, c) in columns.items()}
+        wide = df.withColumns(cols)
         over = {
-            n: (lambda k, n: lambda w: _ROW_KINDS[k](f"__v_{n}").over(w.rowsBetween(-span, end)))(k, n)
-            for n, (k, _) in columns.items()
+            n: _row_frame(kind, f"__v_{n}", wide.schema[f"__v_{n}"].dataType, -span, end)
+            for n, (kind, _) in columns.items()
         }
-        return bounded(df.withColumns(cols), keys, order, over, span, sizes=sizes).drop(*cols)
+        return bounded(wide, keys, order, over, span, sizes=sizes).drop(*cols)
     if frame != "days" or day is None:
         raise ValueError("frame is 'rows', or 'days' with a day column")
     daily = df.groupBy(*keys, day).agg(
@@ -145,12 +173,15 @@ def prior_rate(
     return out.withColumn(name, F.coalesce("__prior", "__mean", F.lit(fallback))).select(*df.columns, name)
 
 
-def same_day_so_far(df: DataFrame, place: str, day: str, order: Sequence[str], outcome: str) -> DataFrame:
+def same_day_so_far(
+    df: DataFrame, place: str, day: str, order: Sequence[str], outcome: str, sizes: DataFrame | None = None
+) -> DataFrame:
     """Rows and late rows strictly earlier on the same day and the smoothed share ``(d + 0.5) / (n + 1)``."""
     out = running(
         df, [place, day], order,
         {"prior_rows_today": ("count", F.lit(1)), "prior_late_today": ("sum", F.col(outcome))},
         include_current=False,
+        sizes=sizes,
     )
     out = out.withColumn("prior_late_today", F.coalesce("prior_late_today", F.lit(0)))
     return out.withColumn(

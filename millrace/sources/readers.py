@@ -102,7 +102,9 @@ def flatten_tree(df: DataFrame, children: str = "c", depth: str = "d", max_depth
         plain = [f.name for f in node.fields if f.name != children]
         rows = level.select(*[F.col(f"n.{c}").alias(c) for c in plain])
         found = rows if found is None else found.unionByName(rows)
-        if children not in node.names:
+        below = node[children].dataType if children in node.names else None
+        # Always-empty children are read as arrays of text.
+        if not isinstance(below, T.ArrayType) or not isinstance(below.elementType, T.StructType):
             return found
         level = level.filter(F.col(f"n.{depth}") < max_depth).select(F.explode(f"n.{children}").alias("n"))
 
