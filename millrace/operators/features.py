@@ -1,7 +1,8 @@
 """Feature sets built from the window and keyed operators.
 
-Each set stages its input once: its group statistics and windows then read the
-columns they need from files instead of running the upstream plan again.
+A set reads its input several times, once per grouping and each time only the
+columns it needs. Over files that is cheap; an input that is costly to compute
+should be staged first, as ``all_profiles`` does between its sets.
 """
 
 from __future__ import annotations
@@ -37,11 +38,11 @@ def place_profile(
     df: DataFrame, roles: Roles, order: Sequence[str], carrier: str, frame: str = "rows", include_current: bool = True
 ) -> DataFrame:
     """Eight features of the origin and the route name."""
-    r, base = roles, stage(df)
+    r, base = roles, df
     mine = F.col(r.carrier) == carrier
     rate = F.when(mine, F.col(r.outcome))
     sizes = base.select(r.origin, r.dest)
-    out = attach(base, [r.origin, r.day], {"daily_operations": F.count(F.lit(1))})
+    out = attach(df, [r.origin, r.day], {"daily_operations": F.count(F.lit(1))})
     kw = {"frame": frame, "day": r.day, "include_current": include_current, "sizes": sizes}
     out = trailing(
         out, [r.origin], order,
@@ -92,12 +93,11 @@ def clock_columns(df: DataFrame, roles: Roles) -> DataFrame:
 
 def time_profile(df: DataFrame, roles: Roles, order: Sequence[str], mode: str = "row") -> DataFrame:
     """Clock columns, prior-period rate, same-day history and congestion."""
-    r, base = roles, stage(clock_columns(df, roles))
+    r, base = roles, clock_columns(df, roles)
     out = prior_rate(base, r.origin, r.day, order, r.outcome, "prior_rate", mode, RATE_FALLBACK)
     out = same_day_so_far(out, r.origin, r.day, order, r.outcome, sizes=base)
     if "daily_operations" not in out.columns:
         out = attach(out, [r.origin, r.day], {"daily_operations": F.count(F.lit(1))}, source=base)
-    out = stage(out)
     out = trailing(
         out, [r.origin, "weekday", "dep_hour"], order, {"__usual": ("avg", F.col("daily_operations"))}, 365,
         include_current=False, sizes=base.select(r.origin, "weekday", "dep_hour"),
@@ -147,14 +147,14 @@ def reading_profile(
 ) -> DataFrame:
     """Extreme flags and score, heat index, rolling z-scores, rapid change and seasonal anomaly."""
     base = extreme_flags(df, high=[precipitation, wind], low=[visibility], both=[temperature], accuracy=accuracy)
-    base = stage(base)
     flags = [f"extreme_{precipitation}", f"extreme_{wind}", f"extreme_{temperature}", f"low_{visibility}"]
     out = combined_score(base, flags, roles.outcome, "extreme_score")
     out = out.withColumn("heat_index", maths.heat_index(F.col(temperature), F.col(humidity)))
-    out = rolling_zscore(out, [roles.origin], order, [temperature, wind], 168)
+    out = rolling_zscore(out, [roles.origin], order, [temperature, wind], 168, sizes=df)
     rapid = (F.abs(f"{temperature}_z") > 3) | (F.abs(f"{wind}_z") > 3)
     out = out.withColumns({"rapid_change": conditions.flag(rapid), "__month": F.month(roles.day)})
-    out = seasonal_zscore(stage(out), [roles.origin, "__month"], temperature, "seasonal_z")
+    months = df.withColumn("__month", F.month(roles.day))
+    out = seasonal_zscore(out, [roles.origin, "__month"], temperature, "seasonal_z", source=months)
     return out.drop("__month")
 
 
@@ -163,7 +163,7 @@ def carrier_profile(df: DataFrame, roles: Roles, order: Sequence[str], carrier:
 
     Needs the columns of ``clock_columns``.
     """
-    r, base = roles, stage(df)
+    r, base = roles, df
     late, mine = F.col(r.outcome), F.col(r.carrier) == carrier
     overall = base.agg(
         F.struct(
@@ -212,7 +212,9 @@ def all_profiles(df: DataFrame, roles: Roles, order: Sequence[str], carrier: str
     """Place, time and carrier sets in order."""
     return (
         df.transform(place_profile, roles, order, carrier)
+        .transform(stage)
         .transform(time_profile, roles, order)
+        .transform(stage)
         .transform(carrier_profile, roles, order, carrier)
     )
 

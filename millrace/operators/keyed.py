@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import max_group_rows
+from millrace.session import max_group_rows, stage
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -43,6 +43,8 @@ def attach(
 
     Aggregates first (partial sums on the map side) and joins the small result
     back, so a key with a third of the rows never sits in one window partition.
+    The result is staged: its file size is then known when the join is planned,
+    and a table under the broadcast threshold spares the rows a shuffle.
     ``source`` names a cheaper frame of the same rows to aggregate, so that a
     chain of these calls does not run its upstream plan again and again.
     """
@@ -51,7 +53,7 @@ def attach(
     if not keys:
         one = source.agg(F.struct(*cols).alias("s")).scalar()
         return df.withColumns({n: one[n] for n in stats})
-    return join_on(df, source.groupBy(*keys).agg(*cols), keys, "left")
+    return join_on(df, stage(source.groupBy(*keys).agg(*cols)), keys, "left")
 
 
 def salted_join(

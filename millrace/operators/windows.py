@@ -189,21 +189,23 @@ def same_day_so_far(
     )
 
 
-def rolling_zscore(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], back: int = 168) -> DataFrame:
+def rolling_zscore(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], back: int = 168, sizes: DataFrame | None = None
+) -> DataFrame:
     """Mean, deviation and z-score of each column over the last ``back`` rows and this one."""
     over = {}
     for c in cols:
         over[f"{c}_mean"] = ("avg", F.col(c))
         over[f"{c}_std"] = ("stddev", F.col(c))
-    out = trailing(df, keys, order, over, back, sizes=df.select(*keys))
+    out = trailing(df, keys, order, over, back, sizes=sizes)
     return out.withColumns(
         {f"{c}_z": maths.share(F.col(c) - F.col(f"{c}_mean"), F.col(f"{c}_std")) for c in cols}
     )
 
 
-def seasonal_zscore(df: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
+def seasonal_zscore(df: DataFrame, keys: Sequence[str], col: str, name: str, source: DataFrame | None = None) -> DataFrame:
     """z-score in the whole group, negatives and undefined values as 0."""
-    out = attach(df, keys, {"__mean": F.avg(col), "__std": F.stddev(col)})
+    out = attach(df, keys, {"__mean": F.avg(col), "__std": F.stddev(col)}, source=source)
     z = maths.share(F.col(col) - F.col("__mean"), F.col("__std"))
     return out.withColumn(name, F.when(z > 0, z).otherwise(F.lit(0.0))).drop("__mean", "__std")
 

@@ -37,6 +37,18 @@ def links_once_overall(spark, sf):
     return sets.first_occurrences(_links(spark, sf), ["href"], ["page_id", "pos"])
 
 
+@query(
+    "pooled_start_pages",
+    f"""WITH {_LINKS}, p AS (SELECT CASE WHEN url LIKE 'https:%' THEN 0 ELSE 1 END AS source_no, page_id, pos, href FROM links)
+    SELECT href, min(source_no) AS source_no, CAST(arg_min(page_id, (source_no, page_id, pos)) AS BIGINT) AS page_id,
+    CAST(arg_min(pos, (source_no, page_id, pos)) AS INTEGER) AS pos FROM p GROUP BY href""",
+)
+def pooled_start_pages(spark, sf):
+    pages = table(spark, sf, "pages")
+    lists = [web.extract_links(pages.filter(cond)) for cond in ("url LIKE 'https:%'", "NOT url LIKE 'https:%'")]
+    return sets.first_occurrences(sets.stack_sources(lists), ["href"], ["source_no", "page_id", "pos"])
+
+
 @query("service_links_dropped", f"WITH {_LINKS} SELECT page_id, CAST(pos AS INTEGER) AS pos, href FROM links WHERE NOT regexp_matches(href, '^/(The|De)')")
 def service_links_dropped(spark, sf):
     return web.drop_service_links(_links(spark, sf), "^/(The|De)")

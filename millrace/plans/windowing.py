@@ -516,10 +516,31 @@ def reading_profile(spark, sf):
     return features.reading_profile(df, Roles(), LEG_ORDER, "temp", "humidity", "wind", "rain", "minutes")
 
 
-@query("carrier_profile")
+@query(
+    "carrier_profile",
+    f"""WITH {LEGS}, t AS (SELECT *, isodow(day) AS dow, (hhmm // 100) || '_' || (hhmm % 100 // 15) AS bucket,
+      CASE WHEN hhmm // 100 BETWEEN 5 AND 9 THEN 'morning' WHEN hhmm // 100 BETWEEN 10 AND 15 THEN 'midday'
+      WHEN hhmm // 100 BETWEEN 16 AND 19 THEN 'evening' ELSE 'night' END AS part FROM legs),
+    o AS (SELECT quantile_disc(late, 0.5) AS median, quantile_disc(late, 0.3) AS p30, count(*) AS all_n, avg(distance) AS all_d FROM legs),
+    v AS (SELECT origin, count(*) AS n FROM legs WHERE carrier = 'F' GROUP BY 1),
+    h AS (SELECT origin FROM v WHERE n >= (SELECT quantile_disc(n, 0.85) FROM v)),
+    w AS (SELECT *, coalesce(avg(CASE WHEN carrier = 'F' THEN late END) OVER {_win("origin, part", "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")},
+        avg(late) OVER (PARTITION BY origin), median) AS part_rate,
+      (sum(late) OVER k + 3 * p30) / (count(*) OVER k + 3) AS weekday_rate,
+      coalesce(avg(late) OVER (PARTITION BY tail), avg(late) OVER r, median) AS aircraft_rate,
+      coalesce(minutes / avg(minutes) OVER {_win("origin, dest", _BEFORE.format(365))}, 1) AS schedule_ratio,
+      avg(late) OVER (PARTITION BY origin, bucket) AS b, count(*) OVER r / all_n + avg(distance) OVER r / all_d AS route_importance
+      FROM t, o WINDOW k AS (PARTITION BY origin, dest, dow), r AS (PARTITION BY origin, dest))
+    SELECT leg_id, line, distance, round(part_rate, 6) AS part_rate, round(weekday_rate, 6) AS weekday_rate, round(aircraft_rate, 6) AS aircraft_rate,
+    CASE WHEN origin IN (SELECT origin FROM h) THEN 1 ELSE 0 END AS is_hub, round(schedule_ratio, 6) AS schedule_ratio,
+    round(coalesce(b, part_rate), 6) AS bucket_rate, round(route_importance, 6) AS route_importance FROM w""",
+)
 def carrier_profile(spark, sf):
     df = features.clock_columns(legs(spark, sf), Roles())
-    return features.carrier_profile(df, Roles(), LEG_ORDER, "F")
+    out = features.carrier_profile(df, Roles(), LEG_ORDER, "F", 1_000_000)
+    return _out(
+        out, "part_rate", "weekday_rate", "aircraft_rate", "is_hub", "schedule_ratio", "bucket_rate", "route_importance", digits=6
+    )
 
 
 @query("all_profiles")

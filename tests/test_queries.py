@@ -19,7 +19,7 @@ def test_agrees_with_sql(spark, con, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["full_cleaning_pass", "early_cleaning_pass", "time_profile", "reading_profile", "carrier_profile"]
+    "name", ["full_cleaning_pass", "early_cleaning_pass", "time_profile", "reading_profile", "all_profiles"]
 )
 def test_passes_keep_every_row(spark, name):
     from millrace.plans.tables import legs
