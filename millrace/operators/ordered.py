@@ -12,6 +12,7 @@ state from piece to piece. Both ways give the same rows.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.keyed import join_on, largest_group
-from millrace.session import max_group_rows, stage
+from millrace.session import max_group_rows, stage, stage_dir
 
 PIECE = "__piece"
 
@@ -355,32 +356,29 @@ def fold(
     )
 
     def one_block(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        names = [f.name for f in both.fields]
+        if not len(left):  # the key ended in an earlier block
+            return pd.DataFrame(columns=names)
         state = json.loads(right["__state"].iloc[0]) if len(right) else None
-        if len(left):
-            left = left.sort_values("__rn").drop(columns=["__rn", "__block"]).reset_index(drop=True)
-            out, state = step(key, state, left)
-        else:
-            out = pd.DataFrame(columns=cols)
-        out = out[cols].copy()
-        out["__state"] = None
-        tail = pd.DataFrame({"__state": [json.dumps(state)]})
-        frame = pd.concat([out, tail], ignore_index=True)
+        left = left.sort_values("__rn").drop(columns=["__rn", "__block"]).reset_index(drop=True)
+        out, state = step(key, state, left)
+        frame = out[cols].copy()
+        frame["__state"] = None
+        if not left["__last"].iloc[-1]:
+            frame = pd.concat([frame, pd.DataFrame({"__state": [json.dumps(state)]})], ignore_index=True)
         for i, v in enumerate(key):
             frame[f"__k{i}"] = v
-        return frame.reindex(columns=[f.name for f in both.fields])
+        return frame.reindex(columns=names)
 
-    states = df.sparkSession.createDataFrame([], state_schema)
-    done: DataFrame | None = None
+    # Every block is written under one folder, which is read once at the end.
+    spark = df.sparkSession
+    folder = f"{stage_dir(spark).rstrip('/')}/fold-{uuid.uuid4().hex}"
+    states = spark.createDataFrame([], state_schema)
     for b in range(last_block + 1):
         here = rows.filter(F.col("__block") == b)
-        fed = stage(
-            here.groupBy(*key_list)
-            .cogroup(states.groupBy(*key_list))
-            .applyInPandas(one_block, both)
-        )
-        states = fed.filter("__state is not null").select(
+        path = f"{folder}/__b={b}"
+        here.groupBy(*key_list).cogroup(states.groupBy(*key_list)).applyInPandas(one_block, both).write.parquet(path)
+        states = spark.read.schema(both).parquet(path).filter("__state is not null").select(
             *[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)], "__state"
         )
-        out = fed.filter("__state is null").select(*cols)
-        done = out if done is None else done.unionByName(out)
-    return done
+    return spark.read.schema(both).parquet(folder).filter("__state is null").select(*cols)

@@ -38,7 +38,7 @@ def stage_dir(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
@@ -52,7 +52,8 @@ def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage and fixes row placement, and survives lost executors
-    because the rows live in files rather than in executor storage.
+    because the rows live in files rather than in executor storage. The folder
+    may be emptied once the results that were built on it are written.
     """
     spark = df.sparkSession
     path = f"{stage_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
