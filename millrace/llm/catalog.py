@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, minhash, oracles
+from millrace.llm import decontaminate, importance, lines, minhash, oracles, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op6_minhash": oracles.OP6, "op9_decontaminate": oracles.OP9}
+ORACLES: dict[str, str] = {"op6_minhash": oracles.OP6, "op9_decontaminate": oracles.OP9, "op10_lines": oracles.OP10}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,3 +32,25 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.decontaminate(docs, items))
+
+
+@query
+def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents")).drop("group")
+
+
+@query
+def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.drop_lines(table(spark, sf_dir, "documents"))
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    return found.select("doc_id", "source", "n_lines", "n_dropped", "mostly_repeated", F.length("text").cast("long").alias("n_chars_left"), digest.alias("text_md5"))

@@ -249,11 +249,8 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark passage.
-
-    Rows that share a ``doc_id`` (or have none) are judged by their text alone.
-    """
-    hashed = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    """``docs`` without the documents that hold a benchmark passage, judged by text alone."""
+    hashed = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     marked = docs.withColumn("__text_key", hashed)
     texts = marked.select(F.col("__text_key").alias("doc_id"), "text")
     bad = decontaminate(texts, items).where("n_hit > 0").select(F.col("doc_id").alias("__text_key")).distinct()

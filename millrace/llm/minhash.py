@@ -230,7 +230,7 @@ def _across(entries: DataFrame, links: DataFrame, close) -> DataFrame:
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of every component, the one with the smallest ``doc_id``."""
-    gone = near_duplicates(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"))
+    gone = near_duplicates(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t"))
     marked = docs.withColumn("__text_key", _text_key(F.col("text").cast("string")))
-    same = (F.col("__text_key") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d"))
+    same = (F.col("__text_key") == F.col("__t")) & F.col("doc_id").eqNullSafe(F.col("__d"))
     return marked.join(gone.distinct(), same, "left_anti").select(*docs.columns)

@@ -41,3 +41,26 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(p.n_hit, 0)
   sha256(coalesce(t.items, '')) AS items_sha256, coalesce(p.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)
 """
+
+OP10 = r"""
+WITH p AS (SELECT DISTINCT source, text FROM documents WHERE text IS NOT NULL),
+t AS (SELECT source, count(*) AS n FROM p GROUP BY source),
+pl AS (SELECT source, unnest(list_distinct(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')))) AS line FROM p),
+b AS (
+  SELECT pl.source, list(line) AS boiler
+  FROM (SELECT source, line, count(*) AS c FROM pl WHERE line <> '' GROUP BY source, line) pl
+  JOIN t ON pl.source IS NOT DISTINCT FROM t.source
+  WHERE c >= 3 AND n >= 20 AND c > 0.05 * n GROUP BY pl.source),
+d AS (
+  SELECT doc_id, d.source, text, string_split(coalesce(text, ''), chr(10)) AS every, coalesce(b.boiler, []) AS boiler
+  FROM documents d LEFT JOIN b ON d.source IS NOT DISTINCT FROM b.source),
+s AS (SELECT *, list_filter(every, lambda x: trim(x, ' ') = '' OR NOT list_contains(boiler, trim(x, ' '))) AS stays FROM d),
+z AS (
+  SELECT *, len(every) - len(stays) AS lost,
+    length(array_to_string(stays, '')) < 0.5 * length(array_to_string(every, '')) AS too_much FROM s),
+r AS (SELECT *, CASE WHEN text IS NULL OR too_much OR lost = 0 THEN text ELSE array_to_string(stays, chr(10)) END AS cut FROM z)
+SELECT doc_id, source, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(every) END AS BIGINT) AS n_lines,
+  CAST(CASE WHEN too_much THEN 0 ELSE lost END AS BIGINT) AS n_dropped, too_much AS mostly_repeated,
+  CAST(length(cut) AS BIGINT) AS n_chars_left, md5(coalesce(cut, '')) AS text_md5
+FROM r
+"""
