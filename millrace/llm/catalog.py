@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, importance, lines, minhash, oracles, packing, sharding
+from millrace.llm import decontaminate, importance, language, lines, minhash, oracles, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op6_minhash": oracles.OP6, "op9_decontaminate": oracles.OP9, "op10_lines": oracles.OP10}
@@ -54,3 +54,10 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.drop_lines(table(spark, sf_dir, "documents"))
     digest = F.md5(F.coalesce("text", F.lit("")))
     return found.select("doc_id", "source", "n_lines", "n_dropped", "mostly_repeated", F.length("text").cast("long").alias("n_chars_left"), digest.alias("text_md5"))
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.learn(language.training(docs)))
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")

@@ -9,6 +9,7 @@ very long text stays small.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -89,7 +90,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[places[0] : places[-1]], places - places[0]
 
 
-def _edges(inside: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def edges(inside: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of True, cut at ``breaks``."""
     before = np.empty_like(inside)
     before[:1], before[1:] = False, inside[:-1]
@@ -122,6 +123,15 @@ def _cut(data: np.ndarray, places: np.ndarray, table: np.ndarray, at: int) -> in
     return end
 
 
+def cuts(data: np.ndarray, places: np.ndarray, table: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pieces of a buffer of bytes that end between words."""
+    at = 0
+    while at < len(data):
+        end = _cut(data, places, table, at)
+        yield at, end
+        at = end
+
+
 def scan(column: pa.Array, table: np.ndarray = SPACED, prefixes: tuple[int, ...] = ()) -> Words:
     """Hashes of all words of all rows, A-Z taken as a-z.
 
@@ -131,12 +141,10 @@ def scan(column: pa.Array, table: np.ndarray = SPACED, prefixes: tuple[int, ...]
     hashes: list[np.ndarray] = []
     begins: list[np.ndarray] = []
     shorter: dict[int, list[np.ndarray]] = {n: [] for n in prefixes}
-    at = 0
-    while at < len(data):
-        end = _cut(data, places, table, at)
+    for at, end in cuts(data, places, table):
         piece = LOWER[data[at:end]]
         low, high = np.searchsorted(places, [at, end])
-        start, stop = _edges(table[piece], places[low:high] - at)
+        start, stop = edges(table[piece], places[low:high] - at)
         power, inverse = _powers(len(piece))
         running = np.zeros(len(piece) + 1, dtype=np.uint64)
         np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * power[: len(piece)], out=running[1:])
@@ -147,7 +155,6 @@ def scan(column: pa.Array, table: np.ndarray = SPACED, prefixes: tuple[int, ...]
             some = mix((running[cut] - running[start]) * inverse[start] + np.uint64(n))
             some[start + n >= stop] = 0
             shorter[n].append(some)
-        at = end
     join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
     begin = join(begins, np.int64)
     return Words(
