@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, importance, language, lines, minhash, oracles, packing, sharding
+from millrace.llm import decontaminate, importance, language, lines, minhash, oracles, packing, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op6_minhash": oracles.OP6, "op9_decontaminate": oracles.OP9, "op10_lines": oracles.OP10}
@@ -61,3 +61,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs, language.learn(language.training(docs)))
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = toxicity.score(docs, toxicity.learn(docs, labels))
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
