@@ -1,22 +1,25 @@
 """Near-duplicate documents by MinHash with tensored banding, links confirmed on full sets.
 
-``SIDE`` keys of two minhashes each form a collection; two collections are drawn,
-and every pair (i-th key of the first, j-th of the second) is a table. So
-SIDE * SIDE tables of four minhashes need 4 * SIDE minhashes instead of
-4 * SIDE * SIDE. A pair of similarity s is missed if it meets in no key of one
-collection: at most 2 * (1 - s * s) ** SIDE, 1e-4 at 0.75 and 1e-6 at 0.85 with
-SIDE = 12. A table's bucket can only hold two sets if its first half does, so
-buckets of first keys with one set are dropped before pairs of keys are formed.
+``SIDE`` keys of ``EACH`` minhashes form a collection; two collections are drawn, and every pair
+(i-th key of the first, j-th of the second) is a table. So SIDE * SIDE tables of 2 * EACH
+minhashes need 2 * EACH * SIDE minhashes instead of 2 * EACH * SIDE * SIDE. A pair of
+similarity s is missed if it meets in no key of one collection: at most
+2 * (1 - s ** EACH) ** SIDE, 1e-4 at 0.75 and 1e-7 at 0.85. A table's bucket can only hold
+two sets if its first half does, so halves that one set has alone are dropped before pairs
+of keys are formed.
 
 Links are confirmed on the full shingle sets. Sets that are equal form one class
 beforehand. Within a bucket classes are first compared with the smallest class;
-once components of those links are known, only classes of one bucket that are
-still in different components are compared with each other. So a group of any
-number of copies costs a comparison per copy, and no link between components is lost.
+once components of those links are known, only classes that share a table and are still in
+different components are compared with each other, and of those only pairs whose
+minhashes agree often enough. So a group of any number of copies costs a comparison
+per copy. That last filter counts differing bits among four of each minhash; the
+bound lies 4.75 standard deviations beyond the mean at the threshold (1e-6).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,14 +32,15 @@ from millrace.llm.components import components
 from millrace.session import stage
 
 SHINGLE = 5
-SIDE = 12
+EACH = 3
+SIDE = 18
 PERCENT = 75
 
 
 def _draws(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Flips and odd factors of ``n`` hash functions."""
-    seeds = textscan.mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * textscan.STEP)
-    return seeds[:n], seeds[n:] | np.uint64(1)
+    """Flips and odd factors of ``n`` hash functions of 32 bits."""
+    seeds = (textscan.mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * textscan.STEP) >> np.uint64(32)).astype(np.uint32)
+    return seeds[:n], seeds[n:] | np.uint32(1)
 
 
 def shingle_sets(column: pa.Array, words_each: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -62,26 +66,56 @@ def signatures(flat: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.diff(one[first]), np.diff(two[first])
 
 
-def _half_keys(flat: np.ndarray, first: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
-    """Both collections of keys, ``side`` for each non-empty set."""
+def minhashes(flat: np.ndarray, first: np.ndarray, many: int) -> np.ndarray:
+    """``many`` minhashes of each non-empty set, a row per set."""
     starts = first[:-1][np.diff(first) > 0]
-    flips, factors = _draws(4 * side)
-    keys = []
-    for k in range(0, 4 * side, 2):
-        low = [np.minimum.reduceat((flat ^ flips[x]) * factors[x], starts) for x in (k, k + 1)]
-        keys.append(textscan.mix(low[0] * textscan.STEP + low[1] + np.uint64(k)))
-    return np.stack(keys[:side], axis=1), np.stack(keys[side:], axis=1)
+    flips, factors = _draws(many)
+    high = (flat >> np.uint64(32)).astype(np.uint32)
+    work = np.empty_like(high)
+    out = np.empty((many, len(starts)), dtype=np.uint32)
+    for k in range(many):
+        np.bitwise_xor(high, flips[k], out=work)
+        np.multiply(work, factors[k], out=work)
+        out[k] = np.minimum.reduceat(work, starts)
+    return out.T
 
 
-def _sketch(side: int):
+def half_keys(low: np.ndarray, each: int) -> np.ndarray:
+    """Keys of ``each`` consecutive minhashes; keys at different places never agree."""
+    parts = low.reshape(len(low), -1, each).astype(np.uint64)
+    value = np.zeros(parts.shape[:2], dtype=np.uint64)
+    for k in range(each):
+        value = value * textscan.STEP + parts[:, :, k]
+    return textscan.mix(textscan.mix(value) + np.arange(parts.shape[1], dtype=np.uint64))
+
+
+def bit_sketch(low: np.ndarray) -> np.ndarray:
+    """Four bits of each minhash, packed into 64-bit numbers."""
+    nibbles = np.zeros((len(low), -(-low.shape[1] // 16) * 16), dtype=np.uint8)
+    nibbles[:, : low.shape[1]] = (low >> np.uint32(7)) & np.uint32(15)
+    return np.ascontiguousarray(nibbles[:, ::2] << 4 | nibbles[:, 1::2]).view(np.int64)
+
+
+def most_differing(many: int, percent: int) -> int:
+    """Differing bits of two sketches that a pair at the threshold has with a chance of 1e-6."""
+    apart = 1 - percent / 100
+    return math.ceil(2 * apart * many + 4.75 * math.sqrt(many * (5 * apart - 4 * apart * apart)))
+
+
+def _sketch(each: int, side: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textscan.pieces_of(batch, "text", 1 << 20):
                 flat, first = shingle_sets(part.column("text"))
                 size = np.diff(first)
                 one, two = signatures(flat, first)
-                places = np.concatenate([[0], np.cumsum((size > 0) * side)])
-                a, b = _half_keys(flat, first, side) if len(flat) else (np.zeros(0, np.uint64),) * 2
+                low = minhashes(flat, first, 2 * each * side) if len(flat) else np.zeros((0, 2 * each * side), dtype=np.uint32)
+                keys, bits = half_keys(low, each).view(np.int64), bit_sketch(low)
+
+                def rows(values: np.ndarray, size: np.ndarray = size) -> pa.Array:
+                    places = np.concatenate([[0], np.cumsum((size > 0) * values.shape[1])])
+                    return textscan.lists(values.ravel(), places, pa.int64())
+
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("row"),
@@ -90,10 +124,11 @@ def _sketch(side: int):
                         pa.array(size, pa.int64()),
                         pa.array(one.view(np.int64)),
                         pa.array(two.view(np.int64)),
-                        textscan.lists(a.ravel().view(np.int64), places, pa.int64()),
-                        textscan.lists(b.ravel().view(np.int64), places, pa.int64()),
+                        rows(keys[:, :side]),
+                        rows(keys[:, side:]),
+                        rows(bits),
                     ],
-                    names=["row", "doc_id", "text_key", "n_shingles", "one", "two", "a", "b"],
+                    names=["row", "doc_id", "text_key", "n_shingles", "one", "two", "a", "b", "bits"],
                 )
 
     return run
@@ -139,7 +174,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(_confirm(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, side: int = SIDE) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, each: int = EACH, side: int = SIDE) -> DataFrame:
     """Components of documents whose word-5-gram sets have a Jaccard similarity of ``percent`` % or more.
 
     ``docs``: ``doc_id``, ``text``; more columns are ignored. Words are lower-cased (A-Z)
@@ -155,8 +190,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, side: int = SIDE) -
     text = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("text_key", _text_key(F.col("text")))
     rows = stage(
         text.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-            _sketch(side),
-            f"row long, doc_id {kind}, text_key long, n_shingles long, one long, two long, a array<long>, b array<long>",
+            _sketch(each, side),
+            f"row long, doc_id {kind}, text_key long, n_shingles long, one long, two long, a array<long>, b array<long>, bits array<long>",
         )
     )
     classes = stage(
@@ -168,19 +203,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, side: int = SIDE) -
             F.first("n_shingles").alias("n"),
             F.first("a").alias("a"),
             F.first("b").alias("b"),
+            F.first("bits").alias("bits"),
         )
         .withColumn("class", F.col("sample.row"))
     )
     keys = _bucket_keys(classes)
     groups = keys.groupBy("key").agg(F.min("class").alias("b"), F.count("*").alias("m")).where("m > 1").select("key", "b")
-    entries = stage(keys.join(groups, "key").select("key", "class", "n", "b"))
+    entries = stage(keys.join(groups, "key").select("key", "i", "class", "n", "b"))
 
     sets = _shingles_of(text, classes, entries)
-    close = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
     sizes = classes.select(F.col("class").alias("b"), F.col("n").alias("nb"))
     first = entries.where(F.col("class") > F.col("b")).groupBy("class", "n").agg(F.min("b").alias("b")).join(sizes, "b")
-    links = stage(_verified(first.where(close(F.col("n"), F.col("nb"))).select(F.col("class").alias("a"), "b"), sets, percent))
-    links = links.union(stage(_verified(_across(entries, links, close).exceptAll(first.select(F.col("class").alias("a"), "b")), sets, percent)))
+    first = first.where(_close(F.col("n"), F.col("nb"), percent)).select(F.col("class").alias("a"), "b")
+    links = stage(_verified(first, sets, percent))
+    rest = _across(entries, classes, links, percent, 2 * each * side)
+    links = links.union(stage(_verified(rest.join(first, ["a", "b"], "left_anti"), sets, percent)))
 
     named = components(links)
     grouped = classes.select("one", "two", "class", "least_id").join(named, F.col("class") == F.col("id"), "left")
@@ -198,12 +235,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, side: int = SIDE) -
     )
 
 
+def _close(x: Column, y: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be that similar."""
+    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+
+
 def _bucket_keys(classes: DataFrame) -> DataFrame:
-    """``key``, ``class``, ``n``: a row per table and class, where the first half of the key is shared."""
+    """``key``, ``i``, ``class``, ``n``: a row per table and class, where the first half of the key is shared."""
     first = classes.select("class", "n", "b", F.posexplode("a").alias("i", "half"))
     shared = first.groupBy("i", "half").agg(F.count("*").alias("m")).where("m > 1").select("i", "half")
     pairs = first.join(shared, ["i", "half"]).select("class", "n", "i", "half", F.posexplode("b").alias("j", "other"))
-    return pairs.select(F.xxhash64("i", "half", "j", "other").alias("key"), "class", "n")
+    return pairs.select(F.xxhash64("i", "half", "j", "other").alias("key"), "i", "class", "n")
 
 
 def _shingles_of(text: DataFrame, classes: DataFrame, entries: DataFrame) -> DataFrame:
@@ -215,17 +257,31 @@ def _shingles_of(text: DataFrame, classes: DataFrame, entries: DataFrame) -> Dat
     return stage(found.mapInArrow(_sets, "class long, grams array<long>").dropDuplicates(["class"]))
 
 
-def _across(entries: DataFrame, links: DataFrame, close) -> DataFrame:
-    """Pairs of one bucket whose classes are still in different components."""
+def _across(entries: DataFrame, classes: DataFrame, links: DataFrame, percent: int, many: int) -> DataFrame:
+    """Pairs that share a table and whose classes are still in different components.
+
+    Classes of tables with several components are joined on the first halves of their keys. A
+    pair comes from its first common half only, and only if a second half agrees too.
+    """
     named = components(links)
-    placed = entries.select("key", "class", "n").join(named, F.col("class") == F.col("id"), "left")
-    placed = placed.select("key", "class", "n", F.coalesce("component", "class").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_rows = stage(placed.join(mixed.where("low < high").select("key"), "key"))
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") > F.col("y.class")) & (F.col("x.component") != F.col("y.component"))
-    pairs = x.join(y, apart & close(F.col("x.n"), F.col("y.n")))
-    return pairs.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+    placed = entries.select("key", "i", "class").join(named, F.col("class") == F.col("id"), "left")
+    placed = placed.select("key", "i", "class", F.coalesce("component", "class").alias("component"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    open_halves = placed.join(mixed.select("key"), "key").select("class", "i", "component").distinct()
+    rows = stage(open_halves.join(classes.select("class", "n", "a", "b", "bits"), "class").withColumn("half", F.element_at("a", F.col("i") + 1)))
+    x, y = rows.alias("x"), rows.alias("y")
+    differing = sum((F.bit_count(F.col("x.bits")[k].bitwiseXOR(F.col("y.bits")[k])) for k in range(-(-many // 16))), F.lit(0))
+    met = (
+        (F.col("x.i") == F.col("y.i"))
+        & (F.col("x.half") == F.col("y.half"))
+        & (F.col("x.class") > F.col("y.class"))
+        & (F.col("x.component") != F.col("y.component"))
+        & _close(F.col("x.n"), F.col("y.n"), percent)
+        & (differing <= most_differing(many, percent))
+        & (F.element_at(F.array_intersect("x.a", "y.a"), 1) == F.col("x.half"))
+        & F.arrays_overlap("x.b", "y.b")
+    )
+    return x.join(y, met).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
