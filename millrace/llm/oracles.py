@@ -64,3 +64,19 @@ SELECT doc_id, source, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(every) END AS
   CAST(length(cut) AS BIGINT) AS n_chars_left, md5(coalesce(cut, '')) AS text_md5
 FROM r
 """
+
+OP4 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+g AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id AS id, vec_id AS c FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.id),
+m AS (SELECT id, min(c) AS c FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, m.c AS component_id, v.vec_id = m.c AS kept
+FROM v JOIN m ON m.id = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+"""
