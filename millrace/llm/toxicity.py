@@ -234,8 +234,8 @@ def _feature_counts(model: np.ndarray):
     return run
 
 
-def _has(model: np.ndarray, wanted: np.ndarray):
-    """For each row the chosen features it has, as places in ``wanted`` (sorted)."""
+def _has(model: np.ndarray, wanted: np.ndarray, keep: list[str]):
+    """Columns ``keep`` of each row, the chosen features it has as places in ``wanted`` (sorted), and restored words."""
     quick = np.zeros(1 << 16, dtype=bool)
     quick[wanted >> np.uint64(48)] = True
 
@@ -252,7 +252,7 @@ def _has(model: np.ndarray, wanted: np.ndarray):
                 pairs = np.unique(np.stack([owner[same], place[same]], axis=1), axis=0)
                 first = np.searchsorted(pairs[:, 0], np.arange(part.num_rows + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), textscan.lists(pairs[:, 1].astype(np.int32), first, pa.int32()), restored], names=["doc_id", "places", "restored"]
+                    [*(part.column(c) for c in keep), textscan.lists(pairs[:, 1].astype(np.int32), first, pa.int32()), restored], names=[*keep, "__places", "__restored"]
                 )
 
     return run
@@ -334,9 +334,9 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     order = np.argsort(found["feature"].to_numpy(np.int64).view(np.uint64), kind="stable")
     wanted = found["feature"].to_numpy(np.int64).view(np.uint64)[order]
     bad, good = found["bad"].to_numpy(float)[order], found["good"].to_numpy(float)[order]
-    held = known.where("toxic").select("doc_id", "text").mapInArrow(_has(characters, wanted), "doc_id long, places array<int>, restored string")
+    held = known.where("toxic").select("doc_id", "text").mapInArrow(_has(characters, wanted, ["doc_id"]), "doc_id long, __places array<int>, __restored string")
     least = _least_support(good, min(0.5, max(toxic, 1) / max(every, 2)), counted.count())
-    chosen, left = _choose([r[0] for r in held.select("places").collect()], bad, good, least)
+    chosen, left = _choose([r[0] for r in held.select("__places").collect()], bad, good, least)
     common = np.flatnonzero((good == 0) & (bad >= max(10, COMMON * toxic)))
     chosen = sorted({*chosen, *common.tolist()})
     base = min(0.45, (left + 0.5) / (every - toxic + left + 1.0))
@@ -351,19 +351,21 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Null and empty texts have the score of a text without any feature. Without
     toxic labels no feature is chosen and nothing is predicted toxic.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    read = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    found = read.mapInArrow(_has(model.characters, model.features), f"doc_id {kind}, places array<int>, restored string")
+    scored = _scored(docs.select("doc_id", F.col("text").cast("string").alias("text")), ["doc_id"], model)
+    return scored.select("doc_id", F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"), F.col("__restored").alias("restored"))
+
+
+def _scored(docs: DataFrame, keep: list[str], model: Model) -> DataFrame:
+    """Columns ``keep`` of ``docs``, ``__score`` and ``__restored``."""
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "__places array<int>", "__restored string"])
+    found = docs.mapInArrow(_has(model.characters, model.features, keep), schema)
     clean = F.array(*[F.lit(float(x)) for x in 1 - model.precision]) if len(model.precision) else F.array().cast("array<double>")
-    innocent = F.aggregate("places", F.lit(1 - model.base), lambda a, p: a * F.element_at(clean, p + 1))
-    scored = found.select("doc_id", (1 - innocent).alias("score"), "restored")
-    return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "restored")
+    innocent = F.aggregate("__places", F.lit(1 - model.base), lambda a, p: a * F.element_at(clean, p + 1))
+    return found.withColumn("__score", 1 - innocent)
 
 
 def reject(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` without documents that are predicted toxic, judged by text alone."""
-    key = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    marked = docs.withColumn("__text_key", key)
-    scored = score(marked.select(F.col("__text_key").alias("doc_id"), "text"), model)
-    bad = scored.where("predicted = 1").select(F.col("doc_id").alias("__text_key")).distinct()
-    return marked.join(bad, "__text_key", "left_anti").select(*docs.columns)
+    typed = docs.withColumn("text", F.col("text").cast("string"))
+    return _scored(typed, typed.columns, model).where("__score < 0.5").select(*docs.columns)
