@@ -56,7 +56,7 @@ def _weigh(ratio: np.ndarray):
         for batch in batches:
             for part in textscan.pieces_of(batch, "text", 2 << 20):
                 place, owner = _buckets(part.column("text"))
-                weight = np.bincount(owner, weights=ratio[place], minlength=part.num_rows)
+                weight = np.bincount(owner, weights=ratio[place], minlength=part.num_rows).astype(np.float64)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.array(weight)], names=["doc_id", "text_key", "log_weight"])
 
     return run

@@ -3,15 +3,18 @@
 Documents start in shards by hash. In every round each group of linked documents
 names the shards that already hold most of it, as many as it needs for its size;
 its members elsewhere ask to move there. Requests are granted, largest groups
-of requests first, as far as the shard's quota goes. A shard's quota is its final
-number of documents, so moves never overfill it. At last documents without
-links, which cut no edge wherever they are, fill every shard to its exact number.
+of requests first, as far as the shard's quota goes: its final number of documents and
+a little slack, so that shards full of linked documents can still exchange them. At last
+what is over the final number leaves, group by group, and with the documents without
+links, which cut no edge wherever they are, fills every shard to its exact number.
 
 Links are kept as (document, group) rows; pairs within a group are never formed.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,7 +23,8 @@ from millrace.llm.ranks import bucket, rank_within
 from millrace.session import stage
 
 SHARDS = 40
-ROUNDS = 8
+ROUNDS = 10
+SLACK = 0.1  # shards may be that much over their number while documents move
 OVERHEAD = 16  # bytes that a document takes besides its text
 BUCKETS = 1024
 
@@ -52,34 +56,43 @@ def _requests(state: DataFrame, free: list[int], target: int) -> DataFrame:
 
 
 def _granted(requests: DataFrame, free: list[int]) -> DataFrame:
-    """Requests within the quotas. They are counted by rank of gain and hash first, so a quota
-    is split over at most 64 * BUCKETS counts for each shard, not over requests."""
+    """Requests within the quotas, and the share of their members that may go.
+
+    They are counted by rank of gain and hash first, so a quota is split over at most
+    64 * BUCKETS counts for each shard, not over requests.
+    """
     marked = requests.withColumn("level", F.floor(F.log2("gain")).cast("int")).withColumn("part", bucket("group", "shard", n=BUCKETS))
     counts = marked.groupBy("to", "level", "part").agg(F.sum("n").alias("n"))
-    so_far = Window.partitionBy("to").orderBy(F.desc("level"), "part")
-    fits = counts.withColumn("sum", F.sum("n").over(so_far)).where(F.col("sum") <= F.element_at(_numbers(free), F.col("to") + 1))
-    return marked.join(fits.select("to", "level", "part"), ["to", "level", "part"]).select("group", "shard", "to")
+    earlier = Window.partitionBy("to").orderBy(F.desc("level"), "part").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.element_at(_numbers(free), F.col("to") + 1) - F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    fits = counts.withColumn("share", left / F.col("n")).where(F.col("share") > 0)
+    return marked.join(fits.select("to", "level", "part", "share"), ["to", "level", "part"]).select("group", "shard", "to", "share")
 
 
 def propagate(state: DataFrame, targets: list[int], rounds: int = ROUNDS) -> DataFrame:
     """``state`` (``row``, ``group``, ``shard``) after up to ``rounds`` rounds of moves."""
-    for _ in range(rounds):
+    for k in range(rounds):
         loads = _loads(state, len(targets))
-        free = [max(0, t - n) for t, n in zip(targets, loads, strict=True)]
+        free = [max(0, math.ceil(t * (1 + SLACK)) - n) for t, n in zip(targets, loads, strict=True)]
         moves = stage(_granted(_requests(state, free, max(1, min(targets))), free))
         if moves.isEmpty():
             break
-        moved = state.join(moves, ["group", "shard"], "left")
+        drawn = F.pmod(F.xxhash64("row", F.lit(k)), F.lit(1 << 30)) / float(1 << 30)
+        moved = state.join(moves, ["group", "shard"], "left").withColumn("to", F.when(drawn < F.col("share"), F.col("to")))
         state = stage(moved.select("row", "group", F.coalesce("to", "shard").alias("shard")))
     return state
 
 
+def _by_group() -> Column:
+    """Buckets in which groups lie together; a large group has sixteen."""
+    return bucket("group", n=BUCKETS) * 16 + bucket("row", n=16)
+
+
 def _over(state: DataFrame, loads: list[int], targets: list[int]) -> DataFrame:
     """Rows of linked documents beyond their shard's number; groups stay together as far as it goes."""
     full = [s for s, (n, t) in enumerate(zip(loads, targets, strict=True)) if n > t]
-    part = bucket("group", n=64) * 64 + bucket("row", n=64)
-    there = state.where(F.col("shard").isin(full)).withColumn("part", part)
-    ranked = rank_within(there, ["shard"], "part", ["row"], "rank")
+    there = state.where(F.col("shard").isin(full)).withColumn("part", _by_group())
+    ranked = rank_within(there, ["shard"], "part", ["group", "row"], "rank")
     return ranked.where(F.col("rank") >= F.element_at(_numbers(targets), F.col("shard") + 1)).select("row")
 
 
@@ -118,7 +131,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     ends = [sum(needs[: s + 1]) for s in range(shards)]
     known = rows.join(placed.select("row", "shard"), "row", "left").join(state.select("row", F.lit(True).alias("in_group")), "row", "left")
     known = stage(known.select("doc_id", "size", "text_crc32", "row", "shard", F.when(F.col("in_group"), F.col("group")).alias("group")))
-    free = rank_within(known.where("shard is null").withColumn("part", bucket("row", n=4 * BUCKETS)), [], "part", ["row"], "rank")
+    part = F.when(F.col("group").isNull(), -1 - bucket("row", n=4 * BUCKETS)).otherwise(_by_group())
+    free = rank_within(known.where("shard is null").withColumn("part", part), [], "part", ["group", "row"], "rank")
     filled = free.withColumn("shard", F.size(F.filter(_numbers(ends), lambda e: e <= F.col("rank"))))
     columns = ["doc_id", "size", "text_crc32", "row", "shard", "group"]
     everyone = known.where("shard is not null").select(columns).union(filled.select(columns))
