@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     from millrace.session import local_session
 
-    s = local_session("8", "millrace-tests")
+    s = local_session(os.environ.get("TEST_CORES", "8"), "millrace-tests")
     s.sparkContext.setLogLevel("ERROR")
     return s
 
