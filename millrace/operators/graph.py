@@ -55,8 +55,8 @@ def pagerank(
     """Rank per period and vertex over distinct pairs, all periods at once.
 
     ``rank = reset + (1 - reset) * sum(rank / out_degree)``, from 1, until no
-    rank moves by more than ``tolerance`` (or for exactly ``rounds`` rounds with
-    ``None``), then scaled per period so that ranks sum to the vertex count.
+    rank moves by more than ``tolerance`` (an error if that takes over ``rounds``
+    rounds; exactly ``rounds`` rounds with ``None``), then scaled per period so that ranks sum to the vertex count.
     Rounds are staged so that neither plan nor lineage grows.
     """
     pairs = edges.select(period, F.col(src).alias("src"), F.col(dst).alias("dst")).distinct()
@@ -81,6 +81,9 @@ def pagerank(
         ranks = fresh
         if delta is None or delta <= tolerance:
             break
+    else:
+        if tolerance is not None:
+            raise RuntimeError(f"ranks still move by {delta:.2g} after {rounds} rounds; the tolerance is {tolerance:.2g}")
     totals = ranks.groupBy(period).agg((F.count(F.lit(1)) / F.sum("rank")).alias("scale"))
     return ranks.join(totals, period).select(period, "id", (F.col("rank") * F.col("scale")).alias("pagerank"))
 

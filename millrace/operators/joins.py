@@ -188,10 +188,12 @@ def asof(
 
     Both sides are stacked and scanned once in time order; no pairs are formed,
     and hot keys are split by the scan. Equal times match; of several right rows
-    at one time the one with the greatest values is taken.
+    at one time the one with the greatest values is taken. Right rows with a null key
+    or time match nothing; left rows with one stay, unmatched.
     """
     if direction not in ("backward", "forward"):
         raise ValueError("direction is 'backward' or 'forward'")
+    right = right.dropna(subset=[*keys, right_time])
     rvals = [right_time, *[v for v in values if v != right_time]]
     lrest = [c for c in left.columns if c not in keys]
     l_type = left.select(F.struct(*lrest).alias("s")).schema["s"].dataType
@@ -209,7 +211,7 @@ def asof(
     order = [time, F.asc("__side"), F.asc("__r"), F.asc("__l")]
     found = running(stacked, keys, order, {"__m": ("last", F.col("__r"))})
     return found.filter("__side = 1").select(
-        *keys, "__l.*", *[F.col(f"__m.{v}").alias(f"matched_{v}") for v in rvals]
+        *keys, "__l.*", *[F.when(F.col("__t").isNotNull(), F.col(f"__m.{v}")).alias(f"matched_{v}") for v in rvals]
     )
 
 

@@ -221,9 +221,9 @@ def following(
     return running(df, keys, [F.desc(c) for c in order], columns, include_current)
 
 
-def _decayed(x: np.ndarray, alpha: float, start: float) -> np.ndarray:
-    seeded = pd.Series(np.concatenate(([start], x)))
-    return seeded.ewm(alpha=alpha, adjust=False).mean().to_numpy()[1:]
+def _averaged(x: pd.Series, alpha: float) -> pd.Series:
+    """Moving average of the values there are; a row without a value repeats the average before it."""
+    return x.astype(float).ewm(alpha=alpha, adjust=False, ignore_na=True).mean()
 
 
 def ewm(
@@ -237,8 +237,10 @@ def ewm(
     """Exponential moving averages: new column -> (source column, span).
 
     ``e[0] = x[0]`` and ``e[t] = a x[t] + (1 - a) e[t-1]`` with
-    ``a = 2 / (span + 1)``. On split keys each piece is averaged from zero and
-    the average entering it is added with its decay ``(1 - a) ** position``.
+    ``a = 2 / (span + 1)``. Null and NaN values are passed over: the average stays as
+    it was, and is null before the first value. On split keys each piece is averaged
+    from zero and the average entering it is added with its decay
+    ``(1 - a) ** (values so far)``. Null order values come first.
     """
     limit = limit or max_group_rows(df.sparkSession)
     schema = T.StructType(
@@ -250,53 +252,64 @@ def ewm(
     if fits(df if sizes is None else sizes, keys, limit):
 
         def whole(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(names, kind="stable")
+            pdf = pdf.sort_values(names, kind="stable", na_position="first")
             for n, (src, a) in spans.items():
-                pdf[n] = pdf[src].astype(float).ewm(alpha=a, adjust=False).mean()
+                pdf[n] = _averaged(pdf[src], a)
             return pdf
 
         return df.groupBy(*keys).applyInPandas(whole, schema)
 
     pieces = _pieces(df, keys, order, limit)
-    local_schema = T.StructType(
-        schema.fields
-        + [T.StructField(PIECE, T.IntegerType()), T.StructField("__k", T.LongType())]
-    )
+    inner = [T.StructField(PIECE, T.IntegerType()), T.StructField("__row", T.LongType())]
+    for n in columns:
+        inner += [T.StructField(f"__k_{n}", T.LongType()), T.StructField(f"__x_{n}", T.DoubleType())]
+    local_schema = T.StructType(schema.fields + inner)
 
     def local(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(names, kind="stable")
+        pdf = pdf.sort_values(names, kind="stable", na_position="first")
         for n, (src, a) in spans.items():
-            pdf[n] = _decayed(pdf[src].to_numpy(float), a, 0.0)
-        pdf["__k"] = np.arange(1, len(pdf) + 1)
+            x = pdf[src].astype(float)
+            pdf[n] = _averaged(pd.concat([pd.Series([0.0]), x], ignore_index=True), a).to_numpy()[1:]
+            pdf[f"__k_{n}"] = x.notna().cumsum()
+            pdf[f"__x_{n}"] = x.bfill().iloc[0]  # the piece's first value
+        pdf["__row"] = np.arange(1, len(pdf) + 1)
         return pdf[[f.name for f in local_schema.fields]]
 
     parts = stage(pieces.groupBy(*keys, PIECE).applyInPandas(local, local_schema))
     ends = parts.groupBy(*keys, PIECE).agg(
-        F.max("__k").alias("__len"),
-        *[F.max_by(n, "__k").alias(f"__e_{n}") for n in columns],
-        *[F.min_by(src, "__k").cast("double").alias(f"__x_{n}") for n, (src, _) in columns.items()],
+        *[F.max_by(n, "__row").alias(f"__e_{n}") for n in columns],
+        *[F.max(f"__k_{n}").alias(f"__k_{n}") for n in columns],
+        *[F.max(f"__x_{n}").alias(f"__x_{n}") for n in columns],
     )
     carry_schema = T.StructType(
         [f for f in df.schema.fields if f.name in keys]
         + [T.StructField(PIECE, T.IntegerType())]
         + [T.StructField(f"__c_{n}", T.DoubleType()) for n in columns]
+        + [T.StructField(f"__seen_{n}", T.BooleanType()) for n in columns]
     )
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:  # one row per piece of the key
         pdf = pdf.sort_values(PIECE)
         for n, (_, a) in spans.items():
-            carried, state = [], None
-            for x0, end, length in zip(pdf[f"__x_{n}"], pdf[f"__e_{n}"], pdf["__len"]):
-                state = x0 if state is None else state
+            carried, seen, state = [], [], None
+            for x0, end, many in zip(pdf[f"__x_{n}"], pdf[f"__e_{n}"], pdf[f"__k_{n}"]):
+                seen.append(state is not None)
+                if state is None and many:
+                    state = x0
                 carried.append(state)
-                state = end + (1.0 - a) ** length * state
-            pdf[f"__c_{n}"] = carried
+                if many:
+                    state = end + (1.0 - a) ** many * state
+            pdf[f"__c_{n}"] = pd.Series(carried, index=pdf.index, dtype=float)
+            pdf[f"__seen_{n}"] = seen
         return pdf[[f.name for f in carry_schema.fields]]
 
     carry = ends.groupBy(*keys).applyInPandas(chain, carry_schema)
     out = join_on(parts, carry, [*keys, PIECE], "left").withColumns(
         {
-            n: F.col(n) + F.pow(F.lit(1.0 - a), F.col("__k")) * F.col(f"__c_{n}")
+            n: F.when(
+                F.col(f"__seen_{n}") | (F.col(f"__k_{n}") > 0),
+                F.col(n) + F.pow(F.lit(1.0 - a), F.col(f"__k_{n}")) * F.col(f"__c_{n}"),
+            )
             for n, (_, a) in spans.items()
         }
     )
@@ -322,6 +335,7 @@ def fold(
     returns output rows and the new state. Keys run in parallel. A key over the
     limit is fed block by block, its state staged between blocks, so that a
     task only ever holds one block; ``rows['__last']`` marks the key's last row.
+    Null order values come first.
     """
     limit = limit or max_group_rows(df.sparkSession)
     names, key_list = list(order), list(keys)
@@ -330,7 +344,7 @@ def fold(
     if fits(df if sizes is None else sizes, keys, limit):
 
         def whole(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(names, kind="stable").reset_index(drop=True)
+            pdf = pdf.sort_values(names, kind="stable", na_position="first").reset_index(drop=True)
             pdf["__last"] = np.arange(len(pdf)) == len(pdf) - 1
             return step(key, None, pdf)[0][cols]
 

@@ -118,7 +118,7 @@ def interval_join_latest(spark, sf):
 
 @query(
     "two_key_left_join",
-    """WITH y AS (SELECT c_nationkey AS nation, year(o_orderdate) AS year, round(avg(o_totalprice / 7), 4) AS mean_price
+    """WITH y AS (SELECT c_nationkey AS nation, year(o_orderdate) AS year, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_price
       FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'P' GROUP BY 1, 2)
     SELECT o_orderkey, nation, CAST(year AS INTEGER) AS year, mean_price FROM
     (SELECT o_orderkey, c_nationkey AS nation, year(o_orderdate) AS year FROM orders JOIN customer ON o_custkey = c_custkey)
@@ -128,7 +128,7 @@ def two_key_left_join(spark, sf):
     nations = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
     df = table(spark, sf, "orders").join(nations, "o_custkey").withColumn("year", F.year("o_orderdate"))
     means = df.filter(F.col("o_orderstatus") == "P").groupBy("nation", "year").agg(
-        F.round(F.avg(F.col("o_totalprice") / 7), 4).alias("mean_price")
+        (F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))).alias("mean_price")
     )
     rows = df.select("o_orderkey", "nation", "year")
     return keyed.join_on(rows, means, ["nation", "year"], "left", null_safe=False)

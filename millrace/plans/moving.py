@@ -237,12 +237,11 @@ def graph_vertices(spark, sf):
 
 @query(
     "edge_weights",
-    f"WITH {_TRADE} SELECT CAST(year AS INTEGER) AS year, src, dst, round(avg(price / 7), 4) AS weight FROM trade GROUP BY 1, 2, 3",
+    f"WITH {_TRADE} SELECT CAST(year AS INTEGER) AS year, src, dst, round(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*), 6) AS weight FROM trade GROUP BY 1, 2, 3",
 )
 def edge_weights(spark, sf):
-    return graph.edge_weights(_trade(spark, sf).withColumn("price", F.col("price") / 7), "year", "src", "dst", "price").withColumn(
-        "weight", F.round("weight", 4)
-    )
+    trade = _trade(spark, sf).withColumn("price", F.col("price").cast("decimal(18,2)"))
+    return graph.edge_weights(trade, "year", "src", "dst", "price").withColumn("weight", F.col("weight").cast("double"))
 
 
 _DEG = f"""{LEGS}, q AS (SELECT year(day) || '-Q' || quarter(day) AS period, origin % 50 AS src, dest AS dst, leg_id, line, distance FROM legs),

@@ -251,7 +251,7 @@ def fixed_stake_gain(spark, sf):
 @query("bootstrap_interval")
 def bootstrap_interval(spark, sf):
     daily = _daily_returns(spark, sf)
-    return st.sharpe_bounds(st.bootstrap_interval(daily, "ret", ["event_type", "day"], replicates=999, seed=7))
+    return st.sharpe_bounds(st.bootstrap_interval(daily, "ret", ["event_type", "day"], seed=7))
 
 
 @query("bootstrap_std_gap")
@@ -264,7 +264,7 @@ def bootstrap_std_gap(spark, sf):
             F.avg(F.when(F.col("event_type") == "view", F.col("value"))).alias("view"),
         )
     )
-    return st.bootstrap_std_gap(wide, "click", "view", ["day"], replicates=999, seed=7)
+    return st.bootstrap_std_gap(wide, "click", "view", ["day"], seed=7)
 
 
 @query(

@@ -280,10 +280,10 @@ def _portfolio(spark, sf):
     return portfolio.portfolio_series(_asset_prices(spark, sf), portfolio.weights(spark, _BOOKS), "symbol", "day")
 
 
-@query("portfolio_series", f"WITH {_PORTFOLIO} SELECT portfolio, CAST(day AS VARCHAR) AS day, round(price / 7, 5) AS price, round(paid / 7, 8) AS paid FROM y")
+@query("portfolio_series", f"WITH {_PORTFOLIO} SELECT portfolio, CAST(day AS VARCHAR) AS day, round(price, 10) AS price, round(paid, 12) AS paid FROM y")
 def portfolio_series(spark, sf):
     out = _portfolio(spark, sf)
-    return out.select("portfolio", F.col("day").cast("string").alias("day"), F.round(F.col("price") / 7, 5).alias("price"), F.round(F.col("paid") / 7, 8).alias("paid"))
+    return out.select("portfolio", F.col("day").cast("string").alias("day"), F.round("price", 10).alias("price"), F.round("paid", 12).alias("paid"))
 
 
 @query(

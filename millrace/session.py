@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -36,18 +38,37 @@ def max_group_rows(spark: SparkSession) -> int:
 def stage_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a session within one process (master ``local`` or ``local[...]``) without that
+    setting gets a folder of its own, which goes when the process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     own = tempfile.mkdtemp(prefix="millrace-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", own)
     return own
 
 
+_STAGED: list[str] = []
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete what this process has staged; for after the results built on it are written.
+
+    Returns how many staged tables went.
+    """
+    files = spark._jvm.org.apache.hadoop.fs
+    gone = 0
+    while _STAGED:
+        path = files.Path(_STAGED.pop())
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -99,3 +99,12 @@ def test_asof_with_hot_key(small_groups, sf):
     for name in ("asof_backward", "asof_forward", "global_percent_rank", "exact_quantiles", "trailing_rate", "macd", "plain_trailing_stops"):
         ok, note = compare(small_groups, duck(sf), name, QUERIES[name], ORACLES[name], sf)
         assert ok, f"{name}: {note}"
+
+
+def test_asof_with_null_keys_and_times(spark):
+    left = spark.createDataFrame([(1, "a", 5), (2, None, 5), (3, "a", None), (4, "a", 1), (5, "b", 9)], "id int, k string, t int")
+    right = spark.createDataFrame([("a", 2, 10), ("a", 7, 11), (None, 3, 12), ("a", None, 13), ("b", None, 14)], "k string, rt int, v int")
+    want = {"backward": {1: 10, 2: None, 3: None, 4: None, 5: None}, "forward": {1: 11, 2: None, 3: None, 4: 10, 5: None}}
+    for direction, found in want.items():
+        got = joins.asof(left, right, ["k"], "t", "rt", ["v"], direction).collect()
+        assert {r["id"]: r["matched_v"] for r in got} == found

@@ -116,3 +116,42 @@ def test_salted_join_equals_plain_join(spark):
 def test_deduplicate_keeps_first(spark):
     df = spark.createDataFrame([(1, 3, "c"), (1, 2, "b"), (2, 9, "z")], "k int, o int, v string")
     assert sorted(map(tuple, keyed.deduplicate(df, ["k"], ["o"]).collect())) == [(1, 2, "b"), (2, 9, "z")]
+
+
+def test_ewm_passes_over_missing_values_on_both_paths(spark):
+    import random
+
+    from millrace.operators.ordered import ewm
+
+    rng = random.Random(1)
+    rows = []
+    for s in range(4):
+        for t in range(50):
+            missing = t < 3 * s or rng.random() < 0.15
+            rows.append((f"s{s}", None if t == 0 else t, None if missing else float("nan") if rng.random() < 0.05 else rng.random()))
+    rows += [("none", t, None) for t in range(20)]
+    df = spark.createDataFrame(rows, "k string, t int, x double")
+    whole, split = ({(r["k"], r["t"]): r["e"] for r in ewm(df, ["k"], ["t"], {"e": ("x", 5)}, limit=n).collect()} for n in (10**6, 7))
+    assert whole.keys() == split.keys()
+    for key, v in whole.items():
+        assert (v is None) == (split[key] is None) and (v is None or abs(v - split[key]) < 1e-9)
+    assert whole["none", 19] is None
+
+
+def test_fold_puts_null_order_first_on_both_paths(spark):
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    from millrace.operators.ordered import fold
+
+    rows = [("a", None if t == 5 else t) for t in range(30)]
+    df = spark.createDataFrame(rows, "k string, t int")
+    out = T.StructType([T.StructField("t", T.DoubleType()), T.StructField("at", T.LongType())])
+
+    def step(key, state, pdf):
+        start = state["n"] if state else 0
+        found = pd.DataFrame({"t": pdf["t"].astype(float), "at": range(start, start + len(pdf))})
+        return found, {"n": start + len(pdf)}
+
+    whole, split = (sorted((tuple(r) for r in fold(df, ["k"], ["t"], step, out, limit=n).collect()), key=lambda r: r[1]) for n in (10**6, 7))
+    assert whole == split and whole[0] == (None, 0)
