@@ -224,8 +224,8 @@ def fixed_stake_gain(df: DataFrame, keys: Sequence[str], ret: str, capital: floa
 def _resampled(df: DataFrame, value: str, order: Sequence[str], replicates: int, seed: int) -> DataFrame:
     """Rows ``(rep, value)``: each replicate draws as many rows as there are, with replacement.
 
-    Draw positions are hashes of replicate, draw number and seed, so the result
-    does not depend on partitioning.
+    Draw positions are hashes of draw number and seed, so the result does not depend
+    on partitioning, and SQL elsewhere can repeat them.
     """
     rows = number_rows(df.filter(F.col(value).isNotNull()), [], list(order), "__rn")
     n = rows.count()
@@ -233,7 +233,7 @@ def _resampled(df: DataFrame, value: str, order: Sequence[str], replicates: int,
         raise ValueError("bootstrap needs at least one row")
     draws = df.sparkSession.range(replicates * n).select(
         F.floor(F.col("id") / F.lit(n)).alias("rep"),
-        (F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(n)) + 1).alias("__rn"),
+        (F.conv(F.substring(F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit(str(seed)))), 1, 12), 16, 10).cast("long") % F.lit(n) + 1).alias("__rn"),
     )
     return draws.join(rows.select("__rn", value), "__rn").select("rep", value)
 

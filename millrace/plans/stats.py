@@ -248,13 +248,35 @@ def fixed_stake_gain(spark, sf):
     return out.withColumn("gain", F.round("gain", 4))
 
 
-@query("bootstrap_interval")
+def _draws_sql(rows: str, draws: str, seed: int) -> str:
+    """Replicates ``draws`` (rep, v) of the numbered ``rows`` (rn, v), as the operator draws them."""
+    return f"""{draws} AS (SELECT floor(id / n) AS rep, v FROM (SELECT range AS id, n, CAST('0x' || substr(md5(range || '|{seed}'), 1, 12) AS BIGINT) % n + 1 AS rn
+      FROM (SELECT n, unnest(range(9999 * n)) AS range FROM (SELECT count(*) AS n FROM {rows}))) JOIN {rows} USING (rn))"""
+
+
+@query(
+    "bootstrap_interval",
+    f"""WITH {_DAILY}, o AS (SELECT row_number() OVER (ORDER BY event_type, day) AS rn, ret AS v FROM d WHERE ret IS NOT NULL), {_draws_sql("o", "b", 7)},
+    t AS (SELECT avg(v) AS mean, stddev_pop(v) AS std FROM b GROUP BY rep),
+    q AS (SELECT quantile_cont(mean, 0.025) AS ml, quantile_cont(mean, 0.975) AS mh, quantile_cont(std, 0.025) AS sl, quantile_cont(std, 0.975) AS sh FROM t)
+    SELECT round(ml, 8) AS mean_low, round(mh, 8) AS mean_high, round(sl, 8) AS std_low, round(sh, 8) AS std_high,
+    round(sqrt(252) * ml / sh, 6) AS sharpe_low, round(sqrt(252) * mh / sl, 6) AS sharpe_high FROM q""",
+)
 def bootstrap_interval(spark, sf):
     daily = _daily_returns(spark, sf)
-    return st.sharpe_bounds(st.bootstrap_interval(daily, "ret", ["event_type", "day"], seed=7))
+    out = st.sharpe_bounds(st.bootstrap_interval(daily, "ret", ["event_type", "day"], seed=7))
+    return out.select(*[F.round(c, 6 if c.startswith("sharpe") else 8).alias(c) for c in out.columns])
 
 
-@query("bootstrap_std_gap")
+@query(
+    "bootstrap_std_gap",
+    f"""WITH e AS (SELECT CAST(ts AS DATE) AS day, avg(CASE WHEN event_type = 'click' THEN value END) AS click, avg(CASE WHEN event_type = 'view' THEN value END) AS view
+      FROM events GROUP BY 1),
+    c AS (SELECT row_number() OVER (ORDER BY day) AS rn, click AS v FROM e WHERE click IS NOT NULL), w AS (SELECT row_number() OVER (ORDER BY day) AS rn, view AS v FROM e WHERE view IS NOT NULL),
+    {_draws_sql("c", "x", 7)}, {_draws_sql("w", "y", 8)},
+    g AS (SELECT a.s - b.s AS gap FROM (SELECT rep, stddev_pop(v) AS s FROM x GROUP BY rep) a JOIN (SELECT rep, stddev_pop(v) AS s FROM y GROUP BY rep) b USING (rep))
+    SELECT round(quantile_cont(gap, 0.025), 8) AS gap_low, round(quantile_cont(gap, 0.975), 8) AS gap_high FROM g""",
+)
 def bootstrap_std_gap(spark, sf):
     wide = (
         table(spark, sf, "events")
@@ -264,7 +286,8 @@ def bootstrap_std_gap(spark, sf):
             F.avg(F.when(F.col("event_type") == "view", F.col("value"))).alias("view"),
         )
     )
-    return st.bootstrap_std_gap(wide, "click", "view", ["day"], seed=7)
+    out = st.bootstrap_std_gap(wide, "click", "view", ["day"], seed=7)
+    return out.select(*[F.round(c, 8).alias(c) for c in out.columns])
 
 
 @query(

@@ -141,32 +141,83 @@ def _split(spark, sf, threshold=0.3):
     return series.split_pivots(series.zigzag(bars(spark, sf), "symbol", "ts", threshold), "symbol", "ts")
 
 
-@query("zigzag_pivots")
+def _zigzag_sql(thresholds):
+    """Pivots ``pv`` (symbol, h, ts, close, pivot_no) of ``bars`` for each threshold, bar by bar."""
+    values = ", ".join(f"({t!r}::DOUBLE)" for t in thresholds)
+    return f"""zn AS MATERIALIZED (SELECT symbol, h, ts, CAST(close AS DOUBLE) AS close, row_number() OVER (PARTITION BY symbol, h ORDER BY ts) AS k
+      FROM bars, (VALUES {values}) t(h)),
+    zs AS (SELECT symbol, h, k, 0 AS dir, close AS hi, close AS lo, k AS hik, k AS lok, k AS found FROM zn WHERE k = 1
+      UNION ALL SELECT symbol, h, k,
+        CASE WHEN dir >= 0 AND fallen THEN -1 WHEN dir <= 0 AND risen THEN 1 ELSE dir END,
+        CASE WHEN dir <= 0 AND risen AND NOT (dir = 0 AND fallen) THEN p ELSE hi END,
+        CASE WHEN dir >= 0 AND fallen THEN p ELSE lo END,
+        CASE WHEN dir <= 0 AND risen AND NOT (dir = 0 AND fallen) THEN k ELSE hik END,
+        CASE WHEN dir >= 0 AND fallen THEN k ELSE lok END,
+        CASE WHEN dir = 1 AND fallen THEN hik WHEN dir = -1 AND risen THEN lok END
+      FROM (SELECT *, p <= hi * (1 - h) AND p < hi AS fallen, p >= lo * (1 + h) AND p > lo AS risen FROM (
+        SELECT zn.symbol, zn.h, zn.k, zn.close AS p, zs.dir,
+          CASE WHEN zs.dir >= 0 AND zn.close > zs.hi THEN zn.close ELSE zs.hi END AS hi, CASE WHEN zs.dir >= 0 AND zn.close > zs.hi THEN zn.k ELSE zs.hik END AS hik,
+          CASE WHEN zs.dir <= 0 AND zn.close < zs.lo THEN zn.close ELSE zs.lo END AS lo, CASE WHEN zs.dir <= 0 AND zn.close < zs.lo THEN zn.k ELSE zs.lok END AS lok
+        FROM zs JOIN zn ON zn.symbol = zs.symbol AND zn.h = zs.h AND zn.k = zs.k + 1))),
+    zl AS (SELECT symbol, h, arg_max(dir, k) AS dir, arg_max(hik, k) AS hik, arg_max(lok, k) AS lok, max(k) AS k FROM zs GROUP BY symbol, h),
+    zp AS (SELECT symbol, h, found AS k FROM zs WHERE found IS NOT NULL UNION SELECT symbol, h, CASE dir WHEN 1 THEN hik ELSE lok END FROM zl WHERE dir <> 0
+      UNION SELECT symbol, h, k FROM zl),
+    pv AS MATERIALIZED (SELECT symbol, h, zn.ts, zn.close, row_number() OVER (PARTITION BY symbol, h ORDER BY zn.ts) - 1 AS pivot_no FROM zp JOIN zn USING (symbol, h, k))"""
+
+
+@query("zigzag_pivots", f"WITH RECURSIVE {BARS}, {_zigzag_sql([series.REVERSAL])} SELECT {_ID}, round(close, 6) AS close, pivot_no FROM pv")
 def zigzag_pivots(spark, sf):
     return _out(series.zigzag(bars(spark, sf), "symbol", "ts"), "close", "pivot_no")
 
 
-@query("zigzag_line")
+@query(
+    "zigzag_line",
+    f"""WITH RECURSIVE {BARS}, {_zigzag_sql([0.3])},
+    m AS (SELECT b.symbol, b.ts, b.close, max(pv.ts) OVER p AS t0, min(pv.ts) OVER q AS t1 FROM bars b LEFT JOIN pv ON pv.symbol = b.symbol AND pv.ts = b.ts
+      WINDOW p AS (PARTITION BY b.symbol ORDER BY b.ts), q AS (PARTITION BY b.symbol ORDER BY b.ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+    SELECT m.symbol, CAST(epoch(m.ts) AS BIGINT) AS ts, round(m.close, 6) AS close,
+    round(a.close + coalesce((epoch_us(m.ts) - epoch_us(t0))::DOUBLE / nullif(epoch_us(t1) - epoch_us(t0), 0), 0) * (z.close - a.close), 6) AS line
+    FROM m JOIN pv a ON a.symbol = m.symbol AND a.ts = t0 JOIN pv z ON z.symbol = m.symbol AND z.ts = t1""",
+)
 def zigzag_line(spark, sf):
     b = bars(spark, sf)
     return _out(series.zigzag_line(b, series.zigzag(b, "symbol", "ts", 0.3), "symbol", "ts"), "close", "line")
 
 
-@query("threshold_sweep")
+_SWEEP = [i / 1000 for i in range(51)]
+
+
+@query("threshold_sweep", f"WITH RECURSIVE {BARS}, {_zigzag_sql(_SWEEP)} SELECT symbol, h AS threshold, count(*) AS pivots FROM pv GROUP BY symbol, h")
 def threshold_sweep(spark, sf):
-    pivots = series.threshold_sweep(bars(spark, sf), "symbol", "ts", [i / 1000 for i in range(51)])
+    pivots = series.threshold_sweep(bars(spark, sf), "symbol", "ts", _SWEEP)
     return pivots.groupBy("symbol", "threshold").agg(F.count(F.lit(1)).alias("pivots"))
 
 
-@query("split_pivots")
+_SPLIT = f"""{_zigzag_sql([0.3])},
+    ps AS (SELECT symbol, count(*) AS n, max(CASE WHEN pivot_no = 1 THEN close END) AS one, max(CASE WHEN pivot_no = 2 THEN close END) AS two FROM pv GROUP BY symbol),
+    sp AS MATERIALIZED (SELECT pv.symbol, ts, close, pivot_no, CASE WHEN (pivot_no % 2 = 1) = (one < two) THEN 'low' ELSE 'high' END AS kind
+      FROM pv JOIN ps USING (symbol) WHERE n >= 4 AND pivot_no > 0)"""
+
+
+@query("split_pivots", f"WITH RECURSIVE {BARS}, {_SPLIT} SELECT {_ID}, round(close, 6) AS close, pivot_no, kind FROM sp")
 def split_pivots(spark, sf):
     return _out(_split(spark, sf), "close", "pivot_no", "kind")
 
 
-@query("buy_points")
+@query(
+    "buy_points",
+    f"""WITH {_CLASSIC}, {_SIGNALS}, {_SPLIT},
+    hs AS (SELECT s.symbol, s.ts AS signal, arg_min(sp.close, sp.ts) AS high_close FROM s JOIN sp ON sp.symbol = s.symbol AND sp.kind = 'high' AND sp.ts >= s.ts GROUP BY 1, 2)
+    SELECT hs.symbol, CAST(epoch(signal) AS BIGINT) AS signal_time, round(high_close, 6) AS high_close, CAST(epoch(min(sp.ts)) AS BIGINT) AS buy_time,
+    round(arg_min(sp.close, sp.ts), 6) AS buy_close
+    FROM hs JOIN sp ON sp.symbol = hs.symbol AND sp.kind = 'low' AND sp.ts >= signal AND sp.close > high_close GROUP BY hs.symbol, signal, high_close""",
+)
 def buy_points(spark, sf):
     out = series.buy_points(_signals(spark, sf), _split(spark, sf), "symbol", "ts")
-    return out.select("symbol", "signal_time", "high_close", "buy_time", "buy_close")
+    return out.select(
+        "symbol", F.unix_timestamp("signal_time").alias("signal_time"), F.round("high_close", 6).alias("high_close"),
+        F.unix_timestamp("buy_time").alias("buy_time"), F.round("buy_close", 6).alias("buy_close"),
+    )
 
 
 def _sightings(spark, sf):
@@ -183,9 +234,32 @@ def _stop_entries(spark, sf):
     return _signals(spark, sf).select("symbol", "ts")
 
 
-@query("trailing_stops")
+_D = lambda x: f"{x!r}::DOUBLE"
+
+
+@query(
+    "trailing_stops",
+    f"""WITH {_CLASSIC}, {_SIGNALS},
+    tb AS MATERIALIZED (SELECT symbol, ts, CAST(close AS DOUBLE) AS close, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS k, count(*) OVER (PARTITION BY symbol) AS n FROM bars),
+    tr AS (SELECT tb.symbol, tb.k AS k0, tb.ts AS t0, tb.close AS p0, tb.k, tb.ts, tb.close AS p, tb.n, tb.close * {_D(trading.STOP)} AS stop, {_D(trading.STOP)} AS coeff,
+        tb.close AS high, tb.close * {_D(trading.RISE_STEP)} AS step, NULL::DOUBLE AS booked, 0 AS sold FROM tb JOIN s ON s.symbol = tb.symbol AND s.ts = tb.ts
+      UNION ALL SELECT symbol, k0, t0, p0, k, ts, p, n, CASE WHEN up THEN p * coeff2 ELSE stop END, coeff2, CASE WHEN up THEN p ELSE high END,
+        CASE WHEN up AND p > step THEN step * {_D(trading.RISE_STEP)} ELSE step END, booked2, CASE WHEN p < stop THEN 1 ELSE 0 END
+      FROM (SELECT *, NOT p < stop AND p > high AS up,
+          CASE WHEN NOT p < stop AND p > high AND p > step THEN greatest({_D(trading.STOP_FLOOR)}, coeff - {_D(trading.STOP_STEP)}) ELSE coeff END AS coeff2,
+          CASE WHEN booked IS NULL AND p > p0 * {_D(trading.HALF_SELL)} THEN (p - p0) / p0 ELSE booked END AS booked2
+        FROM (SELECT tr.symbol, tr.k0, tr.t0, tr.p0, tb.k, tb.ts, tb.close AS p, tr.n, tr.stop, tr.coeff, tr.high, tr.step, tr.booked
+          FROM tr JOIN tb ON tb.symbol = tr.symbol AND tb.k = tr.k + 1 WHERE tr.sold = 0)))
+    SELECT symbol, CAST(epoch(t0) AS BIGINT) AS entry_time, round(p0, 6) AS entry_price, CAST(epoch(ts) AS BIGINT) AS exit_time, round(p, 6) AS exit_price,
+    round(CASE WHEN booked IS NULL THEN (p - p0) / p0 ELSE 0.5 * booked + 0.5 * ((p - p0) / p0) END, 6) AS ret, sold AS stopped
+    FROM tr WHERE k > k0 AND (sold = 1 OR k = n)""",
+)
 def trailing_stops(spark, sf):
-    return trading.trailing_stops(bars(spark, sf), _stop_entries(spark, sf), "symbol", "ts")
+    out = trading.trailing_stops(bars(spark, sf), _stop_entries(spark, sf), "symbol", "ts")
+    return out.select(
+        "symbol", F.unix_timestamp("entry_time").alias("entry_time"), F.round("entry_price", 6).alias("entry_price"),
+        F.unix_timestamp("exit_time").alias("exit_time"), F.round("exit_price", 6).alias("exit_price"), F.round("ret", 6).alias("ret"), "stopped",
+    )
 
 
 _PLAIN_STOPS = f"""WITH {_CLASSIC}, {_SIGNALS},
