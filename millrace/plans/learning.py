@@ -113,6 +113,9 @@ def flattened_embeddings(spark, sf):
 # --- streams ------------------------------------------------------------------
 
 
+_LATE = "45 days"  # the events span a month, and files may come in any order
+
+
 def _event_stream(spark, sf):
     return live.stream_table(spark, sf, table(spark, sf, "events").schema, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -121,7 +124,7 @@ def _event_stream(spark, sf):
 def stream_without_repeats(spark, sf):
     # Each row arrives three times, as it would from overlapping batches.
     stream = _event_stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
-    out = live.without_repeats(stream.withColumn("symbol", F.col("user_id") % 25), ["symbol", "event_id"], "ts")
+    out = live.without_repeats(stream.withColumn("symbol", F.col("user_id") % 25), ["symbol", "event_id"], "ts", _LATE)
     return live.drain(out.select("event_id", "symbol", "value"))
 
 
@@ -137,7 +140,7 @@ def stream_interval_join(spark, sf):
     w = _event_stream(spark, sf).filter("event_type <> 'purchase'").select(
         F.col("event_id").alias("reading_id"), F.col("user_id").alias("place"), F.col("ts").alias("taken"), "value"
     )
-    out = live.timed_join(e, w, "place", "due", "taken", lo_hours=-24)
+    out = live.timed_join(e, w, "place", "due", "taken", _LATE, lo_hours=-24)
     return live.drain(out.select("event_id", "place", "reading_id", "value"))
 
 
@@ -156,6 +159,7 @@ def stream_trailing_stops(spark, sf):
     rows = indicators.join(signals, ["symbol", "ts"], "left").select("symbol", "ts", "close", F.coalesce("is_entry", F.lit(0)).alias("is_entry"))
     folder = f"{stage_dir(spark)}/bars-{uuid.uuid4().hex}"
     rows.write.parquet(folder)
+    live.clock_row(rows, "ts", _LATE).write.mode("append").parquet(folder)
     stream = live.stream_table(spark, folder, rows.schema, "*.parquet")
-    out = live.drain(live.live_stops(stream, "symbol", "ts", half_sell=False))
+    out = live.drain(live.live_stops(stream, "symbol", "ts", _LATE, half_sell=False))
     return out.select("symbol", F.unix_timestamp("entry_time").alias("entry_time"), F.unix_timestamp("exit_time").alias("exit_time"), F.round("ret", 6).alias("ret"))

@@ -1,4 +1,9 @@
-"""Streaming forms of the batch ingest, the trailing stop and the interval join."""
+"""Streaming forms of the batch ingest, the trailing stop and the interval join.
+
+Every form takes ``delay``, the most event time by which a row may come after later
+ones. Rows that are later still are dropped, as a watermark has it; up to it
+results do not depend on how rows are dealt over files and triggers.
+"""
 
 from __future__ import annotations
 
@@ -41,7 +46,7 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
-def without_repeats(stream: DataFrame, keys: Sequence[str], time: str, delay: str = "1 hour") -> DataFrame:
+def without_repeats(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
     """Late, overlapping batches without repeated rows.
 
     A repeat is dropped when it comes at most ``delay`` of event time after the
@@ -56,9 +61,9 @@ def timed_join(
     key: str,
     event_time: str,
     reading_time: str,
+    delay: str,
     lo_hours: int = -4,
     hi_hours: int = -2,
-    delay: str = "1 hour",
 ) -> DataFrame:
     """Readings between ``event + lo`` and ``event + hi`` as both streams arrive.
 
@@ -72,16 +77,18 @@ def timed_join(
     return e.join(r, (F.col(key) == F.col("__r_key")) & bound, "inner").drop("__r_key")
 
 
-def live_stops(stream: DataFrame, symbol: str, time: str, half_sell: bool = True) -> DataFrame:
-    """Exits of trailing-stop trades as bars arrive; open trades are the state.
+def live_stops(stream: DataFrame, symbol: str, time: str, delay: str, half_sell: bool = True) -> DataFrame:
+    """Exits of trailing-stop trades as bars arrive.
 
-    Rows hold symbol, time, close and ``is_entry``. Within a trigger the bars of a
-    symbol are put in time order; triggers have to come in time order. The state
-    is the list of open trades only.
+    Rows hold symbol, time, close and ``is_entry``. Bars wait in the state until the
+    watermark has passed them and are then worked on in time order, so files may come in any
+    order within ``delay``. The state is the waiting bars and open trades; a symbol with
+    neither has none. Bars newer than the watermark stay waiting: a row without a symbol and
+    with a later time moves it on (see ``clock_row``).
     """
     step = stop_step(half_sell)
-    rows = stream.select(
-        symbol, F.unix_micros(F.col(time).cast("timestamp")).alias("__time"), F.col("close").cast("double").alias("close"), "is_entry"
+    rows = stream.withWatermark(time, delay).select(
+        symbol, time, F.unix_micros(F.col(time).cast("timestamp")).alias("__time"), F.col("close").cast("double").alias("close"), "is_entry"
     )
     out = T.StructType(
         [
@@ -94,19 +101,43 @@ def live_stops(stream: DataFrame, symbol: str, time: str, half_sell: bool = True
         ]
     )
     names = [f.name for f in out.fields]
+    columns = ["__time", "close", "is_entry"]
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        bars = pd.concat(list(batches)).sort_values("__time", kind="stable").reset_index(drop=True)
-        bars["__last"] = False
-        before = json.loads(state.get[0]) if state.exists else None
-        done, after = step(key, before, bars)
-        state.update((json.dumps(after),))
-        yield done[names]
+        if pd.isna(key[0]):  # a clock row
+            return
+        saved = json.loads(state.get[0]) if state.exists else {"live": [], "waiting": []}
+        fresh = [] if state.hasTimedOut else [r for b in batches for r in b[columns].values.tolist()]
+        waiting = sorted([*saved["waiting"], *fresh])
+        passed = state.getCurrentWatermarkMs() * 1000
+        due = [r for r in waiting if r[0] <= passed]
+        waiting = waiting[len(due) :]
+        live = saved["live"]
+        if due:
+            bars = pd.DataFrame(due, columns=columns).astype({"__time": "int64", "is_entry": "int64"})
+            bars["__last"] = False
+            done, after = step(key, {"live": live}, bars)
+            live = after["live"]
+            yield done[names]
+        if waiting or live:
+            state.update((json.dumps({"live": live, "waiting": waiting}),))
+            if waiting:
+                state.setTimeoutTimestamp(int(max(waiting[0][0] // 1000, passed // 1000 + 1)))
+        elif state.exists:
+            state.remove()
 
     closed = rows.groupBy(symbol).applyInPandasWithState(
-        advance, out, T.StructType([T.StructField("live", T.StringType())]), "append", GroupStateTimeout.NoTimeout
+        advance, out, T.StructType([T.StructField("kept", T.StringType())]), "append", GroupStateTimeout.EventTimeTimeout
     )
     return closed.select(
         F.col("__key").alias(symbol), F.timestamp_micros("__in").alias("entry_time"), "entry_price",
         F.timestamp_micros("__out").alias("exit_time"), "exit_price", "ret",
     )
+
+
+def clock_row(bars: DataFrame, time: str, delay: str) -> DataFrame:
+    """One row without a symbol that, once it has arrived, moves the watermark past every bar."""
+    later = (F.max(time) + F.expr(f"INTERVAL {delay}") + F.expr("INTERVAL 1 HOUR")).alias(time)
+    last = bars.agg(later)
+    kinds = {f.name: f.dataType for f in bars.schema.fields}
+    return last.select(*[F.col(time) if c == time else F.lit(None).cast(kinds[c]).alias(c) for c in bars.columns])

@@ -163,14 +163,36 @@ def test_later_history_does_not_change_but_start_does(spark, sf):
     assert all(n == s for n, s in same.values())
 
 
-def test_streamed_stops_equal_batch_stops(spark, tmp_path):
+@pytest.mark.parametrize("days, per_trigger", [(range(10), 1), ([7, 2, 9, 0, 4, 1, 8, 3, 6, 5], 1), (range(9, -1, -1), 3), ([5, 0, 9], 100)])
+def test_streamed_stops_do_not_depend_on_files(spark, tmp_path, days, per_trigger):
     closes = walk(240, 9, 0.02)
     df = frame(spark, closes).withColumn("is_entry", F.when(F.hour("ts") == 3, 1).otherwise(0)).select("symbol", "ts", "close", "is_entry")
+    days = list(days)
+    df = df.where(F.datediff("ts", F.lit(T0.date())).isin(days))
     batch = trading.trailing_stops(df, df.filter("is_entry = 1"), "symbol", "ts").filter("stopped = 1")
     folder = str(tmp_path / "bars")
-    for day in range(10):  # one trigger per day, in time order
+    for day in days:
         df.filter(F.datediff("ts", F.lit(T0.date())) == day).coalesce(1).write.mode("append").parquet(folder)
-    stream = live.stream_table(spark, folder, df.schema, "*.parquet", per_trigger=1)
-    got = live.drain(live.live_stops(stream, "symbol", "ts"))
+    live.clock_row(df, "ts", "20 days").coalesce(1).write.mode("append").parquet(folder)
+    stream = live.stream_table(spark, folder, df.schema, "*.parquet", per_trigger=per_trigger)
+    got = live.drain(live.live_stops(stream, "symbol", "ts", "20 days"))
     rows = lambda d: sorted((r.entry_time, r.exit_time, round(r.ret, 9)) for r in d.collect())
     assert rows(got) == rows(batch) and rows(got)
+
+
+@pytest.mark.parametrize("per_trigger", [1, 100])
+def test_streamed_dedupe_and_join_do_not_depend_on_files(spark, tmp_path, per_trigger):
+    rows = [(k, k % 3, T0 + dt.timedelta(hours=k * 7 % 240)) for k in range(120)]
+    df = spark.createDataFrame(rows, "id int, place int, ts timestamp")
+    folder = str(tmp_path / "rows")
+    for part in (3, 0, 4, 1, 2, 0, 3):  # parts 0 and 3 come twice
+        df.filter(F.col("id") % 5 == part).coalesce(1).write.mode("append").parquet(folder)
+    stream = lambda: live.stream_table(spark, folder, df.schema, "*.parquet", per_trigger=per_trigger)
+    once = live.drain(live.without_repeats(stream(), ["id"], "ts", "20 days"))
+    assert sorted(r.id for r in once.collect()) == list(range(120))
+    events = stream().select(F.col("id").alias("event"), "place", F.col("ts").alias("due"))
+    readings = stream().select(F.col("id").alias("reading"), "place", F.col("ts").alias("taken"))
+    got = live.drain(live.timed_join(events, readings, "place", "due", "taken", "20 days").select("event", "reading"))
+    times = {k: t for k, _, t in rows}
+    want = {(a, b) for a in times for b in times if a % 3 == b % 3 and dt.timedelta(hours=-4) <= times[b] - times[a] <= dt.timedelta(hours=-2)}
+    assert {(r.event, r.reading) for r in got.collect()} == want and want
