@@ -11,6 +11,9 @@ def flag(cond: Column) -> Column:
     return F.when(cond, 1).otherwise(0)
 
 
+# Hours of the parts of a day, months of the holiday season, limits and names of rate bands and states.
+
+
 def day_part(hour: Column) -> Column:
     return (
         F.when(hour.between(5, 9), "morning")

@@ -8,20 +8,6 @@ from pyspark.sql import functions as F
 # Fixed value: sphere radius in km used for distances; 6371 is the usual mean.
 RADIUS_KM = 6391.0
 
-# Heat-index polynomial, (power of temperature, power of humidity, factor).
-HEAT_TERMS = (
-    (0, 0, -42.379),
-    (1, 0, 2.04901523),
-    (0, 1, 10.14333127),
-    (1, 1, -0.22475541),
-    (2, 0, -6.83783e-3),
-    (0, 2, -5.481717e-2),
-    (2, 1, 1.22874e-3),
-    (1, 2, 8.5282e-4),
-    (2, 2, -1.99e-6),
-)
-
-
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius: float = RADIUS_KM) -> Column:
     half = lambda a, b: F.pow(F.sin(F.radians(b - a) / 2), 2)
     h = half(lat1, lat2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half(lon1, lon2)
@@ -30,9 +16,14 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius:
 
 def heat_index(temp: Column, humidity: Column) -> Column:
     """Felt temperature from 80 degrees and 40 % humidity on; the temperature below that."""
-    total = F.lit(0.0)
-    for p, q, factor in HEAT_TERMS:
-        total = total + F.lit(factor) * F.pow(temp, F.lit(p)) * F.pow(humidity, F.lit(q))
+    t, h = temp, humidity
+    # Factors of the public regression for the heat index.
+    constant, by_t, by_h, by_th = -42.379, 2.04901523, 10.14333127, -0.22475541
+    by_tt, by_hh, by_tth, by_thh, by_tthh = -6.83783e-3, -5.481717e-2, 1.22874e-3, 8.5282e-4, -1.99e-6
+    linear = by_t * t + by_h * h + by_th * t * h
+    square = by_tt * t * t + by_hh * h * h
+    mixed = by_tth * t * t * h + by_thh * t * h * h + by_tthh * t * t * h * h
+    total = constant + linear + square + mixed
     return F.when((temp >= 80) & (humidity >= 40), total).otherwise(temp)
 
 

@@ -2,6 +2,7 @@
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from millrace.functions import times
@@ -61,6 +62,33 @@ def json_field(spark, sf):
     return table(spark, sf, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
 
 
+@query("json_files", """SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS k, count(*) AS n FROM events GROUP BY 1""")
+def json_files(spark, sf):
+    path = _fresh(spark, "json")
+    sinks.write_lines(table(spark, sf, "events"), F.col("props"), path)
+    return readers.read_json(spark, path, "k int").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("period_files", "SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) IN (1997, 1998) AND month(o_orderdate) <= 6")
+def period_files(spark, sf):
+    path = _fresh(spark, "periods")
+    df = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"))
+    df.repartition("y", "m").write.partitionBy("y", "m").parquet(path)
+    return readers.read_table(spark, readers.period_paths(f"{path}/y={{year}}/m={{month}}", [1997, 1998], range(1, 7)))
+
+
+@query("write_refused", "SELECT r_regionkey, r_name, true AS refused FROM region")
+def write_refused(spark, sf):
+    path, df = _fresh(spark, "once"), table(spark, sf, "region").select("r_regionkey", "r_name")
+    sinks.write_table(df, path)
+    try:
+        sinks.write_table(df.limit(1), path)
+        refused = False
+    except AnalysisException:
+        refused = True
+    return readers.read_table(spark, path).withColumn("refused", F.lit(refused))
+
+
 @query("staged_parquet", "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1")
 def staged_parquet(spark, sf):
     return stage(table(spark, sf, "lineitem").select("l_returnflag")).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))

@@ -58,35 +58,31 @@ def read_tar_csv(
 ) -> DataFrame:
     """Rows of all CSV members of tar archives, all columns text, with archive and member names.
 
-    Archives are read in parallel, one task each, and their members streamed in
-    chunks. An archive has to be under 2 GB, the size limit of a binary value.
-    Columns a member lacks are null.
+    Archives are read in parallel wherever Spark can read them, one at a time in a task and
+    without a shuffle, and their members streamed in chunks. An archive is one value and so
+    has to be under 2 GB; split larger ones. Columns a member lacks are null.
     """
     schema = T.StructType(
         [T.StructField(c, T.StringType()) for c in ("archive", "member", *columns)]
     )
     names = list(columns)
 
-    def untar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
-                    for member in tar:
-                        if not member.isfile() or not member.name.endswith(".csv"):
-                            continue
-                        rows = pd.read_csv(
-                            tar.extractfile(member), dtype=str, chunksize=chunk_rows, keep_default_na=False, na_values=[""]
-                        )
-                        for chunk in rows:
-                            chunk = chunk.reindex(columns=names)
-                            chunk.insert(0, "member", member.name)
-                            chunk.insert(0, "archive", path)
-                            yield chunk.astype(object).where(chunk.notna(), None)
-
-    files = spark.read.format("binaryFile").load(path_glob).select("path", "content")
-    # One archive per batch: a batch of contents would hold many archives in memory.
-    files = files.repartition(F.col("path"))
-    return files.mapInPandas(untar, schema)
+    def untar(archive: tuple[str, bytes]) -> Iterator[tuple]:
+        path, content = archive
+        with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
+            for member in tar:
+                if not member.isfile() or not member.name.endswith(".csv"):
+                    continue
+                rows = pd.read_csv(
+                    tar.extractfile(member), dtype=str, chunksize=chunk_rows, keep_default_na=False, na_values=[""]
+                )
+                for chunk in rows:
+                    chunk = chunk.reindex(columns=names).astype(object)
+                    for values in chunk.where(chunk.notna(), None).itertuples(index=False, name=None):
+                        yield (path, member.name, *values)
+
+    # A DataFrame of file contents would hand many archives to a task at once.
+    return spark.createDataFrame(spark.sparkContext.binaryFiles(path_glob).flatMap(untar), schema)
 
 
 def flatten_tree(df: DataFrame, children: str = "c", depth: str = "d", max_depth: int = 3) -> DataFrame:
