@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.functions import maths
 from millrace.operators.keyed import join_on, largest_group, salted_join, top_per_group
@@ -26,6 +27,59 @@ def _cell(h: float) -> dict[str, Column]:
     return {f"__c{a}": F.floor(F.col(f"__{a}") / F.lit(h)) for a in "xyz"}
 
 
+_POSITION = ["__llat", "__llon"]
+_CELL = ["__cx", "__cy", "__cz"]
+
+
+def _within_bound(pairs: DataFrame, h: float, k: int) -> DataFrame:
+    """Pairs of a left position and a cell that can hold one of its ``k`` nearest points.
+
+    The bound is the largest distance to the nearest cells that together hold ``k`` points.
+    """
+    near = far = F.lit(0.0)
+    for a in "xyz":
+        low, x = F.col(f"__c{a}") * F.lit(h), F.col(f"__{a}")
+        near = near + F.pow(F.greatest(low - x, x - low - h, F.lit(0.0)), 2)
+        far = far + F.pow(F.greatest(F.abs(x - low), F.abs(x - low - h)), 2)
+    ordered = Window.partitionBy(*_POSITION).orderBy("__far")
+    every = Window.partitionBy(*_POSITION)
+    marked = pairs.withColumn("__near", near).withColumn("__far", far).withColumn("__sum", F.sum("__n").over(ordered))
+    bound = F.min(F.when(F.col("__sum") >= k, F.col("__far"))).over(every)
+    kept = marked.withColumn("__bound", bound).where(F.col("__bound").isNull() | (F.col("__near") <= F.col("__bound") * (1 + 1e-9)))
+    return kept.drop("__near", "__far", "__sum", "__bound")
+
+
+def _descend(rest: DataFrame, points: DataFrame, k: int, fine: float) -> DataFrame:
+    """Left positions with the points of all cells that can hold one of their ``k`` nearest.
+
+    From the cells of the whole sphere down, a level at a time, each position keeps the
+    cells within its bound, so a position far from every point meets few of them.
+    """
+    count = lambda h: points.withColumns(_cell(h)).groupBy(*_CELL).agg(F.count(F.lit(1)).alias("__n"))
+    h = _SPHERE
+    top = [F.struct(*[F.lit(v).alias(c) for c, v in r.asDict().items()]) for r in count(h).collect()]  # 27 cells at most
+    found = rest.withColumn("__top", F.explode(F.array(*top))).select(*rest.columns, "__top.*")
+    found = stage(_within_bound(found, h, k))
+    while h > fine:
+        h /= 4
+        above = {f"__p{c}": F.floor(F.col(c) / 4) for c in _CELL}
+        below = count(h).withColumns(above)
+        parents = found.drop("__n").withColumnsRenamed({c: f"__p{c}" for c in _CELL})
+        found = stage(_within_bound(parents.join(below, list(above)).drop(*above), h, k))
+    there = points.withColumns(_cell(fine)).withColumnsRenamed({f"__{a}": f"__r{a}" for a in "xyz"})
+    return found.drop("__n").join(there, _CELL)
+
+
+def _nearest_of(pairs: DataFrame, k: int, radius: float, within: float | None = None) -> DataFrame:
+    """The ``k`` nearest of the paired points of each left position, within a chord if given."""
+    chord2 = sum((F.pow(F.col(f"__{a}") - F.col(f"__r{a}"), 2) for a in "xyz"), F.lit(0.0))
+    if within is not None:
+        pairs = pairs.filter(F.sqrt(chord2) <= within)
+    away = maths.haversine_km(F.col("__llat"), F.col("__llon"), F.col("__rlat"), F.col("__rlon"), radius)
+    pairs = pairs.select(*_POSITION, "__rid", away.alias("distance_km"))
+    return top_per_group(pairs, _POSITION, [F.asc("distance_km"), F.asc("__rid")], k).select(*_POSITION, "__rid", "distance_km", "rank")
+
+
 def nearest(
     left: DataFrame,
     right: DataFrame,
@@ -39,8 +93,10 @@ def nearest(
     Both key tuples are ``(id, lat, lon)``. Points are put on a cubic grid over
     the unit sphere and joined to the 27 cells around them, which holds every
     point within one cell width. Left points without ``k`` hits inside that
-    width go on to a grid four times as wide, so most of the work stays in small
-    cells and the result is exact. Ties go to the smaller id.
+    width go on to a grid four times as wide, and those without ``k`` hits there
+    descend from the whole sphere, keeping cells within their best distance so far.
+    So no position meets points that can't be among its nearest, other than those of a
+    few cells, and the result is exact. Ties go to the smaller id.
     """
     lid, llat, llon = left_key
     rid, rlat, rlon = right_key
@@ -56,32 +112,21 @@ def nearest(
     while h > 1e-6 and largest_group(rpos.withColumns(_cell(h)).select("__cx", "__cy", "__cz"), ["__cx", "__cy", "__cz"]) > _CELL_POINTS:
         h /= 4
     around = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    rest, found = lpos, None
-    while True:
-        cells = rest.withColumns(_cell(h))
+    fine, rest, found = h, lpos, None
+    for width in (fine, 4 * fine):
+        cells = rest.withColumns(_cell(width))
         for a in "xyz":
             cells = cells.withColumn("__s", F.explode(around)).withColumn(f"__c{a}", F.col(f"__c{a}") + F.col("__s"))
-        there = rpos.withColumns(_cell(h)).withColumnsRenamed({f"__{a}": f"__r{a}" for a in "xyz"})
-        pairs = cells.drop("__s").join(there, ["__cx", "__cy", "__cz"])
-        chord2 = sum((F.pow(F.col(f"__{a}") - F.col(f"__r{a}"), 2) for a in "xyz"), F.lit(0.0))
-        pairs = pairs.select(
-            "__llat", "__llon", "__x", "__y", "__z", "__rid", F.sqrt(chord2).alias("__chord"),
-            maths.haversine_km(F.col("__llat"), F.col("__llon"), F.col("__rlat"), F.col("__rlon"), radius).alias("distance_km"),
-        )
-        if h < _SPHERE:
-            pairs = pairs.filter(F.col("__chord") <= h)
-        best = top_per_group(pairs, ["__llat", "__llon"], [F.asc("distance_km"), F.asc("__rid")], k)
-        best = stage(best)
-        enough = best.filter(F.col("rank") == k).select("__llat", "__llon")
-        hits = best if h >= _SPHERE else best.join(enough, ["__llat", "__llon"], "left_semi")
-        hits = hits.select("__llat", "__llon", "__rid", "distance_km", "rank")
+        there = rpos.withColumns(_cell(width)).withColumnsRenamed({f"__{a}": f"__r{a}" for a in "xyz"})
+        best = stage(_nearest_of(cells.drop("__s").join(there, _CELL), k, radius, width))
+        hits = best.join(best.filter(F.col("rank") == k).select(*_POSITION), _POSITION, "left_semi")
         found = hits if found is None else found.unionByName(hits)
-        if h >= _SPHERE:
-            break
-        rest = stage(rest.join(enough, ["__llat", "__llon"], "left_anti"))
+        rest = stage(rest.join(hits.select(*_POSITION).distinct(), _POSITION, "left_anti"))
         if rest.isEmpty():
             break
-        h *= 4
+    else:
+        if not rpos.isEmpty():
+            found = found.unionByName(stage(_nearest_of(_descend(rest, rpos, k, fine), k, radius)))
     ids = left.select(lid, F.col(llat).alias("__llat"), F.col(llon).alias("__llon"))
     out = ids.join(found, ["__llat", "__llon"])
     return out.select(lid, F.col("__rid").alias(rid), "distance_km", "rank")

@@ -108,3 +108,26 @@ def test_asof_with_null_keys_and_times(spark):
     for direction, found in want.items():
         got = joins.asof(left, right, ["k"], "t", "rt", ["v"], direction).collect()
         assert {r["id"]: r["matched_v"] for r in got} == found
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_nearest_of_far_points_meets_few(spark, k, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    near = [(f"l{i}", rng.uniform(-5, 5), rng.uniform(-5, 5)) for i in range(60)] + [(f"m{i}", rng.uniform(60, 80), rng.uniform(90, 100)) for i in range(60)]
+    far = [(f"r{i}", rng.uniform(-30, -10), rng.uniform(150, 179)) for i in range(400)]
+    a, b = spark.createDataFrame(near, "place string, lat double, lon double"), spark.createDataFrame(far, "station string, slat double, slon double")
+    met = []
+    whole = joins._descend
+    monkeypatch.setattr(joins, "_descend", lambda *x: met.append(whole(*x)) or met[-1])
+    got = joins.nearest(a, b, ("place", "lat", "lon"), ("station", "slat", "slon"), k=k).collect()
+    assert met[0].count() < 0.4 * len(near) * len(far)
+
+    def away(p, q):
+        f1, f2, d = math.radians(p[1]), math.radians(q[1]), math.radians(q[2] - p[2])
+        h = math.sin((f2 - f1) / 2) ** 2 + math.cos(f1) * math.cos(f2) * math.sin(d / 2) ** 2
+        return math.asin(math.sqrt(h))
+
+    want = {(p[0], n + 1): q[0] for p in near for n, q in enumerate(sorted(far, key=lambda q: (away(p, q), q[0]))[:k])}
+    assert {(r["place"], r["rank"]): r["station"] for r in got} == want
