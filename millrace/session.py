@@ -56,19 +56,31 @@ def stage_dir(spark: SparkSession) -> str:
 _STAGED: list[str] = []
 
 
-def drop_staged(spark: SparkSession) -> int:
-    """Delete what this process has staged; for after the results built on it are written.
+def staged() -> list[str]:
+    """Folders of the tables that this process has staged and not dropped, oldest first."""
+    return list(_STAGED)
 
-    Returns how many staged tables went.
+
+def drop_staged(spark: SparkSession, folders: list[str] | None = None) -> int:
+    """Delete staged tables, all of this process or the given ones; returns how many went.
+
+    For tables whose readers have been written, or staged, themselves.
     """
     files = spark._jvm.org.apache.hadoop.fs
     gone = 0
-    while _STAGED:
-        path = files.Path(_STAGED.pop())
+    for folder in list(_STAGED) if folders is None else [f for f in folders if f in _STAGED]:
+        path = files.Path(folder)
         gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _STAGED.remove(folder)
     return gone
 
 
+def folders_of(*tables: DataFrame) -> list[str]:
+    """Those of the staged folders that the given tables read."""
+    read = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for t in tables for f in t.inputFiles()}
+    return [f for f in _STAGED if f.rsplit("/", 1)[-1] in read]
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -35,3 +35,14 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["origin", "n", "hits", "pct"] and df.count() == 10
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+ORDERED = """trailing_rate trailing_sum_days expanding_count same_day_so_far rolling_zscore global_percent_rank macd classic_macd crosses
+turning_points divergence_flags minimum_signals checked_signals zigzag_pivots zigzag_line split_pivots trailing_stops plain_trailing_stops
+asof_backward asof_forward exact_quantiles portfolio_stats""".split()
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_agrees_with_sql_on_split_keys(small_groups, con, name):
+    ok, note = compare(small_groups, con, name, QUERIES[name], ORACLES[name], SF)
+    assert ok, note
