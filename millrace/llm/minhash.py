@@ -9,12 +9,16 @@ two sets if its first half does, so halves that one set has alone are dropped be
 of keys are formed.
 
 Links are confirmed on the full shingle sets. Sets that are equal form one class
-beforehand. Within a bucket classes are first compared with the smallest class;
-once components of those links are known, only classes that share a table and are still in
-different components are compared with each other, and of those only pairs whose
-minhashes agree often enough. So a group of any number of copies costs a comparison
-per copy. That last filter counts differing bits among four of each minhash; the
-bound lies 4.75 standard deviations beyond the mean at the threshold (1e-6).
+beforehand. Within a bucket classes are first compared with the smallest class; then classes
+beside a bucket's smallest component with those of its members that their sketches are nearest
+to. What is then in one component needs no comparison: only classes that share a table and
+are still in different components are compared with each other, all of them that two
+filters let through. So a group of any number of copies costs a few comparisons per
+copy, and no link between components is lost. One filter counts differing bits
+among four of each minhash; its bound lies 4.75 standard deviations beyond the mean at
+the threshold (1e-6). The other compares sketches of parities: each shingle flips one of
+``PARITIES`` bits, so shingles of both sets cancel, and sets never differ in fewer
+shingles than their sketches differ in bits.
 """
 
 from __future__ import annotations
@@ -29,12 +33,15 @@ from pyspark.sql import functions as F
 
 from millrace.llm import textscan
 from millrace.llm.components import components
-from millrace.session import stage
+from millrace.session import drop_staged, folders_of, stage, staged
 
 SHINGLE = 5
 EACH = 3
 SIDE = 18
 PERCENT = 75
+PARITIES = 1024
+MERGES = 1  # rounds that join components before the rest is compared
+TRIES = 3  # comparisons of a class in each of them
 
 
 def _draws(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +89,7 @@ def minhashes(flat: np.ndarray, first: np.ndarray, many: int) -> np.ndarray:
 
 def half_keys(low: np.ndarray, each: int) -> np.ndarray:
     """Keys of ``each`` consecutive minhashes; keys at different places never agree."""
-    parts = low.reshape(len(low), -1, each).astype(np.uint64)
+    parts = low.reshape(len(low), low.shape[1] // each, each).astype(np.uint64)
     value = np.zeros(parts.shape[:2], dtype=np.uint64)
     for k in range(each):
         value = value * textscan.STEP + parts[:, :, k]
@@ -96,6 +103,15 @@ def bit_sketch(low: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(nibbles[:, ::2] << 4 | nibbles[:, 1::2]).view(np.int64)
 
 
+def parity_sketch(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Parities of the shingles in each of ``PARITIES`` bins, a row per non-empty set."""
+    sizes = np.diff(first)
+    owner = np.repeat(np.arange(int((sizes > 0).sum())), sizes[sizes > 0])
+    place = owner * PARITIES + (flat & np.uint64(PARITIES - 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=int((sizes > 0).sum()) * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(-1, PARITIES), axis=1).view(np.int64)
+
+
 def most_differing(many: int, percent: int) -> int:
     """Differing bits of two sketches that a pair at the threshold has with a chance of 1e-6."""
     apart = 1 - percent / 100
@@ -127,8 +143,9 @@ def _sketch(each: int, side: int):
                         rows(keys[:, :side]),
                         rows(keys[:, side:]),
                         rows(bits),
+                        rows(parity_sketch(flat, first)),
                     ],
-                    names=["row", "doc_id", "text_key", "n_shingles", "one", "two", "a", "b", "bits"],
+                    names=["row", "doc_id", "text_key", "n_shingles", "one", "two", "a", "b", "bits", "odd"],
                 )
 
     return run
@@ -143,25 +160,6 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _confirm(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, dtype=bool)
-            sides = []
-            for name in ("left", "right"):
-                column = batch.column(name)
-                at = column.offsets.to_numpy()
-                sides.append((column.values.to_numpy(zero_copy_only=False), at))
-            (x, xs), (y, ys) = sides
-            for i in range(batch.num_rows):
-                p, q = x[xs[i] : xs[i + 1]], y[ys[i] : ys[i + 1]]
-                both = len(p) + len(q) - len(np.union1d(p, q))
-                keep[i] = 100 * both >= percent * (len(p) + len(q) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    return run
-
-
 def _text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
@@ -171,7 +169,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     set is joined to them first, so what is gathered by ``b`` are bare pairs."""
     left = pairs.join(sets.select(F.col("class").alias("b"), F.col("grams").alias("right")), "b")
     both = left.join(sets.select(F.col("class").alias("a"), F.col("grams").alias("left")), "a")
-    return both.select("a", "b", "left", "right").mapInArrow(_confirm(percent), "a long, b long")
+    common = F.size(F.array_intersect("left", "right"))
+    return both.where(100 * common >= percent * (F.size("left") + F.size("right") - common)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, each: int = EACH, side: int = SIDE) -> DataFrame:
@@ -186,12 +185,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, each: int = EACH, s
     component has another id). Rows with the same ``doc_id`` stay or go together if
     their texts are alike.
     """
+    earlier = staged()
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("text_key", _text_key(F.col("text")))
     rows = stage(
         text.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
             _sketch(each, side),
-            f"row long, doc_id {kind}, text_key long, n_shingles long, one long, two long, a array<long>, b array<long>, bits array<long>",
+            f"row long, doc_id {kind}, text_key long, n_shingles long, one long, two long, a array<long>, b array<long>, bits array<long>, odd array<long>",
         )
     )
     classes = stage(
@@ -204,20 +204,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, each: int = EACH, s
             F.first("a").alias("a"),
             F.first("b").alias("b"),
             F.first("bits").alias("bits"),
+            F.first("odd").alias("odd"),
         )
         .withColumn("class", F.col("sample.row"))
     )
     keys = _bucket_keys(classes)
-    groups = keys.groupBy("key").agg(F.min("class").alias("b"), F.count("*").alias("m")).where("m > 1").select("key", "b")
-    entries = stage(keys.join(groups, "key").select("key", "i", "class", "n", "b"))
+    smallest = F.min(F.struct("class", "n")).alias("least")
+    groups = keys.groupBy("key").agg(smallest, F.count("*").alias("m")).where("m > 1").select("key", "least")
+    entries = stage(keys.join(groups, "key").select("key", "i", "class", "n", "least"))
 
+    many = 2 * each * side
     sets = _shingles_of(text, classes, entries)
-    sizes = classes.select(F.col("class").alias("b"), F.col("n").alias("nb"))
-    first = entries.where(F.col("class") > F.col("b")).groupBy("class", "n").agg(F.min("b").alias("b")).join(sizes, "b")
-    first = first.where(_close(F.col("n"), F.col("nb"), percent)).select(F.col("class").alias("a"), "b")
+    first = entries.where(F.col("class") > F.col("least.class")).groupBy("class", "n").agg(F.min("least").alias("least"))
+    first = first.where(_close(F.col("n"), F.col("least.n"), percent)).select(F.col("class").alias("a"), F.col("least.class").alias("b"))
     links = stage(_verified(first, sets, percent))
-    rest = _across(entries, classes, links, percent, 2 * each * side)
-    links = links.union(stage(_verified(rest.join(first, ["a", "b"], "left_anti"), sets, percent)))
+    for salt in range(MERGES):
+        likely = _likely(_mixed(entries, links), classes, percent, many, salt)
+        links = links.union(stage(_verified(likely, sets, percent)))
+    rest = _across(_mixed(entries, links), classes, percent, many)
+    links = links.union(stage(_verified(rest, sets, percent)))
+    read = folders_of(rows, classes, links)
+    drop_staged(docs.sparkSession, [f for f in staged() if f not in [*earlier, *read]])
 
     named = components(links)
     grouped = classes.select("one", "two", "class", "least_id").join(named, F.col("class") == F.col("id"), "left")
@@ -242,10 +249,11 @@ def _close(x: Column, y: Column, percent: int) -> Column:
 
 def _bucket_keys(classes: DataFrame) -> DataFrame:
     """``key``, ``i``, ``class``, ``n``: a row per table and class, where the first half of the key is shared."""
-    first = classes.select("class", "n", "b", F.posexplode("a").alias("i", "half"))
-    shared = first.groupBy("i", "half").agg(F.count("*").alias("m")).where("m > 1").select("i", "half")
-    pairs = first.join(shared, ["i", "half"]).select("class", "n", "i", "half", F.posexplode("b").alias("j", "other"))
-    return pairs.select(F.xxhash64("i", "half", "j", "other").alias("key"), "i", "class", "n")
+    halves = classes.select("class", F.posexplode("a").alias("i", "half"))
+    shared = halves.groupBy("half").agg(F.count("*").alias("m")).where("m > 1").select("half")
+    rows = halves.join(shared, "half").join(classes.select("class", "n", "b"), "class")
+    pairs = rows.select("class", "n", "i", "half", F.explode("b").alias("other"))
+    return pairs.select(F.xxhash64("half", "other").alias("key"), "i", "class", "n")
 
 
 def _shingles_of(text: DataFrame, classes: DataFrame, entries: DataFrame) -> DataFrame:
@@ -257,27 +265,60 @@ def _shingles_of(text: DataFrame, classes: DataFrame, entries: DataFrame) -> Dat
     return stage(found.mapInArrow(_sets, "class long, grams array<long>").dropDuplicates(["class"]))
 
 
-def _across(entries: DataFrame, classes: DataFrame, links: DataFrame, percent: int, many: int) -> DataFrame:
+def _mixed(entries: DataFrame, links: DataFrame) -> DataFrame:
+    """``key``, ``i``, ``class``, ``component``, ``low``: entries of tables with classes of several
+    components, and the smallest of those."""
+    named = components(links)
+    placed = entries.select("key", "i", "class").join(named, F.col("class") == F.col("id"), "left")
+    placed = placed.select("key", "i", "class", F.coalesce("component", "class").alias("component"))
+    span = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    return stage(placed.join(span.select("key", "low"), "key"))
+
+
+def _bits_apart(x: str, y: str, words: int) -> Column:
+    return sum((F.bit_count(F.col(x)[k].bitwiseXOR(F.col(y)[k])) for k in range(words)), F.lit(0))
+
+
+def _may_link(x: str, y: str, percent: int, many: int) -> Column:
+    """Whether sizes and sketches of two classes (column prefixes) allow that similarity."""
+    nx, ny = F.col(f"{x}n"), F.col(f"{y}n")
+    return (
+        _close(nx, ny, percent)
+        & (_bits_apart(f"{x}bits", f"{y}bits", -(-many // 16)) <= most_differing(many, percent))
+        & (_bits_apart(f"{x}odd", f"{y}odd", PARITIES // 64) * (100 + percent) <= (nx + ny) * (100 - percent))
+    )
+
+
+def _likely(mixed: DataFrame, classes: DataFrame, percent: int, many: int, salt: int) -> DataFrame:
+    """For each class beside the smallest component of a bucket, the members of that component
+    that its sketch is nearest to. From each bucket one member stands for the component."""
+    drawn = F.xxhash64("class", F.lit(salt))
+    member = mixed.where("component = low").groupBy("key").agg(F.min_by("class", drawn).alias("rep"))
+    beside = mixed.where("component <> low").join(member, "key")
+    pairs = beside.groupBy("class", "i").agg(F.min_by("rep", F.xxhash64("rep", F.lit(salt))).alias("rep")).select("class", "rep")
+    sketch = classes.select(F.col("class").alias("rep"), F.col("n").alias("r_n"), F.col("bits").alias("r_bits"), F.col("odd").alias("r_odd"))
+    near = pairs.join(sketch, "rep").join(classes.select("class", "n", "bits", "odd"), "class").where(_may_link("", "r_", percent, many))
+    near = near.withColumn("apart", _bits_apart("odd", "r_odd", PARITIES // 64))
+    best = near.groupBy("class").agg(F.slice(F.array_sort(F.collect_set(F.struct("apart", "rep"))), 1, TRIES).alias("best"))
+    found = best.select("class", F.explode("best.rep").alias("rep"))
+    return found.select(F.greatest("class", "rep").alias("a"), F.least("class", "rep").alias("b"))
+
+
+def _across(mixed: DataFrame, classes: DataFrame, percent: int, many: int) -> DataFrame:
     """Pairs that share a table and whose classes are still in different components.
 
     Classes of tables with several components are joined on the first halves of their keys. A
     pair comes from its first common half only, and only if a second half agrees too.
     """
-    named = components(links)
-    placed = entries.select("key", "i", "class").join(named, F.col("class") == F.col("id"), "left")
-    placed = placed.select("key", "i", "class", F.coalesce("component", "class").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    open_halves = placed.join(mixed.select("key"), "key").select("class", "i", "component").distinct()
-    rows = stage(open_halves.join(classes.select("class", "n", "a", "b", "bits"), "class").withColumn("half", F.element_at("a", F.col("i") + 1)))
+    halves = mixed.select("class", "i", "component").distinct()
+    rows = stage(halves.join(classes.select("class", "n", "a", "b", "bits", "odd"), "class").withColumn("half", F.element_at("a", F.col("i") + 1)))
     x, y = rows.alias("x"), rows.alias("y")
-    differing = sum((F.bit_count(F.col("x.bits")[k].bitwiseXOR(F.col("y.bits")[k])) for k in range(-(-many // 16))), F.lit(0))
     met = (
         (F.col("x.i") == F.col("y.i"))
         & (F.col("x.half") == F.col("y.half"))
         & (F.col("x.class") > F.col("y.class"))
         & (F.col("x.component") != F.col("y.component"))
-        & _close(F.col("x.n"), F.col("y.n"), percent)
-        & (differing <= most_differing(many, percent))
+        & _may_link("x.", "y.", percent, many)
         & (F.element_at(F.array_intersect("x.a", "y.a"), 1) == F.col("x.half"))
         & F.arrays_overlap("x.b", "y.b")
     )
