@@ -92,3 +92,17 @@ def test_rouge(spark):
     assert two[1].overlap == 1 and two[1].n_pred == 5
     long = {r.k: r for r in text.rouge_l(df, ["k"], "p", "r").collect()}
     assert long[1].overlap == 4 and long[2].overlap == 0
+
+
+def test_staged_tables_can_be_dropped(spark):
+    from millrace.session import drop_staged, folders_of, stage, staged
+
+    a = stage(spark.range(5))
+    b = stage(a.where("id > 2"))
+    (first,), (second,) = folders_of(a), folders_of(b)
+    assert first != second and {first, second} <= set(staged())
+    assert folders_of(a.join(b, "id")) == [first, second]
+    assert drop_staged(spark, [first]) == 1 and first not in staged()
+    assert b.count() == 2
+    with pytest.raises(Exception):
+        spark.read.parquet(first).count()
