@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from millrace.llm import textscan
 from millrace.llm.markup import Block, blocks
 
-SAMPLE_ROWS = 300  # pages that the labeller is trained on, at most
+SAMPLE_ROWS = 300  # pages that the labeller is trained on, as drawn by hash
 SAMPLE_CHARS = 200_000  # longer pages are not trained on
 COMPOSED = 3  # composed pages for each
 PATH, WORD, NUMBERS = 96, 32, 8
@@ -300,9 +300,16 @@ def compose(page: list[Block], labels: np.ndarray, others: list[str], rng: np.ra
 
 
 def train(pages: DataFrame, rows: int = SAMPLE_ROWS, seed: int = 3) -> Labeller:
-    """A labeller fitted on at most ``rows`` pages, by hash of their url."""
-    sample = pages.select(F.col("html").cast("string").alias("html"), "url").where(F.length("html") <= SAMPLE_CHARS)
-    found = [r["html"] for r in sample.orderBy(F.xxhash64("url", "html"), "url").limit(rows).collect()]
+    """A labeller fitted on about ``rows`` pages at most, drawn by hash; equal pages are drawn once.
+
+    The share to draw follows from the number of pages, so the driver gets the drawn pages only.
+    """
+    whole = 1 << 30
+    text = F.col("html").cast("string")
+    drawn = pages.select(F.pmod(F.xxhash64("url", text), F.lit(whole)).alias("draw"), text.alias("html"))
+    share = rows / max(rows, pages.count())
+    sample = drawn.where((F.col("draw") < int(share * whole)) & (F.length("html") <= SAMPLE_CHARS))
+    found = [r["html"] for r in sorted(sample.groupBy("draw").agg(F.first("html").alias("html")).collect())]
     parsed = [p for p in map(blocks, found) if p]
     labels = [ancestry(p) for p in parsed]
     rng = np.random.default_rng(seed)

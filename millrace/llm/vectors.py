@@ -23,7 +23,7 @@ from millrace.llm.components import components
 from millrace.session import stage
 
 THRESHOLD = 0.93
-SAMPLE_ROWS = 20_000  # vectors that rotations are learned on, at most
+SAMPLE_ROWS = 20_000  # vectors that rotations are learned on, as drawn by hash
 ROUNDS = 40  # of learning
 LEAST_CHUNK, MOST_CHUNK = 16, 28  # bits
 MISS = 0.01
@@ -163,7 +163,9 @@ def near_vectors(rows: DataFrame, threshold: float = THRESHOLD, sample_rows: int
     if not total:
         return given.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     chunk, tables = shape(total, threshold)
-    sample = classes.select("class", "embedding").orderBy(F.xxhash64("class")).limit(sample_rows).toArrow()
+    share = sample_rows / max(sample_rows, total)
+    drawn = F.pmod(F.xxhash64("class"), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = classes.where(drawn).select("class", "embedding").toArrow().sort_by("class")
     known = _matrix(sample.column("embedding").combine_chunks(), size)
     mean = known.mean(axis=0)
     rotation = learn_rotation(known - mean, chunk * tables, seed=7)
