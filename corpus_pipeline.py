@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from millrace.llm import decontaminate, lines, minhash, packing, toxicity  # noqa: E402
+from millrace.llm import decontaminate, lines, minhash, packing, textscan, toxicity  # noqa: E402
 from millrace.session import drop_staged, folders_of, stage, staged  # noqa: E402
 
 
@@ -33,6 +33,7 @@ def _tidy(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     @wraps(step)
     def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         drop_staged(spark, [f for f in _LEFT if f not in folders_of(docs)])
+        textscan.small_batches(spark)
         before = staged()
         out = step(spark, docs, sf_dir)
         _LEFT[:] = [f for f in staged() if f not in before]

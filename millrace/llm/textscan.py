@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 PIECE = 1 << 21
 # Fixed odd numbers of the hash functions.
@@ -76,6 +77,17 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of at most ``rows`` rows.
+
+    Spark's usual ten thousand take hundreds of MB on both sides when rows are whole texts.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and the place of each row in them; null is empty."""
     if isinstance(column, pa.ChunkedArray):
