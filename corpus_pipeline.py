@@ -17,38 +17,31 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from millrace.llm import decontaminate, lines, minhash, packing, textscan, toxicity  # noqa: E402
-from millrace.session import drop_staged, folders_of, stage, staged  # noqa: E402
+from millrace.session import stage  # noqa: E402
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_LEFT: list[str] = []
-
-
-def _tidy(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """Drop what the stages before have staged, once their result has been written."""
+def _small(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Whole texts go to Python in small batches."""
 
     @wraps(step)
     def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop_staged(spark, [f for f in _LEFT if f not in folders_of(docs)])
         textscan.small_batches(spark)
-        before = staged()
-        out = step(spark, docs, sf_dir)
-        _LEFT[:] = [f for f in staged() if f not in before]
-        return out
+        return step(spark, docs, sf_dir)
 
     return run_step
 
 
-@_tidy
+@_small
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
     return toxicity.reject(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
 
 
-@_tidy
+@_small
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without their source's boilerplate lines; ``n_chars`` follows the text."""
     cut = lines.drop_lines(docs, host="source").select(*docs.columns)
@@ -57,19 +50,19 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return cut.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
 
 
-@_tidy
+@_small
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates."""
     return minhash.keep_one(docs)
 
 
-@_tidy
+@_small
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"))
 
 
-@_tidy
+@_small
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences."""
     return packing.pack(docs)
