@@ -90,5 +90,6 @@ def stage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{stage_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    _STAGED.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
