@@ -6,7 +6,10 @@ little. The code is cut into chunks; a table for each chunk is probed with the c
 all of its one-bit neighbours on both sides, which meets every pair that differs in at most
 two bits there. Chunks grow with the logarithm of the rows, and there are as many tables
 as it takes for a pair at the threshold to be missed by all with a chance of ``MISS``.
+Taking off the mean widens angles where vectors share a common direction, so how many bits
+differ at the threshold is measured on pairs of the sample under the learned map.
 Pairs whose whole codes are near enough are reranked by the cosine of the original vectors.
+Where probing would take more rows than the table has, all pairs of a label are reranked.
 """
 
 from __future__ import annotations
@@ -27,7 +30,12 @@ SAMPLE_ROWS = 20_000  # vectors that rotations are learned on, as drawn by hash
 ROUNDS = 40  # of learning
 LEAST_CHUNK, MOST_CHUNK = 16, 28  # bits
 MISS = 0.01
-SPREAD = 4.5  # standard deviations of the code distance beyond its mean at the threshold
+MISS_BY_DISTANCE = MISS / 10  # of pairs at the threshold, by the bound on the distance of whole codes
+TRIAL_BITS = 512  # that differing bits are counted on
+TRIAL_PAIRS = 4096  # pairs at the threshold of each kind
+TRIAL_ROWS = 8192  # vectors of the sample that are searched for pairs near the threshold
+LEAST_PAIRS = 50  # found ones count from so many on
+PART_ROWS = 1000  # of a label that a task compares with all others
 
 
 def _bits_apart(threshold: float) -> float:
@@ -35,12 +43,91 @@ def _bits_apart(threshold: float) -> float:
     return math.acos(min(1.0, max(-1.0, threshold))) / math.pi
 
 
-def shape(rows: int, threshold: float = THRESHOLD) -> tuple[int, int]:
-    """Bits of a chunk and number of tables."""
+def shape(rows: int, threshold: float = THRESHOLD, apart: list[np.ndarray] | None = None) -> tuple[int, int]:
+    """Bits of a chunk and number of tables.
+
+    ``apart``: shares of bits that differ in pairs at the threshold, an array for each kind of
+    pair; the kind that is hardest to meet decides.
+    """
     chunk = min(MOST_CHUNK, max(LEAST_CHUNK, math.ceil(math.log2(max(2, rows)))))
-    p = _bits_apart(threshold)
-    beyond = 1 - sum(math.comb(chunk, k) * p**k * (1 - p) ** (chunk - k) for k in range(3))
-    return chunk, max(2, math.ceil(math.log(MISS) / math.log(max(beyond, 1e-6))))
+    most = 2
+    for p in [np.array([_bits_apart(threshold)]), *(apart or [])]:
+        beyond = np.clip(1 - sum(math.comb(chunk, k) * p**k * (1 - p) ** (chunk - k) for k in range(3)), 1e-6, 1.0)
+        if (beyond >= 1).mean() > MISS:
+            return chunk, 1 << 30
+        low, high = 0, 1  # tables that miss more than MISS of the kind, and that don't
+        while high < 1 << 30 and (beyond**high).mean() > MISS:
+            low, high = high, 2 * high
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if (beyond**middle).mean() > MISS else (low, middle)
+        most = max(most, high)
+    return chunk, most
+
+
+def reach(bits: int, threshold: float = THRESHOLD, apart: list[np.ndarray] | None = None) -> int:
+    """Distance of codes that at most ``MISS_BY_DISTANCE`` of the pairs at the threshold go beyond."""
+    k = np.arange(bits + 1)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, bits + 1)))])
+    ways = logs[bits] - logs[k] - logs[bits - k]
+    most = 0
+    for p in [np.array([_bits_apart(threshold)]), *(apart or [])]:
+        shares, many = np.unique(np.clip(p, 1e-9, 1 - 1e-9), return_counts=True)
+        chance = sum(m * np.exp(ways + k * np.log(x) + (bits - k) * np.log1p(-x)) for x, m in zip(shares, many, strict=True)) / many.sum()
+        most = max(most, int(np.argmax(np.cumsum(chance) >= 1 - MISS_BY_DISTANCE)))
+    return most
+
+
+def bits_apart(known: np.ndarray, lengths: np.ndarray, mean: np.ndarray, rotation: np.ndarray, threshold: float, seed: int = 8) -> list[np.ndarray]:
+    """Shares of differing bits in pairs at the threshold, by kind of pair.
+
+    A vector of the sample is turned to the threshold: towards another one (so that the pair
+    differs as vectors here do) and in any direction; and pairs of the sample with a cosine
+    within a tenth of the way from the threshold to 1 are taken as they are.
+    """
+    if len(known) < 2:
+        return []
+    rng = np.random.default_rng(seed)
+    signs = lambda x: (x - mean) @ rotation >= 0
+    at = rng.integers(len(known), size=TRIAL_PAIRS)
+    other = (at + rng.integers(1, len(known), size=TRIAL_PAIRS)) % len(known)
+    x = known[at]
+    own = np.arange(known.shape[1]) < lengths[at][:, None]
+    between = known[other] - known[rng.permutation(other)]
+    found = []
+    for way in (between, rng.standard_normal(x.shape)):
+        way = way * own
+        way -= np.einsum("ij,ij->i", way, x)[:, None] * x
+        size = np.sqrt(np.einsum("ij,ij->i", way, way))
+        some = size > 1e-6
+        if some.any():
+            y = threshold * x[some] + math.sqrt(max(0.0, 1 - threshold**2)) * way[some] / size[some][:, None]
+            found.append((signs(x[some]) != signs(y)).mean(axis=1))
+    few = known[:TRIAL_ROWS]
+    pairs = []
+    for start in range(0, len(few), 1024):
+        cosine = few[start : start + 1024] @ few.T
+        i, j = np.nonzero((cosine >= threshold) & (cosine <= threshold + (1 - threshold) / 10))
+        pairs.append(np.stack([i + start, j])[:, i + start < j])
+    i, j = np.concatenate(pairs, axis=1)
+    if len(i) >= LEAST_PAIRS:
+        drawn = rng.permutation(len(i))[:TRIAL_PAIRS]
+        found.append((signs(few[i[drawn]]) != signs(few[j[drawn]])).mean(axis=1))
+    return found
+
+
+def plan(known: np.ndarray, lengths: np.ndarray, total: int, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray, int, int, int] | None:
+    """Mean, map, bits of a chunk, number of tables and bound on the distance of codes; None if probing takes more than all rows."""
+    mean = known.mean(axis=0)
+    rotation = learn_rotation(known - mean, TRIAL_BITS, seed=7)
+    apart = bits_apart(known, lengths, mean, rotation, threshold)
+    chunk, tables = shape(total, threshold, apart)
+    if tables * (chunk + 1) >= total:
+        return None
+    bits = chunk * tables
+    if bits > TRIAL_BITS:
+        rotation = learn_rotation(known - mean, bits, seed=7)
+    return mean, rotation[:, :bits], chunk, tables, reach(bits, threshold, apart)
 
 
 def learn_rotation(sample: np.ndarray, bits: int, seed: int) -> np.ndarray:
@@ -109,15 +196,24 @@ def _usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _candidates(codes: DataFrame, chunk: int, tables: int, threshold: float) -> DataFrame:
+def _all_pairs(classes: DataFrame, total: int) -> DataFrame:
+    """All pairs of a label, each once; the rows of a label are dealt over a task for each ``PART_ROWS``."""
+    parts = -(-total // PART_ROWS)
+    x = classes.select("class", "label", "dim", F.pmod(F.xxhash64("class"), F.lit(parts)).alias("part")).alias("x")
+    y = classes.select("class", "label", "dim", F.explode(F.expr(f"sequence(0L, {parts - 1}L)")).alias("part")).alias("y")
+    met = F.lit(True)
+    for c in ("label", "dim", "part"):
+        met = met & (F.col(f"x.{c}") == F.col(f"y.{c}"))
+    return x.join(y, met & (F.col("x.class") > F.col("y.class"))).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
+
+
+def _candidates(codes: DataFrame, chunk: int, tables: int, most: int) -> DataFrame:
     """Pairs that meet in a table and whose codes are near enough, each once.
 
     A pair is taken from its first table with at most two differing bits. There it meets at
     its chunk if no bit differs; where the larger class is probed at the flipped bit if one
     does; where the larger class is flipped at the lower bit if two do.
     """
-    p, bits = _bits_apart(threshold), chunk * tables
-    most = math.floor(bits * p + SPREAD * math.sqrt(bits * p * (1 - p)))
     chunks = [f"c{t}" for t in range(tables)]
     probed = codes.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(tables - 1)))).withColumn("f", F.explode(F.sequence(F.lit(-1), F.lit(chunk - 1))))
     own = F.element_at(F.array(*chunks), F.col("t") + 1)
@@ -162,17 +258,19 @@ def near_vectors(rows: DataFrame, threshold: float = THRESHOLD, sample_rows: int
     total, size = classes.agg(F.count("*"), F.max("dim")).first()
     if not total:
         return given.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    chunk, tables = shape(total, threshold)
     share = sample_rows / max(sample_rows, total)
     drawn = F.pmod(F.xxhash64("class"), F.lit(1 << 30)) < int(share * (1 << 30))
     sample = classes.where(drawn).select("class", "embedding").toArrow().sort_by("class")
-    known = _matrix(sample.column("embedding").combine_chunks(), size)
-    mean = known.mean(axis=0)
-    rotation = learn_rotation(known - mean, chunk * tables, seed=7)
-    codes = classes.select("class", "label", "dim", "embedding").mapInArrow(
-        _encode(mean, rotation, chunk), "class long, label string, dim int, " + ", ".join(f"c{t} long" for t in range(tables))
-    )
-    pairs = stage(_candidates(stage(codes), chunk, tables, threshold))
+    column = sample.column("embedding").combine_chunks()
+    found = plan(_matrix(column, size), np.diff(column.offsets.to_numpy()), total, threshold) if len(column) else None
+    if found is None:
+        pairs = stage(_all_pairs(classes, total))
+    else:
+        mean, rotation, chunk, tables, most = found
+        codes = classes.select("class", "label", "dim", "embedding").mapInArrow(
+            _encode(mean, rotation, chunk), "class long, label string, dim int, " + ", ".join(f"c{t} long" for t in range(tables))
+        )
+        pairs = stage(_candidates(stage(codes), chunk, tables, most))
     near = pairs.join(classes.select(F.col("class").alias("b"), F.col("embedding").alias("y")), "b")
     near = near.join(classes.select(F.col("class").alias("a"), F.col("embedding").alias("x")), "a")
     links = stage(near.select("a", "b", "x", "y").mapInArrow(_rerank(threshold), "a long, b long"))

@@ -85,3 +85,46 @@ def test_learning_lowers_the_loss():
 def test_tables_follow_the_rows():
     assert vectors.shape(10) == (16, 4)
     assert vectors.shape(1 << 22)[0] == 22 and vectors.shape(1 << 22)[1] > 4
+
+
+def directed(rng, size, mean_cosine, bases, pairs):
+    """Unit vectors with a common direction, and pairs of them with a cosine of 0.93 to 0.95."""
+    common = np.eye(size)[0]
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    side = lambda n: unit(np.concatenate([np.zeros((n, 1)), rng.normal(size=(n, size - 1))], axis=1))
+    rest = side(bases)
+    x = np.sqrt(mean_cosine) * common + np.sqrt(1 - mean_cosine) * rest
+    own = rest[:pairs]
+    way = side(pairs)
+    way = unit(way - np.einsum("ij,ij->i", way, own)[:, None] * own)
+    inner = (rng.uniform(0.93, 0.95, size=pairs) - mean_cosine) / (1 - mean_cosine)
+    turned = inner[:, None] * own + np.sqrt(1 - inner**2)[:, None] * way
+    return x, np.sqrt(mean_cosine) * common + np.sqrt(1 - mean_cosine) * turned
+
+
+@pytest.mark.parametrize("mean_cosine, size, total", [(0.0, 64, 3 * 10**7), (0.5, 64, 3 * 10**7), (0.5, 384, 10**6), (0.8, 64, 10**6)])
+def test_recall_with_a_common_direction_and_many_rows(mean_cosine, size, total):
+    """As many tables as ``total`` rows take; a pair is met if two bits differ at most in a chunk, and not too many in all."""
+    rng = np.random.default_rng(3)
+    x, y = directed(rng, size, mean_cosine, 3000, 600)
+    known = np.concatenate([x, y])
+    mean, rotation, chunk, tables, most = vectors.plan(known, np.full(len(known), size), total)
+    assert rotation.shape[1] == chunk * tables
+    differ = ((x[:600] - mean) @ rotation >= 0) != ((y - mean) @ rotation >= 0)
+    met = (differ.reshape(600, tables, chunk).sum(axis=2) <= 2).any(axis=1) & (differ.sum(axis=1) <= most)
+    assert met.mean() >= 0.97
+
+
+def test_links_with_a_common_direction(spark):
+    x, y = directed(np.random.default_rng(4), 64, 0.8, 900, 300)
+    rows = [(k, rounded(v), 1) for k, v in enumerate(np.concatenate([x, y]))]
+    want, got = brute(rows), result(spark, rows)
+    assert all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
+    assert sum(r[1] for r in got) >= 0.97 * sum(r[1] for r in want) > 500
+
+
+def test_all_pairs_where_probing_takes_more(spark):
+    """Nearly equal vectors: after centring, pairs at the threshold are as far apart as any."""
+    rng = np.random.default_rng(5)
+    rows = [(k, rounded(np.eye(32)[0] + 0.04 * rng.normal(size=32)), k % 2) for k in range(300)]
+    assert result(spark, rows) == brute(rows)
