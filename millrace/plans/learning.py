@@ -15,6 +15,9 @@ from millrace.session import stage, stage_dir
 from millrace.streaming import bars as live
 
 _ENCODED, _INDEXED, _NUMERIC = ["carrier", "sky"], ["dest"], ["wind", "temp", "distance"]
+# The best trees and net of the survey.
+_TREES, _DEPTH, _RATE = 115, 9, 0.2712
+_LAYERS, _ITERATIONS = [448], 100
 
 
 def _rows(spark, sf):
@@ -71,22 +74,22 @@ def rolling_cv(spark, sf):
 @query("best_tree_parameters")
 def best_tree_parameters(spark, sf):
     df, _ = _ready(spark, sf)
-    build = lambda depth, rate: ml.boosted_trees("late", "weight", trees=3, depth=depth, rate=rate)
-    grid = ml.parameter_grid(build, {"depth": [2, 3], "rate": [0.1, 0.2712]})
-    return ml.best_candidate(ml.rolling_validation(df, ["day", "hhmm"], "late", grid, cuts=(0.4, 0.8)))
+    build = lambda depth, rate: ml.boosted_trees("late", "weight", trees=_TREES, depth=depth, rate=rate)
+    grid = ml.parameter_grid(build, {"depth": [5, _DEPTH], "rate": [0.2, _RATE]})
+    return ml.best_candidate(ml.rolling_validation(df, ["day", "hhmm"], "late", grid))
 
 
 @query("tree_importance")
 def tree_importance(spark, sf):
     df, _ = _ready(spark, sf)
-    return ml.importance_table(spark, ml.boosted_trees("late", "weight", trees=5).fit(df.filter("split = 'train'")))
+    return ml.importance_table(spark, ml.boosted_trees("late", "weight", trees=_TREES, depth=_DEPTH, rate=_RATE).fit(df.filter("split = 'train'")))
 
 
 @query("perceptron_metrics")
 def perceptron_metrics(spark, sf):
     df, _ = _ready(spark, sf)
     inputs = df.select("features").first()["features"].size
-    model = ml.feed_forward("late", inputs, [8], iterations=10).fit(df.filter("split = 'train'"))
+    model = ml.feed_forward("late", inputs, _LAYERS, iterations=_ITERATIONS).fit(df.filter("split = 'train'"))
     return ml.split_scores(model, _sets(df), "late")
 
 

@@ -220,14 +220,15 @@ def buy_points(spark, sf):
     )
 
 
-def _sightings(spark, sf):
-    found = trading.replay_windows(bars(spark, sf), "symbol", "ts", *trading.SEVEN_A_DAY)
-    return trading.second_sightings(found, "symbol")
+def _sightings(spark, sf, window, age):
+    found = trading.replay_windows(bars(spark, sf), "symbol", "ts", window, age)
+    return trading.second_sightings(found, "symbol").withColumn("window", F.lit(window))
 
 
 @query("replayed_buy_points")
 def replayed_buy_points(spark, sf):
-    return _sightings(spark, sf).select("symbol", "buy_time", F.size("seen").alias("seen"), "entry_time")
+    found = _sightings(spark, sf, *trading.SEVEN_A_DAY).unionByName(_sightings(spark, sf, *trading.ROUND_THE_CLOCK))
+    return found.select("window", "symbol", "buy_time", F.size("seen").alias("seen"), "entry_time")
 
 
 def _stop_entries(spark, sf):
