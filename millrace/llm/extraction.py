@@ -3,9 +3,10 @@
 A page is its sequence of leaf blocks. Each block is a vector: its tag path and its words,
 both hashed, and a few numbers. A bidirectional LSTM (numpy) reads the whole sequence in both
 directions, so that every block is labelled knowing all of the document. It is trained here on
-a bounded sample of the pages: blocks of pages with an article or main element are labelled by
-their ancestors, and pages composed from those blocks add layouts with other containers,
-headers, sidebars, notices, adverts, forms and comments.
+a bounded sample of the pages: blocks of pages with an article or main element (or one named so)
+are labelled by their ancestors, other pages teach nothing, and pages composed from those blocks
+add layouts with other containers, among them unnamed ones, headers, sidebars, notices,
+adverts, forms and comments. If no page can be labelled so, long unlinked blocks are main text.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from millrace.llm.markup import Block, blocks
 SAMPLE_ROWS = 300  # pages that the labeller is trained on, as drawn by hash
 SAMPLE_CHARS = 200_000  # longer pages are not trained on
 COMPOSED = 3  # composed pages for each
+LEAST_CHARS = 60  # of a main block, where nothing is named
 PATH, WORD, NUMBERS = 96, 32, 8
 HIDDEN = 24
 EPOCHS = 14
@@ -227,6 +229,12 @@ def ancestry(page: list[Block]) -> np.ndarray:
     return out
 
 
+def density(page: list[Block]) -> np.ndarray:
+    """Labels by length and links, for tables in which nothing is named."""
+    aside = {*ASIDE_TAGS, *(f".{w}" for w in ASIDE_MARKS)}
+    return np.array([not aside.intersection(b.path) and len(b.text) >= LEAST_CHARS and b.linked < 0.5 for b in page], dtype=np.float32)
+
+
 def compose(page: list[Block], labels: np.ndarray, others: list[str], rng: np.random.Generator) -> tuple[list[Block], np.ndarray]:
     """The same main text in another layout, with parts around and within it that are not main text."""
     say = lambda: others[rng.integers(len(others))]
@@ -234,7 +242,8 @@ def compose(page: list[Block], labels: np.ndarray, others: list[str], rng: np.ra
     pick = lambda *x: x[rng.integers(len(x))]
     odd = lambda: "." + "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5))
     outer = pick((), ("div", ".wrapper"), ("div", ".container"), ("div", odd()))
-    holder = pick(("article",), ("main",), ("main", "article"), ("div", ".content"), ("div", ".main"), ("section", ".post"), ("div", ".entry", ".content"), ("div", ".story"), ("div", odd(), "article"))
+    unnamed = pick((), ("div",), ("div", odd()), ("table", "tbody", "tr", "td"), ("table", "tr", "td"), ("section",), ("div", "div"))
+    holder = pick(unnamed, unnamed, unnamed, unnamed, unnamed, ("article",), ("main",), ("main", "article"), ("div", ".content"), ("div", ".main"), ("section", ".post"), ("div", ".entry", ".content"), ("div", ".story"), ("div", odd(), "article"))
     out: list[Block] = []
     kept: list[float] = []
 
@@ -311,12 +320,13 @@ def train(pages: DataFrame, rows: int = SAMPLE_ROWS, seed: int = 3) -> Labeller:
     sample = drawn.where((F.col("draw") < int(share * whole)) & (F.length("html") <= SAMPLE_CHARS))
     found = [r["html"] for r in sorted(sample.groupBy("draw").agg(F.first("html").alias("html")).collect())]
     parsed = [p for p in map(blocks, found) if p]
-    labels = [ancestry(p) for p in parsed]
+    ways = ([(p, y) for p in parsed if (y := way(p)).any()] for way in (ancestry, density))
+    taught = next(filter(None, ways), [])
     rng = np.random.default_rng(seed)
     others = [b.text[:300] for p in parsed for b in p] or ["-"]
-    more = [compose(p, y, others, rng) for p, y in zip(parsed, labels, strict=True) if y.any() for _ in range(COMPOSED)]
+    more = [compose(p, y, others, rng) for p, y in taught for _ in range(COMPOSED)]
     model = Labeller.fresh()
-    model.fit([*parsed, *parsed, *(p for p, _ in more)], [*labels, *labels, *(y for _, y in more)])
+    model.fit(*map(list, zip(*taught, *taught, *more, strict=True)) if taught else ([], []))
     return model
 
 

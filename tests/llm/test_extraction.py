@@ -91,3 +91,27 @@ def test_odd_rows(spark, model):
 
 def test_vectors_of_nothing():
     assert extraction.vectors([]).shape[0] == 0 and extraction.vectors([[], [Block(("p",), "x", 0.0)]]).shape[0] == 1
+
+
+@pytest.mark.parametrize("holder", [("div", "div"), ("table><tr><td", "td></tr></table")])
+def test_pages_without_article(spark, holder):
+    """Half of the table's pages hold their article in an unnamed element; all texts are found."""
+    import re
+
+    opened, closed = holder
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()
+    plain = lambda x: re.sub(r"<article[^>]*>", f"<{opened}>", re.sub(r"</article>", f"</{closed}>", x))
+    rows = [(r["page_id"], r["url"], plain(r["html"] or "") if r["page_id"] % 2 else r["html"]) for r in pages]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {r["page_id"]: "\n\n".join(b.text for b in blocks(r["html"] or "") if "article" in b.path) for r in pages}
+    got = extraction.extract(df, extraction.train(df)).collect()
+    assert sum(r["text"] != want[r["page_id"]] for r in got) <= 0.02 * len(got)
+
+
+def test_pages_that_cannot_be_labelled_teach_nothing(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(extraction.Labeller, "fit", lambda self, pages, labels: seen.extend(labels))
+    named, unnamed = "<article><p>some words</p></article>", "<div><p>some words</p></div>"
+    df = spark.createDataFrame([(1, "u", named), (2, "v", unnamed)], "page_id long, url string, html string")
+    extraction.train(df)
+    assert len(seen) == 2 + extraction.COMPOSED and all(y.any() for y in seen)
