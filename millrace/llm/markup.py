@@ -18,6 +18,7 @@ class Block(NamedTuple):
 # Elements by kind, as the HTML standard has them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("head script style template noscript iframe svg math object canvas video audio".split())
+IN_HEAD = frozenset("base basefont bgsound head html link meta noscript script style template title".split())  # all others close an open head
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
@@ -96,6 +97,8 @@ def blocks(page: str) -> list[Block]:
 
     at = 0
     while m := _TOKEN.search(page, at):
+        if stack and stack[-1][0] == "head" and page[at : m.start()].strip():
+            pop(len(stack) - 1)
         add(page[at : m.start()])
         at = m.end()
         if m[2] is None:
@@ -107,6 +110,8 @@ def blocks(page: str) -> list[Block]:
                     pop(k)
                     break
             continue
+        if stack and stack[-1][0] == "head" and tag not in IN_HEAD:
+            pop(len(stack) - 1)
         if tag == "br":
             if texts:
                 texts.append(" ")
@@ -132,6 +137,8 @@ def blocks(page: str) -> list[Block]:
         stack.append((tag, _marks(m[3])))
         unseen += tag in UNSEEN
         links += tag == "a"
+    if stack and stack[-1][0] == "head":
+        pop(len(stack) - 1)
     add(_CUT_TAG.sub("", page[at:]))
     pop(0)
     flush()

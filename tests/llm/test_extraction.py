@@ -115,3 +115,11 @@ def test_pages_that_cannot_be_labelled_teach_nothing(spark, monkeypatch):
     df = spark.createDataFrame([(1, "u", named), (2, "v", unnamed)], "page_id long, url string, html string")
     extraction.train(df)
     assert len(seen) == 2 + extraction.COMPOSED and all(y.any() for y in seen)
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [("<head><title>t</title><p>text", ["text"]), ("<head><meta charset=x>text", ["text"]), ("<html><head><script>s</script><div>a</div><p>b", ["a", "b"]), ("<head><noscript><p>n</p></noscript><template><p>t</p></template><b>x</b>", ["x"]), ("<head><title>t</title></head><p>x", ["x"])],
+)
+def test_open_head(page, texts):
+    assert [b.text for b in blocks(page)] == texts
