@@ -53,8 +53,8 @@ def drop_lines(docs: DataFrame, host: str = "source", most_share: float = MOST_S
 
     Adds ``n_lines``, ``n_dropped`` and ``mostly_repeated``. Lines end at \\n and are compared
     without spaces at their ends; blank lines always stay. A page of which more than
-    ``most_share`` of its characters would go is a copy rather than a page with boilerplate: it
-    is left whole and marked, for a near-duplicate stage to decide. Null texts stay null with
+    ``most_share`` of its characters would go, be it a copy or a short page that is mostly
+    boilerplate, is left whole and marked. Null texts stay null with
     no lines. Rows without a host form one host. Columns of ``docs`` with the names of added
     ones are replaced.
     """
