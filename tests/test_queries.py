@@ -1,31 +1,30 @@
 """Every query with SQL agrees with DuckDB on whole tables; the others run and give rows."""
 
 import pytest
-from conftest import SF
 from oracle_check import compare, duck
 
 from millrace.plans.catalog import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
-def con():
-    return duck(SF)
+def con(sf):
+    return duck(sf)
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
-def test_agrees_with_sql(spark, con, name):
-    ok, note = compare(spark, con, name, QUERIES[name], ORACLES[name], SF)
+def test_agrees_with_sql(spark, con, sf, name):
+    ok, note = compare(spark, con, name, QUERIES[name], ORACLES[name], sf)
     assert ok, note
 
 
 @pytest.mark.parametrize(
     "name", ["full_cleaning_pass", "early_cleaning_pass", "time_profile", "reading_profile", "all_profiles"]
 )
-def test_passes_keep_every_row(spark, name):
+def test_passes_keep_every_row(spark, sf, name):
     from millrace.plans.tables import legs
 
-    got = QUERIES[name](spark, SF)
-    n = legs(spark, SF).count()
+    got = QUERIES[name](spark, sf)
+    n = legs(spark, sf).count()
     assert got.count() == n if name != "early_cleaning_pass" else 0 < got.count() <= n
 
 
@@ -43,6 +42,6 @@ asof_backward asof_forward exact_quantiles portfolio_stats""".split()
 
 
 @pytest.mark.parametrize("name", ORDERED)
-def test_agrees_with_sql_on_split_keys(small_groups, con, name):
-    ok, note = compare(small_groups, con, name, QUERIES[name], ORACLES[name], SF)
+def test_agrees_with_sql_on_split_keys(small_groups, con, sf, name):
+    ok, note = compare(small_groups, con, name, QUERIES[name], ORACLES[name], sf)
     assert ok, note
