@@ -1,26 +1,14 @@
+import os
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
-CLASHING = "row class shard slot rank text_key component component_id label a b n id bits bucket part host group key kept score places restored hash page".split()
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-LONG = " ".join(f"w{k % 977}x{k % 31}" for k in range(60_000))
-ODD_TEXTS = [
-    (1, None),
-    (2, ""),
-    (3, "   \n\t "),
-    (4, "one two three four five six seven eight nine ten eleven twelve"),
-    (5, "one two three four five six seven eight nine ten eleven twelve"),
-    (5, "one two three four five six seven eight nine ten eleven twelve"),
-    (6, "few words"),
-    (7, "FEW words"),
-    (8, LONG),
-    (None, "a row without an id, with some more words in it"),
-    (9, "!!! ??? ***"),
-    (10, "one two three four five six seven eight nine ten eleven twelve thirteen"),
-    (11, "ünï çødé 你好 мир ñ"),
-    (12, " tab\tand\x0bvertical\x0cfeed\rreturn"),
-]
+from odd_texts import ODD_TEXTS  # noqa: E402
 
+CLASHING = "row class shard slot rank text_key component component_id label a b n id bits bucket part host group key kept score places restored hash page".split()
 
 @pytest.fixture(scope="session")
 def odd_docs(spark):

@@ -4,7 +4,7 @@ import importlib
 import inspect
 
 import pytest
-from conftest import ODD_TEXTS
+from odd_texts import ODD_TEXTS
 
 from millrace.llm.catalog import ORACLES, QUERIES
 

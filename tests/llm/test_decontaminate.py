@@ -3,7 +3,7 @@ import random
 import re
 
 import pytest
-from conftest import ODD_TEXTS
+from odd_texts import ODD_TEXTS
 
 from millrace.llm import decontaminate
 

@@ -1,6 +1,6 @@
 import math
 
-from conftest import ODD_TEXTS
+from odd_texts import ODD_TEXTS
 from pyspark.sql import functions as F
 
 from millrace.llm import importance

@@ -1,6 +1,6 @@
 import numpy as np
 import pyarrow as pa
-from conftest import ODD_TEXTS
+from odd_texts import ODD_TEXTS
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -1,6 +1,6 @@
 import random
 
-from conftest import ODD_TEXTS
+from odd_texts import ODD_TEXTS
 
 from millrace.llm import lines
 

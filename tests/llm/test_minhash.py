@@ -1,7 +1,7 @@
 import random
 import re
 
-from conftest import ODD_TEXTS
+from odd_texts import ODD_TEXTS
 
 from millrace.llm import minhash
 

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import ODD_TEXTS
+from odd_texts import ODD_TEXTS
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer

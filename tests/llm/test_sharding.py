@@ -3,7 +3,7 @@ import zlib
 from collections import Counter
 
 import pytest
-from conftest import ODD_TEXTS
+from odd_texts import ODD_TEXTS
 
 from millrace.llm import sharding
 

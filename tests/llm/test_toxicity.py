@@ -1,7 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import ODD_TEXTS
+from odd_texts import ODD_TEXTS
 
 from millrace.llm import toxicity
 
