@@ -80,3 +80,33 @@ n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
 SELECT v.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, m.c AS component_id, v.vec_id = m.c AS kept
 FROM v JOIN m ON m.id = v.vec_id LEFT JOIN n ON n.a = v.vec_id
 """
+
+
+def _centroids(k: int = 40, rounds: int = 5) -> str:
+    """Assignment and means of every round as tables of their own."""
+    near = """SELECT v.row, v.vec_id, v.e, min_by(c.cluster, list_value(d, c.cluster)) AS cluster, min(d) AS distance
+  FROM v, c{n} c, LATERAL (SELECT list_sum([(x[1] - x[2]) * (x[1] - x[2]) for x in list_zip(v.e, c.e)])::BIGINT AS d)
+  GROUP BY v.row, v.vec_id, v.e"""
+    parts = [
+        """v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR))) - 1 AS INTEGER) AS cluster, e
+  FROM v QUALIFY row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR))) <= {k})""",
+    ]
+    for n in range(rounds):
+        parts.append(f"a{n} AS MATERIALIZED ({near.format(n=n)})")
+        parts.append(f"""m{n} AS MATERIALIZED (
+  SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS e
+  FROM (SELECT cluster, i, sum(x) AS s, count(*) AS n FROM (SELECT cluster, unnest(e) AS x, unnest(range(1, 65)) AS i FROM a{n}) GROUP BY ALL) GROUP BY cluster)""")
+        parts.append(f"c{n + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.e, c.e) AS e FROM c{n} c LEFT JOIN m{n} m USING (cluster))")
+    parts.append(f"a AS MATERIALIZED ({near.format(n=rounds)})")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a JOIN c{rounds} c USING (cluster)
+"""
+
+
+OP12 = _centroids()
