@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import centroids, decontaminate, extraction, importance, language, lines, minhash, oracles, packing, sharding, textscan, toxicity, vectors
+from millrace.llm import centroids, chat, decontaminate, extraction, importance, language, lines, minhash, oracles, packing, sharding, textscan, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op6_minhash": oracles.OP6, "op9_decontaminate": oracles.OP9, "op10_lines": oracles.OP10, "op4_vectors": oracles.OP4, "op12_centroids": oracles.OP12}
+ORACLES: dict[str, str] = {"op6_minhash": oracles.OP6, "op9_decontaminate": oracles.OP9, "op10_lines": oracles.OP10, "op4_vectors": oracles.OP4, "op11_chat": oracles.OP11, "op12_centroids": oracles.OP12}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +88,14 @@ def op1_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(pages, extraction.train(pages))
 
 
+@query
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = chat.as_log(table(spark, sf_dir, "conversations"))
+    said = r"\### Assistant: </turn> ok"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.render(log.union(chat.as_log(probe)), each=True))
+
+
 @query
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.digest(centroids.cluster(table(spark, sf_dir, "embeddings")))

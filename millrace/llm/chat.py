@@ -58,6 +58,8 @@ class Template:
         object.__setattr__(self, "_turns", re.compile(turn, re.DOTALL))
 
     def escape(self, text: str) -> str:
+        if "\\" not in text and not any(c in text for c in self.controls):
+            return text
         return self._marks.sub(r"\\", text)
 
     def escape_role(self, role: str) -> str:

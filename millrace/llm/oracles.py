@@ -110,3 +110,16 @@ FROM a JOIN c{rounds} c USING (cluster)
 
 
 OP12 = _centroids()
+
+OP11 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+e AS (SELECT *, replace(replace(replace(text, '\', '\\'), '<turn ', '<\turn '), '</turn>', '<\/turn>') AS shown,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, md5(text)) AS k FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<turn ' || role || '>') + 1 + length(shown) + length('</turn>') + 2) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
