@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import centroids, chat, decontaminate, extraction, importance, language, lines, minhash, oracles, packing, sharding, textscan, toxicity, vectors
+from millrace.llm import centroids, chat, decontaminate, divergence, extraction, importance, language, lines, minhash, oracles, packing, sharding, textscan, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op6_minhash": oracles.OP6, "op9_decontaminate": oracles.OP9, "op10_lines": oracles.OP10, "op4_vectors": oracles.OP4, "op11_chat": oracles.OP11, "op12_centroids": oracles.OP12}
+ORACLES: dict[str, str] = {"op6_minhash": oracles.OP6, "op9_decontaminate": oracles.OP9, "op10_lines": oracles.OP10, "op4_vectors": oracles.OP4, "op11_chat": oracles.OP11, "op12_centroids": oracles.OP12, "op13_divergence": oracles.OP13}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,6 +101,11 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.digest(centroids.cluster(table(spark, sf_dir, "embeddings")))
 
 
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -123,3 +123,32 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(sum(length('<turn ' || role || '>') + 1 + length(shown) + length('</turn>') + 2) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+OP13 = rf"""
+WITH d AS MATERIALIZED (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS id,
+    list_filter(regexp_extract_all(coalesce({LOWER}, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+t AS MATERIALIZED (SELECT lang, source, id, unnest(w) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+n AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+gt AS (SELECT lang, source, sum(n) AS total FROM n GROUP BY lang, source),
+lt AS (SELECT lang, sum(n) AS total FROM n GROUP BY lang),
+ln AS (SELECT lang, term, sum(n) AS n FROM n GROUP BY lang, term),
+p AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(n.n, 0) AS n,
+    1 + CAST(1000000000 AS HUGEINT) * (coalesce(n.n, 0) + 5) // (coalesce(gt.total, 0) + 5 * v.v) AS p,
+    1 + CAST(1000000000 AS HUGEINT) * (ln.n + 5) // (lt.total + 5 * v.v) AS q
+  FROM g JOIN kept USING (lang) JOIN v USING (lang) JOIN lt USING (lang) JOIN ln USING (lang, term)
+  LEFT JOIN gt USING (lang, source) LEFT JOIN n USING (lang, source, term)),
+x AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 50
+"""

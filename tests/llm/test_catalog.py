@@ -26,7 +26,7 @@ def test_agrees_with_sql(spark, con, sf, name):
 
 def test_one_query_for_each_operator():
     names = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert names == list(range(1, 11)) and "pipeline" in QUERIES
+    assert names == list(range(1, 14)) and "pipeline" in QUERIES
     import __spark_entry__ as entry
 
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
@@ -41,6 +41,9 @@ COLUMNS = {
     "op6_minhash": [("doc_id", "bigint"), ("n_shingles", "bigint"), ("component_id", "bigint"), ("kept", "boolean")],
     "op7_toxicity": [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")],
     "op9_decontaminate": [("doc_id", "bigint"), ("n_words", "bigint"), ("n_hit", "bigint"), ("n_items", "bigint"), ("items_sha256", "string"), ("contaminated", "boolean")],
+    "op11_chat": [("conv_id", "bigint"), ("n_turns", "bigint"), ("turns_sha256", "string"), ("loss_chars", "bigint"), ("loss_sha256", "string"), ("formatted_chars", "bigint")],
+    "op12_centroids": [("vec_id", "bigint"), ("cluster", "int"), ("distance", "bigint"), ("cluster_inertia", "bigint"), ("inertia", "bigint"), ("centroid_sha256", "string")],
+    "op13_divergence": [("lang", "string"), ("source", "string"), ("part", "string"), ("item", "string"), ("value", "bigint"), ("rank", "int")],
 }
 
 
