@@ -4,7 +4,8 @@ Documents start in shards by hash. In every round each group of linked documents
 names the shards that already hold most of it, as many as it needs for its size;
 its members elsewhere ask to move there. Requests are granted, largest groups
 of requests first, as far as the shard's quota goes: its final number of documents and
-a little slack, so that shards full of linked documents can still exchange them. At last
+a little slack; and documents that ask to go opposite ways between two shards change places,
+so shards full of linked documents can still exchange them. At last
 what is over the final number leaves, group by group, and with the documents without
 links, which cut no edge wherever they are, fills every shard to its exact number.
 
@@ -44,12 +45,18 @@ def _requests(state: DataFrame, free: list[int], target: int) -> DataFrame:
     Of a group only its at most ``len(free)`` counts by shard are gathered.
     """
     cells = state.groupBy("group", "shard").agg(F.count("*").alias("n"))
-    open_cells = cells.where(F.element_at(_numbers(free), F.col("shard") + 1) > 0)
-    order = F.struct((-F.col("n")).alias("less"), F.xxhash64("group", "shard").alias("tie"), "shard", "n")
-    groups = open_cells.groupBy("group").agg(F.sort_array(F.collect_list(order)).alias("cells"), F.sum("n").alias("size"))
+    full = (F.element_at(_numbers(free), F.col("shard") + 1) <= 0).alias("full")
+    first = cells.groupBy("shard").agg(F.max(F.struct("n", "group"))["group"].alias("first"))
+    cells = cells.join(first, "shard").withColumn("behind", F.col("group") != F.col("first"))
+    order = F.struct((-F.col("n")).alias("less"), full, F.xxhash64("group", "shard").alias("tie"), "shard", "n", "behind")
+    groups = cells.groupBy("group").agg(F.sort_array(F.collect_list(order)).alias("cells"), F.sum("n").alias("size"))
     groups = groups.where(F.size("cells") > 1).withColumn(
         "chosen", F.least(F.greatest(F.ceil(F.col("size") / target), F.lit(1)), F.size("cells")).cast("int")
     )
+    # two groups that need several shards don't both gather where both are large
+    fields = ("behind", "less", "full", "tie", "shard", "n")
+    cells = F.transform("cells", lambda c: F.struct(*[c[x].alias(x) for x in fields]))
+    groups = groups.withColumn("cells", F.when(F.col("chosen") > 1, F.sort_array(cells)).otherwise(cells))
     spread = groups.select("group", "cells", "chosen", F.posexplode("cells").alias("at", "cell")).where("at >= chosen")
     to = F.element_at("cells", F.col("at") % F.col("chosen") + 1)
     return spread.select("group", F.col("cell.shard").alias("shard"), to["shard"].alias("to"), F.col("cell.n").alias("n"), to["n"].alias("gain"))
@@ -58,15 +65,23 @@ def _requests(state: DataFrame, free: list[int], target: int) -> DataFrame:
 def _granted(requests: DataFrame, free: list[int]) -> DataFrame:
     """Requests within the quotas, and the share of their members that may go.
 
-    They are counted by rank of gain and hash first, so a quota is split over at most
+    As many as want to go from one shard to another as the other way round change places, which
+    leaves both shards as full as they were; what is known of that is a count for every two shards.
+    The quotas are for the rest. They are counted by rank of gain and hash first, so a quota is split over at most
     64 * BUCKETS counts for each shard, not over requests.
     """
-    marked = requests.withColumn("level", F.floor(F.log2("gain")).cast("int")).withColumn("part", bucket("group", "shard", n=BUCKETS))
+    flow = requests.groupBy("shard", "to").agg(F.sum("n").alias("asked"))
+    back = flow.select(F.col("shard").alias("to"), F.col("to").alias("shard"), F.col("asked").alias("back"))
+    swaps = flow.join(back, ["shard", "to"], "left").select("shard", "to", (F.least("asked", F.coalesce("back", F.lit(0))) / F.col("asked")).alias("swapped"))
+    rest = requests.join(swaps, ["shard", "to"]).withColumn("n", F.col("n") * (1 - F.col("swapped")))
+    marked = rest.withColumn("level", F.floor(F.log2("gain")).cast("int")).withColumn("part", bucket("group", "shard", n=BUCKETS))
     counts = marked.groupBy("to", "level", "part").agg(F.sum("n").alias("n"))
     earlier = Window.partitionBy("to").orderBy(F.desc("level"), "part").rowsBetween(Window.unboundedPreceding, -1)
     left = F.element_at(_numbers(free), F.col("to") + 1) - F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    fits = counts.withColumn("share", left / F.col("n")).where(F.col("share") > 0)
-    return marked.join(fits.select("to", "level", "part", "share"), ["to", "level", "part"]).select("group", "shard", "to", "share")
+    fits = counts.withColumn("share", F.when(F.col("n") > 0, F.greatest(F.least(left / F.col("n"), F.lit(1.0)), F.lit(0.0))).otherwise(0.0))
+    granted = marked.join(fits.select("to", "level", "part", "share"), ["to", "level", "part"])
+    share = F.col("swapped") + (1 - F.col("swapped")) * F.col("share")
+    return granted.select("group", "shard", "to", share.alias("share")).where("share > 0")
 
 
 def propagate(state: DataFrame, targets: list[int], rounds: int = ROUNDS) -> DataFrame:
@@ -108,14 +123,14 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     than shards some shards are empty.
     """
     text = F.col("text").cast("string")
-    rows = stage(
-        docs.select(
-            "doc_id",
-            (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + OVERHEAD).alias("size"),
-            F.coalesce(F.crc32(text), F.lit(0).cast("long")).alias("text_crc32"),
-            F.unhex(F.md5(text)).alias("group"),
-        ).withColumn("row", F.monotonically_increasing_id())
-    )
+    size = (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + OVERHEAD).alias("size")
+    crc = F.coalesce(F.crc32(text), F.lit(0).cast("long")).alias("text_crc32")
+    each = docs.select("doc_id", size, crc, F.unhex(F.md5(text)).alias("group"))
+    # equal rows are told apart by number, so a row's name doesn't hang on where it lies
+    repeats = each.groupBy("doc_id", "size", "text_crc32", "group").agg(F.count("*").alias("n"))
+    numbered = repeats.select("doc_id", "size", "text_crc32", "group", F.explode(F.sequence(F.lit(1), "n")).alias("n"))
+    named = F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.hex("group"), F.lit("-")), F.col("n").cast("string"))
+    rows = stage(numbered.withColumn("row", F.unhex(F.md5(named))).drop("n"))
     total = rows.count()
     targets = [total // shards + (s < total % shards) for s in range(shards)]
     linked = rows.where("group is not null").groupBy("group").agg(F.count("*").alias("m")).where("m > 1").select("group")

@@ -82,3 +82,13 @@ def test_pairs_meet_where_shards_have_room(spark):
     got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     check(got, rows, 40)
     assert together(got) >= 0.97 * (600 + 50 * 21)
+
+
+def test_shards_do_not_depend_on_input_partitions(spark):
+    rows = docs(3, 900, [300, 40, 5, 5, 2]) + [(5, "copy 0")] * 3 + [(None, None)] * 4 + [(None, "copy 0")] * 2
+    found = []
+    for parts in (1, 2, 8, 13):
+        got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+        check(got, rows, 40)
+        found.append(sorted(map(repr, got)))
+    assert all(f == found[0] for f in found)
