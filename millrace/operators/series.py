@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from millrace.functions import maths
 from millrace.operators.joins import asof, day_low
 from millrace.operators.keyed import attach
+from millrace.operators.ladder import first_above
 from millrace.operators.ordered import bounded, ewm, fits, fold, following, number_rows, running
 from millrace.operators.windows import crossed, held_since_cross, local_minima, merge_runs
 from millrace.session import max_group_rows, stage
@@ -289,16 +290,17 @@ def buy_points(signals: DataFrame, pivots: DataFrame, symbol: str, time: str) ->
 
     Pivots carry ``kind`` from ``split_pivots``. Signals without one drop out.
     """
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     sig = signals.select(symbol, F.col(time).alias("signal_time"))
     p = pivots.select(symbol, F.col(time).alias("__pt"), F.col("close").alias("__pc"), "kind")
     highs, lows = p.filter("kind = 'high'").drop("kind"), p.filter("kind = 'low'").drop("kind")
     marked = asof(sig, highs, [symbol], "signal_time", "__pt", ["__pc"], "forward")
     marked = marked.select(symbol, "signal_time", F.col("matched___pc").alias("high_close")).filter("high_close is not null")
-    # Signals and pivots of a symbol are both far fewer than its bars.
-    pairs = marked.join(lows, symbol).filter((F.col("__pt") >= F.col("signal_time")) & (F.col("__pc") > F.col("high_close")))
-    first = F.min(F.struct("__pt", "__pc")).alias("b")
-    return pairs.groupBy(symbol, "signal_time").agg(first, F.first("high_close").alias("high_close")).select(
-        symbol, "signal_time", "high_close", F.col("b.__pt").alias("buy_time"), F.col("b.__pc").alias("buy_close")
+    asked = marked.withColumn("after", micros("signal_time")).withColumn("bound", F.col("high_close"))
+    found = first_above(lows.withColumn("__pt", micros("__pt")), symbol, "__pt", "__pc", asked)
+    return found.select(
+        symbol, "signal_time", "high_close", F.timestamp_micros("found_order").cast(pivots.schema[time].dataType).alias("buy_time"),
+        F.col("found_value").alias("buy_close"),
     )
 
 

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from millrace.functions import maths
 from millrace.operators.joins import day_low
-from millrace.operators.keyed import attach
+from millrace.operators.keyed import attach, join_on
+from millrace.operators.ladder import ROWS, WIDTH, Blocks, Ladder, ahead, first
 from millrace.operators.ordered import fold, with_halo
 from millrace.operators.series import CLASSIC_SPANS, LOW_BUFFER, REVERSAL, RISE_OF_MINIMUM, pivot_scan
 
@@ -151,83 +152,121 @@ def second_sightings(found: DataFrame, symbol: str) -> DataFrame:
 # --- trailing stop ----------------------------------------------------------
 
 
-def _follow(trade: dict, t: int, p: float, half: bool) -> bool:
-    """Move one open trade to the next close; true when it has to be sold."""
-    if half and trade["booked"] is None and p > trade["entry"] * HALF_SELL:
-        trade["booked"] = (p - trade["entry"]) / trade["entry"]
-    if p < trade["stop"]:
-        return True
-    if p > trade["high"]:
-        if half and p > trade["step"]:
-            trade["step"] *= RISE_STEP
-            trade["coeff"] = max(STOP_FLOOR, trade["coeff"] - STOP_STEP)
-        trade["high"], trade["stop"] = p, p * trade["coeff"]
-    return False
-
-
-def new_trade(t: int, p: float) -> dict:
-    return {"at": t, "entry": p, "stop": p * STOP, "coeff": STOP, "high": p, "step": p * RISE_STEP, "booked": None}
-
-
-def trade_return(trade: dict, p: float) -> float:
-    now = (p - trade["entry"]) / trade["entry"]
-    return now if trade["booked"] is None else 0.5 * trade["booked"] + 0.5 * now
-
-
-def stop_step(half: bool):
-    """Fold step over rows (__time, close, is_entry, __last) that closes trades at their stops."""
-
-    def step(key: tuple, state: dict | None, rows: pd.DataFrame) -> tuple[pd.DataFrame, dict]:
-        live = [dict(t) for t in (state or {}).get("live", [])]
-        out = []
-        for t, p, entry, last in zip(
-            rows["__time"].tolist(), rows["close"].tolist(), rows["is_entry"].tolist(), rows["__last"].tolist()
-        ):
-            keep = []
-            for trade in live:
-                sell = _follow(trade, t, p, half)
-                if sell or last:
-                    out.append((trade["at"], trade["entry"], t, p, trade_return(trade, p), int(sell)))
-                else:
-                    keep.append(trade)
-            live = keep
-            if entry:
-                live.append(new_trade(t, p))
-        frame = pd.DataFrame(out, columns=["__in", "entry_price", "__out", "exit_price", "ret", "stopped"])
-        frame["__key"] = key[0]
-        return frame, {"live": live}
-
-    return step
+# The stop's share of the high, one after each tightening.
+COEFFICIENTS = [STOP]
+while COEFFICIENTS[-1] > STOP_FLOOR:
+    COEFFICIENTS.append(max(STOP_FLOOR, COEFFICIENTS[-1] - STOP_STEP))
+_SHARES = np.array(COEFFICIENTS)
+
+
+def open_trades(entry: np.ndarray, child: np.ndarray) -> dict[str, np.ndarray]:
+    """Trades just opened, as a dict of arrays; each goes on at ``child`` of its block."""
+    n = len(entry)
+    return {"entry": entry, "__child": child, "high": entry.copy(), "tightened": np.zeros(n, np.int64), "step": entry * RISE_STEP, "booked": np.full(n, np.nan), "price": np.full(n, np.nan)}
+
+
+def _changes(blocks: Blocks, trades: dict, half: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First child of each trade's block with a sale, a booking or a tightening (-1: none), the
+    high before it, and the high after the whole block."""
+    part = ahead(blocks, trades["__child"])
+    highs = np.maximum.accumulate(np.column_stack([trades["high"], part.high]), axis=1)
+    before = highs[:, :-1]
+    hits = (part.low < _SHARES[trades["tightened"]][:, None] * before) | (part.falls >> trades["tightened"][:, None] & 1).astype(bool)
+    if half:
+        tighter = (trades["tightened"] + 1 < len(_SHARES))[:, None]
+        hits |= tighter & (part.high > np.maximum(before, trades["step"][:, None]))
+        hits |= np.isnan(trades["booked"])[:, None] & (part.high > (trades["entry"] * HALF_SELL)[:, None])
+    at = first(hits)
+    return at, before[np.arange(len(at)), at], highs[:, -1]
+
+
+def sell(blocks: Blocks, trades: dict, half: bool) -> np.ndarray:
+    """Where in its block of closes each trade is sold, -1 if it stays open; updates the trades."""
+    sold = np.full(len(trades["entry"]), -1)
+    on = np.arange(len(sold))
+    while len(on):
+        mine = Blocks(blocks.high[on], blocks.low[on], blocks.falls[on])
+        at, before, after = _changes(mine, {k: v[on] for k, v in trades.items()}, half)
+        trades["high"][on[at < 0]] = after[at < 0]
+        on, at, before = on[at >= 0], at[at >= 0], before[at >= 0]
+        close, entry, tightened = blocks.high[on, at], trades["entry"][on], trades["tightened"][on]
+        out = close < _SHARES[tightened] * before
+        if half:
+            books = np.isnan(trades["booked"][on]) & (close > entry * HALF_SELL)
+            trades["booked"][on[books]] = ((close - entry) / entry)[books]
+            rises = ~out & (close > np.maximum(before, trades["step"][on])) & (tightened + 1 < len(_SHARES))
+            trades["step"][on[rises]] *= RISE_STEP
+            trades["tightened"][on[rises]] += 1
+        sold[on[out]], trades["price"][on[out]] = at[out], close[out]
+        trades["high"][on] = np.maximum(before, close)
+        trades["__child"][on] = at + 1
+        on = on[~out]
+    return sold
+
+
+def sell_along(trades: dict, closes: np.ndarray, half: bool) -> np.ndarray:
+    """``sell`` for any number of trades over one stretch of closes."""
+    sold = np.full(len(trades["entry"]), -1)
+    for at in range(0, len(sold), ROWS):
+        some = {k: v[at : at + ROWS] for k, v in trades.items()}  # views: updates reach ``trades``
+        shape = (len(some["entry"]), len(closes))
+        prices = np.broadcast_to(closes, shape)
+        sold[at : at + ROWS] = sell(Blocks(prices, prices, np.zeros(shape, np.int64)), some, half)
+    return sold
+
+
+def _look_for_stop(half: bool):
+    def look(blocks: Blocks, trades: dict, values: bool) -> tuple[np.ndarray, np.ndarray]:
+        if values:
+            at = sell(blocks, trades, half)
+            return at, at >= 0
+        at, before, after = _changes(blocks, trades, half)
+        trades["high"] = np.where(at >= 0, before, after)
+        return at, np.zeros(len(at), bool)
+
+    return look
+
+
+def trade_return(entry, price, booked):
+    """Gain over the entry; half of it as booked, where half was booked. Columns or arrays."""
+    now = (price - entry) / entry
+    return now, 0.5 * booked + 0.5 * now
 
 
 def trailing_stops(
-    bars: DataFrame, entries: DataFrame, symbol: str, time: str, half_sell: bool = True
+    bars: DataFrame, entries: DataFrame, symbol: str, time: str, half_sell: bool = True, width: int = WIDTH
 ) -> DataFrame:
     """Exit and return of every trade opened at the close of an entry bar.
 
     ``entries`` holds symbol and time. Trades still open on the symbol's last bar
     are sold there; one opened on it has no return. With ``half_sell`` half is
-    booked above a 5 % gain and the stop tightens with each further 10 % rise.
+    booked above a 5 % gain and the stop tightens with each further 10 % rise. Bars without a
+    close are no bars, and entries there or without a symbol no entries.
+
+    A stop is a fall below a share of the highest close since the entry. Block summaries tell
+    where such a fall, a booking or a tightening can be, so a trade descends to a few blocks of closes,
+    at most once for each of them, and open trades are never gathered.
     """
-    marks = entries.select(symbol, time).distinct().withColumn("__e", F.lit(1))
-    rows = bars.select(symbol, time, F.col("close").cast("double").alias("close")).join(marks, [symbol, time], "left")
-    rows = _micros(rows, time).select(symbol, "__time", "close", F.coalesce("__e", F.lit(0)).alias("is_entry"))
-    schema = T.StructType(
-        [
-            T.StructField("__key", rows.schema[symbol].dataType),
-            T.StructField("__in", T.LongType()),
-            T.StructField("entry_price", T.DoubleType()),
-            T.StructField("__out", T.LongType()),
-            T.StructField("exit_price", T.DoubleType()),
-            T.StructField("ret", T.DoubleType()),
-            T.StructField("stopped", T.IntegerType()),
-        ]
-    )
-    out = fold(rows, [symbol], ["__time"], stop_step(half_sell), schema, sizes=bars.select(symbol))
+    ladder = Ladder(_micros(bars, time), symbol, "__time", "close", COEFFICIENTS, width)
+    marks = _micros(entries, time).select(symbol, F.col("__time").alias("__order")).distinct()
+    last = ladder.numbered.groupBy(symbol).agg(F.max_by(F.struct("__at", "__order", "__value"), "__at").alias("__end"))
+    opened = join_on(ladder.numbered, marks, [symbol, "__order"], "inner", null_safe=False)
+    opened = join_on(opened, last, [symbol], "inner", null_safe=False).where(F.col("__at") < F.col("__end.__at"))
+    entry = F.col("__value")
+    trades = opened.select(
+        symbol, (F.col("__at") + 1).alias("__from"), entry.alias("entry"), F.col("__order").alias("__in"), F.col("__end.__order").alias("__end_time"),
+        F.col("__end.__value").alias("__end_price"), entry.alias("high"), F.lit(0).cast("long").alias("tightened"), (entry * RISE_STEP).alias("step"),
+        F.lit(None).cast("double").alias("booked"), F.lit(None).cast("double").alias("price"),
+    )
+    out = ladder.search(trades, _look_for_stop(half_sell))
+    stopped = F.col("__found").isNotNull()
+    price = F.when(stopped, F.col("price")).otherwise(F.col("__end_price"))
+    now, halved = trade_return(F.col("entry"), price, F.col("booked"))
     return out.select(
-        F.col("__key").alias(symbol), F.timestamp_micros("__in").alias("entry_time"), "entry_price",
-        F.timestamp_micros("__out").alias("exit_time"), "exit_price", "ret", "stopped",
-    )
+        symbol, F.timestamp_micros("__in").alias("entry_time"), F.col("entry").alias("entry_price"),
+        F.timestamp_micros(F.when(stopped, F.col("__carry")).otherwise(F.col("__end_time"))).alias("exit_time"),
+        price.alias("exit_price"), F.coalesce(halved, now).alias("ret"), stopped.cast("int").alias("stopped"),
+    )
 
 
 # --- divergence trading -----------------------------------------------------

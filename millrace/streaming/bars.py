@@ -11,13 +11,14 @@ import json
 import uuid
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from millrace.operators.trading import stop_step
+from millrace.operators.trading import open_trades, sell_along, trade_return
 from millrace.session import stage_dir
 
 
@@ -86,7 +87,6 @@ def live_stops(stream: DataFrame, symbol: str, time: str, delay: str, half_sell:
     neither has none. Bars newer than the watermark stay waiting: a row without a symbol and
     with a later time moves it on (see ``clock_row``).
     """
-    step = stop_step(half_sell)
     rows = stream.withWatermark(time, delay).select(
         symbol, time, F.unix_micros(F.col(time).cast("timestamp")).alias("__time"), F.col("close").cast("double").alias("close"), "is_entry"
     )
@@ -102,24 +102,32 @@ def live_stops(stream: DataFrame, symbol: str, time: str, delay: str, half_sell:
     )
     names = [f.name for f in out.fields]
     columns = ["__time", "close", "is_entry"]
+    kept = ["at", "entry", "high", "tightened", "step", "booked"]
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if pd.isna(key[0]):  # a clock row
             return
-        saved = json.loads(state.get[0]) if state.exists else {"live": [], "waiting": []}
-        fresh = [] if state.hasTimedOut else [r for b in batches for r in b[columns].values.tolist()]
+        saved = json.loads(state.get[0]) if state.exists else {"live": {c: [] for c in kept}, "waiting": []}
+        fresh = [] if state.hasTimedOut else [r for b in batches for r in b[columns].values.tolist() if not pd.isna(r[1])]
         waiting = sorted([*saved["waiting"], *fresh])
         passed = state.getCurrentWatermarkMs() * 1000
         due = [r for r in waiting if r[0] <= passed]
         waiting = waiting[len(due) :]
-        live = saved["live"]
+        trades = {c: np.array(v, dtype=np.int64 if c in ("at", "tightened") else float) for c, v in saved["live"].items()}
         if due:
-            bars = pd.DataFrame(due, columns=columns).astype({"__time": "int64", "is_entry": "int64"})
-            bars["__last"] = False
-            done, after = step(key, {"live": live}, bars)
-            live = after["live"]
-            yield done[names]
-        if waiting or live:
+            times, closes = np.array([r[0] for r in due], dtype=np.int64), np.array([r[1] for r in due], dtype=float)
+            entered = np.flatnonzero([r[2] == 1 for r in due])
+            fresh_trades = open_trades(closes[entered], entered + 1) | {"at": times[entered]}
+            known = trades | {"__child": np.zeros(len(trades["at"]), np.int64), "price": np.full(len(trades["at"]), np.nan)}
+            trades = {c: np.concatenate([known[c], fresh_trades[c]]) for c in fresh_trades}
+            sold = sell_along(trades, closes, half_sell)
+            done = sold >= 0
+            now, halved = trade_return(trades["entry"], trades["price"], trades["booked"])
+            result = {"__in": trades["at"], "entry_price": trades["entry"], "__out": times[sold], "exit_price": trades["price"], "ret": np.where(np.isnan(halved), now, halved)}
+            yield pd.DataFrame({"__key": key[0], **{c: v[done] for c, v in result.items()}})[names]
+            trades = {c: trades[c][~done] for c in kept}
+        live = {c: v.tolist() for c, v in trades.items()}
+        if waiting or live["at"]:
             state.update((json.dumps({"live": live, "waiting": waiting}),))
             if waiting:
                 state.setTimeoutTimestamp(int(max(waiting[0][0] // 1000, passed // 1000 + 1)))
