@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -11,9 +14,9 @@ from pyspark.sql import types as T
 
 from millrace.functions import maths
 from millrace.operators.joins import asof, day_low
-from millrace.operators.keyed import attach
+from millrace.operators.keyed import attach, join_on
 from millrace.operators.ladder import first_above
-from millrace.operators.ordered import bounded, ewm, fits, fold, following, number_rows, running
+from millrace.operators.ordered import bounded, ewm, fits, following, number_rows, running
 from millrace.operators.windows import crossed, held_since_cross, local_minima, merge_runs
 from millrace.session import max_group_rows, stage
 
@@ -212,48 +215,149 @@ def pivot_scan(
     return found, s
 
 
-def _zigzag_step(threshold_key: int | None, threshold: float):
-    def step(key: tuple, state: dict | None, rows: pd.DataFrame) -> tuple[pd.DataFrame, dict]:
-        limit = threshold if threshold_key is None else key[threshold_key]
-        found, state = pivot_scan(
-            rows["__time"].tolist(), rows["close"].tolist(), bool(rows["__last"].iloc[-1]), limit, state
-        )
-        frame = pd.DataFrame(found, columns=["__time", "close"])
-        for i, v in enumerate(key):
-            frame[f"__key{i}"] = v
-        return frame, state
+def _turns(closes: np.ndarray) -> np.ndarray:
+    """Places where the direction changes (of equal closes the first), and both ends."""
+    fresh = np.concatenate([[0], np.flatnonzero(np.diff(closes)) + 1])
+    way = np.sign(np.diff(closes[fresh]))
+    inner = fresh[1:-1][way[1:] != way[:-1]] if len(fresh) > 2 else fresh[:0]
+    return np.unique(np.concatenate([[0], inner, fresh[-1:], [len(closes) - 1]]))
 
-    return step
 
+def without_ripples(points: list[tuple[int, float]], limit: float) -> list[tuple[int, float]]:
+    """Turning points without those that can't count at ``limit`` or above, whatever came before.
 
-def zigzag(
-    df: DataFrame, symbol: str, time: str, threshold: float = REVERSAL, threshold_col: str | None = None
-) -> DataFrame:
+    A dip and the rise to it go where the way up goes on beyond both and the dip is no reversal by
+    ``limit``; likewise on the way down. One pass with a stack.
+    """
+    kept: list[tuple[int, float]] = []
+    for point in points:
+        kept.append(point)
+        while len(kept) > 3:
+            w, x, y, z = kept[-4][1], kept[-3][1], kept[-2][1], kept[-1][1]
+            dip = w <= y < x < z and y > x * (1 - limit)
+            bump = w >= y > x > z and y < x * (1 + limit)
+            if not (dip or bump):
+                break
+            del kept[-3:-1]
+    return kept
+
+
+def _settled(points: list[tuple[int, float]], limit: float) -> int | None:
+    """The first point that lies a reversal below an earlier one.
+
+    From there on pivots don't depend on what came before the points: whoever was looking for a
+    low has it there, and whoever was looking for a high has just turned.
+    """
+    top = -math.inf
+    for i, (_, p) in enumerate(points):
+        if p <= top * (1 - limit) and p < top:
+            return i
+        top = max(top, p)
+    return None
+
+
+def _each_limit(pdf: pd.DataFrame, limits: Sequence[float]) -> Iterator[tuple[float, list[tuple[int, float]]]]:
+    """Turning points of a block for each limit, fewer with each."""
+    pdf = pdf.sort_values("__rn")
+    times, closes = pdf["__time"].to_numpy(), pdf["close"].to_numpy()
+    at = _turns(closes)
+    points = list(zip(times[at].tolist(), closes[at].tolist(), strict=True))
+    for limit in limits:
+        points = without_ripples(points, limit)
+        yield limit, points
+
+
+def _pivots(df: DataFrame, symbol: str, time: str, thresholds: Sequence[float], block_rows: int | None = None) -> DataFrame:
+    """Pivots for every threshold: ``symbol``, ``threshold``, ``time``, ``close``, ``pivot_no``.
+
+    Bars are read once for all thresholds. Symbols are cut into blocks that are worked on side by
+    side: within a block the first fall by a threshold settles what follows, so most blocks
+    know what they leave to the next; those without such a fall get it from the
+    block before, one after the other. Then every block is read with what enters it. Bars without a close are no bars.
+    """
+    spark = df.sparkSession
+    limits = sorted({float(t) for t in thresholds})
+    size = block_rows or max_group_rows(spark)
+    closes = F.col("close").cast("double")
+    rows = df.select(symbol, F.unix_micros(F.col(time).cast("timestamp")).alias("__time"), closes.alias("close"))
+    rows = number_rows(rows.where(F.col("close").isNotNull() & ~F.isnan("close")), [symbol], ["__time", "close"], "__rn")
+    rows = stage(rows.withColumn("__block", F.floor((F.col("__rn") - 1) / F.lit(size)).cast("int")))
+    ends = rows.groupBy(symbol).agg(F.max("__rn").alias("__size"), F.max("__block").alias("__blocks"))
+    key = T.StructField(symbol, rows.schema[symbol].dataType)
+    state_schema = T.StructType([key, T.StructField("__block", T.IntegerType()), T.StructField("threshold", T.DoubleType()), T.StructField("state", T.StringType())])
+    names = [symbol, "__block"]
+
+    def leave(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        """What a block leaves to the next one, null where that hangs on the one before."""
+        out = []
+        for limit, points in _each_limit(pdf, limits):
+            at = None if key[1] == 0 else _settled(points, limit)
+            state = None
+            if key[1] == 0:
+                state = pivot_scan(*zip(*points, strict=True), False, limit)[1]
+            elif at is not None:
+                t, p = points[at]
+                state = {"dir": -1, "hi": p, "lo": p, "hi_at": t, "lo_at": t, "out_at": None}
+                if at + 1 < len(points):
+                    state = pivot_scan(*zip(*points[at + 1 :], strict=True), False, limit, state)[1]
+            out.append((*key, limit, None if state is None else json.dumps(state)))
+        return pd.DataFrame(out, columns=state_schema.names)
+
+    def pass_on(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """States after a block for the thresholds that it doesn't settle, from those before it."""
+        entering = dict(zip(right["threshold"], right["state"], strict=True))
+        out = []
+        for limit, points in _each_limit(left, limits) if len(left) else ():
+            if limit in entering:
+                out.append((*key, limit, json.dumps(pivot_scan(*zip(*points, strict=True), False, limit, json.loads(entering[limit]))[1])))
+        return pd.DataFrame(out, columns=state_schema.names)
+
+    states = spark.createDataFrame([], state_schema)
+    several = join_on(rows, ends.where("__blocks > 0"), [symbol], "inner").where("__block < __blocks").select(*rows.columns)
+    if not ends.where("__blocks > 0").isEmpty():
+        known = stage(several.groupBy(*names).applyInPandas(leave, state_schema))
+        states, waiting = known.where("state is not null"), known.where("state is null").drop("state")
+        while not waiting.isEmpty():
+            before = states.withColumn("__block", F.col("__block") + 1)
+            due = stage(join_on(waiting, before, [*names, "threshold"], "inner"))
+            here = join_on(several, due.select(*names).distinct(), names, "left_semi")
+            done = stage(here.groupBy(*names).cogroup(due.groupBy(*names)).applyInPandas(pass_on, state_schema))
+            states = states.unionByName(done)
+            waiting = stage(join_on(waiting, done.drop("state"), [*names, "threshold"], "left_anti"))
+
+    out_schema = T.StructType([key, T.StructField("threshold", T.DoubleType()), T.StructField("__time", T.LongType()), T.StructField("close", T.DoubleType())])
+
+    def read(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        entering = {t: json.loads(s) for t, s in zip(right["threshold"], right["state"], strict=True)}
+        out: list[tuple] = []
+        if len(left):
+            last = bool((left["__rn"] == left["__size"]).any())
+            for limit, points in _each_limit(left, limits):
+                found, _ = pivot_scan(*zip(*points, strict=True), last, limit, entering.get(limit))
+                out += [(key[0], limit, t, p) for t, p in found]
+        return pd.DataFrame(out, columns=out_schema.names)
+
+    sized = join_on(rows, ends.drop("__blocks"), [symbol], "left")
+    entering = states.withColumn("__block", F.col("__block") + 1)
+    found = stage(sized.groupBy(*names).cogroup(entering.groupBy(*names)).applyInPandas(read, out_schema))
+    found = found.select(symbol, "threshold", F.timestamp_micros("__time").alias(time), "close")
+    numbered = number_rows(found, [symbol, "threshold"], [time], "pivot_no")
+    return numbered.withColumn("pivot_no", F.col("pivot_no") - 1)
+
+
+def zigzag(df: DataFrame, symbol: str, time: str, threshold: float = REVERSAL, block_rows: int | None = None) -> DataFrame:
     """Pivots of the close: the first bar, each extreme later reversed by the threshold, and the end.
 
     One row per pivot with ``pivot_no`` from 0. The price has to turn by the
     threshold from the running extreme. The open extreme at the end and the last
     bar close the line.
     """
-    keys = [symbol] if threshold_col is None else [symbol, threshold_col]
-    rows = df.select(*keys, F.unix_micros(F.col(time).cast("timestamp")).alias("__time"), F.col("close").cast("double").alias("close"))
-    schema = T.StructType(
-        [T.StructField(f"__key{i}", rows.schema[k].dataType) for i, k in enumerate(keys)]
-        + [T.StructField("__time", T.LongType()), T.StructField("close", T.DoubleType())]
-    )
-    step = _zigzag_step(None if threshold_col is None else 1, threshold)
-    pivots = fold(rows, keys, ["__time"], step, schema)
-    pivots = stage(pivots).select(
-        *[F.col(f"__key{i}").alias(k) for i, k in enumerate(keys)], F.timestamp_micros("__time").alias(time), "close"
-    )
-    numbered = number_rows(pivots, keys, [time], "pivot_no")
-    return numbered.withColumn("pivot_no", F.col("pivot_no") - 1)
+    return _pivots(df, symbol, time, [threshold], block_rows).drop("threshold")
 
 
-def threshold_sweep(df: DataFrame, symbol: str, time: str, thresholds: Sequence[float]) -> DataFrame:
-    """Pivots for every threshold; symbols and thresholds run in parallel."""
-    wide = df.select(symbol, time, "close").withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
-    return zigzag(wide, symbol, time, threshold_col="threshold")
+def threshold_sweep(df: DataFrame, symbol: str, time: str, thresholds: Sequence[float], block_rows: int | None = None) -> DataFrame:
+    """Pivots for every threshold, from one reading of the bars."""
+    return _pivots(df, symbol, time, thresholds, block_rows)
 
 
 def zigzag_line(df: DataFrame, pivots: DataFrame, symbol: str, time: str) -> DataFrame:

@@ -112,3 +112,50 @@ def test_summaries_combine_in_any_grouping(spark):
         whole = ladder.Blocks(closes, closes, np.zeros(closes.shape, np.int64)).summary(trading.COEFFICIENTS)
         again = ladder.Blocks(*[np.array([top[0][c]]) for c in ladder.SUMMARY]).summary(trading.COEFFICIENTS)
         assert [x.tolist() for x in whole] == [x.tolist() for x in again]
+
+
+LIMITS = [0.0, 0.001, 0.004, 0.009, 0.02, 0.05, 0.3]
+
+
+def plain_pivots(closes, limit):
+    found, _ = series.pivot_scan(range(len(closes)), closes, True, limit)
+    return found
+
+
+def test_ripples_never_change_pivots():
+    for seed in range(300):
+        rng = np.random.default_rng(seed)
+        closes = np.round(100 * np.exp(np.cumsum(rng.normal(0, rng.choice([0.002, 0.01, 0.1]), 80))), int(rng.choice([0, 1, 4])))
+        at = series._turns(closes)
+        points = list(zip(at.tolist(), closes[at].tolist(), strict=True))
+        for limit in LIMITS:
+            points = series.without_ripples(points, limit)
+            times, prices = zip(*points, strict=True)
+            assert series.pivot_scan(times, prices, True, limit)[0] == plain_pivots(closes.tolist(), limit)
+
+
+def test_a_settled_block_forgets_what_came_before():
+    rng = np.random.default_rng(1)
+    for seed in range(400):
+        closes = np.round(100 * np.exp(np.cumsum(np.random.default_rng(seed).normal(0, 0.02, 40))), int(rng.choice([0, 1, 4]))).tolist()
+        limit = float(rng.choice(LIMITS))
+        points = list(enumerate(closes))
+        at = series._settled(points, limit)
+        if at is None:
+            continue
+        start = {"dir": -1, "hi": closes[at], "lo": closes[at], "hi_at": at, "lo_at": at, "out_at": None}
+        _, want = series.pivot_scan(range(at + 1, 40), closes[at + 1 :], False, limit, start)
+        for before in (rng.uniform(60, 160, 12).tolist() for _ in range(5)):
+            _, state = series.pivot_scan(range(-12, 0), before, False, limit)
+            _, got = series.pivot_scan(range(40), closes, False, limit, state)
+            part = ("hi", "hi_at") if want["dir"] == 1 else ("lo", "lo_at")
+            assert got["dir"] == want["dir"] and [got[c] for c in part] == [want[c] for c in part]
+
+
+@pytest.mark.parametrize("block_rows", [11, 64, 5000])
+def test_sweep_in_blocks_against_plain_scans(spark, block_rows):
+    symbols = {"hot": walk(400, 21, 0.01), "calm": [100 + i * 0.01 for i in range(90)], "steps": [100 + (i // 30) * 5 for i in range(100)], "one": [4.0], "two": [4.0, 4.0], "fall": [100 - i for i in range(50)]}
+    got = {}
+    for r in series.threshold_sweep(bars_of(spark, symbols | {"gone": [None]}), "symbol", "ts", LIMITS, block_rows).orderBy("symbol", "threshold", "pivot_no").collect():
+        got.setdefault((r.symbol, r.threshold), []).append((int((r.ts - T0).total_seconds() // 3600), r.close))
+    assert got == {(s, h): plain_pivots(closes, h) for s, closes in symbols.items() for h in LIMITS}
