@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import maths
 from millrace.operators.keyed import attach, join_on
 from millrace.operators.ordered import number_rows, running
+from millrace.session import stage
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
@@ -221,21 +224,74 @@ def fixed_stake_gain(df: DataFrame, keys: Sequence[str], ret: str, capital: floa
     return df.groupBy(*keys).agg(F.sum(F.lit(capital) * F.col(ret)).alias("gain"))
 
 
-def _resampled(df: DataFrame, value: str, order: Sequence[str], replicates: int, seed: int) -> DataFrame:
-    """Rows ``(rep, value)``: each replicate draws as many rows as there are, with replacement.
+# Rows of a block of the bootstrap, and replicates that one task draws.
+DRAW_BLOCK = 4096
+DRAW_REPLICATES = 1250
 
-    Draw positions are hashes of draw number and seed, so the result does not depend
-    on partitioning, and SQL elsewhere can repeat them.
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 32-bit numbers, held as 64-bit ones, that spreads every bit; SQL can repeat it."""
+    for _ in range(2):
+        x = ((x ^ (x >> 16)) * 0x45D9F3B) & 0xFFFFFFFF
+    return x ^ (x >> 16)
+
+
+def draws_of_block(block: int, n: int, replicates: int, seed: int, size: int = DRAW_BLOCK) -> np.ndarray:
+    """How many of its ``n`` draws each replicate makes in one block of ``size`` rows (the last may be shorter).
+
+    The draws of a run of blocks fall to its left half by a binomial number whose seed is the run, so
+    every block follows its own path down the halves and all blocks agree without seeing each other.
     """
-    rows = number_rows(df.filter(F.col(value).isNotNull()), [], list(order), "__rn")
-    n = rows.count()
+    first, count, rows = 0, -(-n // size), n
+    draws = np.full(replicates, n, dtype=np.int64)
+    while count > 1:
+        left = (count + 1) // 2
+        rng = np.random.Generator(np.random.Philox(np.random.SeedSequence([seed, first, count])))
+        to_left = rng.binomial(draws, left * size / rows)
+        if block < first + left:
+            draws, count, rows = to_left, left, left * size
+        else:
+            draws, first, count, rows = draws - to_left, first + left, count - left, rows - left * size
+    return draws
+
+
+def drawn_places(block: int, rep: int, draws: int, rows: int, seed: int) -> np.ndarray:
+    """Places, from 0, that one replicate draws in a block of ``rows`` rows."""
+    start = _mixed(_mixed(np.int64(seed * 1_000_003 + block & 0xFFFFFFFF)) ^ _mixed(np.int64(rep + 1)))
+    return (_mixed(start ^ _mixed(np.arange(draws, dtype=np.int64))) * rows) >> 32
+
+
+def _replicate_moments(df: DataFrame, value: str, order: Sequence[str], replicates: int, seed: int, size: int = DRAW_BLOCK) -> DataFrame:
+    """``rep``, ``mean``, ``std``: each replicate draws as many rows as there are, with replacement.
+
+    Rows are numbered by ``order`` and cut into blocks. A block works out how many draws of each replicate fall to
+    it and where, and hands on a count and two sums per replicate: the shuffle has replicates x
+    blocks rows, not replicates x rows. Results don't depend on partitioning.
+    """
+    wanted = df.filter(F.col(value).isNotNull()).select(*order, F.col(value).cast("double").alias("__v"))
+    rows = stage(number_rows(wanted, [], list(order), "__rn").select("__rn", "__v"))
+    n, centre = rows.agg(F.count("__v"), F.avg("__v")).first()
     if n == 0:
         raise ValueError("bootstrap needs at least one row")
-    draws = df.sparkSession.range(replicates * n).select(
-        F.floor(F.col("id") / F.lit(n)).alias("rep"),
-        (F.conv(F.substring(F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit(str(seed)))), 1, 12), 16, 10).cast("long") % F.lit(n) + 1).alias("__rn"),
-    )
-    return draws.join(rows.select("__rn", value), "__rn").select("rep", value)
+
+    def draw(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        block, part = map(int, key)
+        x = pdf.sort_values("__rn")["__v"].to_numpy() - centre
+        reps = np.arange(part * DRAW_REPLICATES, min(replicates, (part + 1) * DRAW_REPLICATES))
+        draws = draws_of_block(block, n, replicates, seed, size)[reps]
+        sums = np.empty((len(reps), 2))
+        for i, (rep, many) in enumerate(zip(reps.tolist(), draws.tolist(), strict=True)):
+            some = x[drawn_places(block, rep, many, len(x), seed)]
+            sums[i] = some.sum(), some @ some
+        return pd.DataFrame({"rep": reps, "s": sums[:, 0], "q": sums[:, 1]})
+
+    parts = F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // DRAW_REPLICATES))).alias("__part")
+    cut = rows.select(F.floor((F.col("__rn") - 1) / F.lit(size)).cast("int").alias("__block"), "__rn", "__v", parts)
+    sums = cut.groupBy("__block", "__part").applyInPandas(draw, "rep int, s double, q double")
+    total = sums.groupBy("rep").agg(F.sum("s").alias("s"), F.sum("q").alias("q"))
+    off = F.col("s") / F.lit(float(n))
+    spread = F.greatest(F.col("q") / F.lit(float(n)) - off * off, F.lit(0.0))
+    return total.select("rep", (F.lit(centre) + off).alias("mean"), F.sqrt(spread).alias("std"))
 
 
 def _interval(stat: str, level: float) -> list[Column]:
@@ -248,9 +304,7 @@ def bootstrap_interval(
     df: DataFrame, value: str, order: Sequence[str], replicates: int = 9999, level: float = 0.95, seed: int = 0
 ) -> DataFrame:
     """Percentile-method intervals of the mean and the population standard deviation."""
-    stats = _resampled(df, value, order, replicates, seed).groupBy("rep").agg(
-        F.avg(value).alias("mean"), F.stddev_pop(value).alias("std")
-    )
+    stats = _replicate_moments(df, value, order, replicates, seed)
     return stats.agg(*_interval("mean", level), *_interval("std", level))
 
 
@@ -258,8 +312,8 @@ def bootstrap_std_gap(
     df: DataFrame, a: str, b: str, order: Sequence[str], replicates: int = 9999, level: float = 0.95, seed: int = 0
 ) -> DataFrame:
     """Percentile interval of ``std(a) - std(b)``, both columns resampled on their own."""
-    one = _resampled(df, a, order, replicates, seed).groupBy("rep").agg(F.stddev_pop(a).alias("sa"))
-    two = _resampled(df, b, order, replicates, seed + 1).groupBy("rep").agg(F.stddev_pop(b).alias("sb"))
+    one = _replicate_moments(df, a, order, replicates, seed).select("rep", F.col("std").alias("sa"))
+    two = _replicate_moments(df, b, order, replicates, seed + 1).select("rep", F.col("std").alias("sb"))
     gap = one.join(two, "rep").select((F.col("sa") - F.col("sb")).alias("gap"))
     return gap.agg(*_interval("gap", level))
 

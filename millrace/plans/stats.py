@@ -248,10 +248,22 @@ def fixed_stake_gain(spark, sf):
     return out.withColumn("gain", F.round("gain", 4))
 
 
+def _mixed_sql(inner: str, columns: str, name: str) -> str:
+    """``inner`` with its column ``name`` mixed as the operator does."""
+    out = inner
+    for _ in range(2):
+        out = f"SELECT {columns}, (xor({name}, {name} >> 16) * {0x45D9F3B}) & {0xFFFFFFFF} AS {name} FROM ({out})"
+    return f"SELECT {columns}, xor({name}, {name} >> 16) AS {name} FROM ({out})"
+
+
 def _draws_sql(rows: str, draws: str, seed: int) -> str:
-    """Replicates ``draws`` (rep, v) of the numbered ``rows`` (rn, v), as the operator draws them."""
-    return f"""{draws} AS (SELECT floor(id / n) AS rep, v FROM (SELECT range AS id, n, CAST('0x' || substr(md5(range || '|{seed}'), 1, 12) AS BIGINT) % n + 1 AS rn
-      FROM (SELECT n, unnest(range(9999 * n)) AS range FROM (SELECT count(*) AS n FROM {rows}))) JOIN {rows} USING (rn))"""
+    """Replicates ``draws`` (rep, v) of the numbered ``rows`` (rn, v), as the operator draws them in a single block."""
+    start = _mixed_sql("SELECT range AS rep, range + 1 AS x FROM range(9999)", "rep", "x")
+    first = _mixed_sql(f"SELECT 0 AS o, CAST({seed * 1_000_003 & 0xFFFFFFFF} AS BIGINT) AS x", "o", "x")
+    start = _mixed_sql(f"SELECT rep, xor(s.x, f.x) AS x FROM ({start}) s, ({first}) f", "rep", "x")
+    places = _mixed_sql(f"SELECT n, unnest(range(n)) AS x FROM (SELECT count(*) AS n FROM {rows})", "n", "x")
+    both = _mixed_sql(f"SELECT rep, n, xor(s.x, p.x) AS x FROM ({start}) s, ({places}) p", "rep, n", "x")
+    return f"""{draws} AS (SELECT rep, v FROM (SELECT rep, ((x * n) >> 32) + 1 AS rn FROM ({both})) JOIN {rows} USING (rn))"""
 
 
 @query(

@@ -112,3 +112,29 @@ def test_previous_event_of_one_and_no_aircraft(spark):
     df = spark.createDataFrame(rows, "tail string, n int, origin string")
     got = {r.origin: r.prev for r in win.previous_event(df, "tail", ["n"], {"prev": "origin"}).collect()}
     assert got == {"A": None, "B": "A", "C": "B", "D": None, "E": None}
+
+
+def test_draws_split_over_blocks_without_seeing_each_other():
+    n, size, reps = 10_000, 1000, 400
+    counts = np.array([st.draws_of_block(b, n, reps, 5, size) for b in range(10)])
+    assert (counts.sum(axis=0) == n).all() and (counts >= 0).all()
+    # ten equal shares of n draws: mean n / 10, variance n * 0.1 * 0.9
+    assert abs(counts.mean() - 1000) < 1e-9 and 0.9 < counts.var() / 900 < 1.1
+    uneven = np.array([st.draws_of_block(b, 2300, 500, 1, 1000) for b in range(3)])
+    assert (uneven.sum(axis=0) == 2300).all() and abs(uneven[2].mean() - 300) < 5
+    places = np.concatenate([st.drawn_places(3, r, 1000, 50, 9) for r in range(40)])
+    assert places.min() == 0 and places.max() == 49 and np.bincount(places).std() < 60
+
+
+def test_bootstrap_in_blocks_against_plain_draws(spark, monkeypatch):
+    x = np.random.default_rng(2).normal(1e6, 1, 2500)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)] + [(9999, None)], "i int, r double").repartition(5)
+    got = {r["rep"]: (r["mean"], r["std"]) for r in st._replicate_moments(df, "r", ["i"], 60, 3, 1000).collect()}
+    assert len(got) == 60
+    for rep in (0, 7, 59):
+        drawn = []
+        for b in range(3):
+            here = x[1000 * b : 1000 * (b + 1)]
+            drawn.append(here[st.drawn_places(b, rep, int(st.draws_of_block(b, 2500, 60, 3, 1000)[rep]), len(here), 3)])
+        drawn = np.concatenate(drawn)
+        assert len(drawn) == 2500 and got[rep] == pytest.approx((drawn.mean(), drawn.std()), rel=1e-9)
