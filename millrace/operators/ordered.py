@@ -44,11 +44,11 @@ def _carried(keys: Sequence[str]) -> WindowSpec:
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence, name: str = "rn", limit: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence, name: str = "rn", limit: int | None = None, sizes: DataFrame | None = None
 ) -> DataFrame:
     """1-based row number per key."""
     limit = limit or max_group_rows(df.sparkSession)
-    if fits(df, keys, limit):
+    if fits(df if sizes is None else sizes, keys, limit):
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(w).cast("long"))
     pieces = _pieces(df, keys, order, limit)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import maths, times
 from millrace.operators.keyed import attach, join_on
-from millrace.operators.ordered import bounded, running
+from millrace.operators.ordered import bounded, number_rows, running
 
 _ROW_KINDS = {"sum": F.sum, "avg": F.avg, "count": F.count, "min": F.min, "max": F.max, "stddev": F.stddev}
 
@@ -81,6 +81,61 @@ def _row_frame(kind: str, col: str, dtype: T.DataType, lo: int, hi: int) -> Call
     return over
 
 
+LONG_SPAN = 32  # frames from here on are put together from two halves
+
+
+def _moments(col: str, w: WindowSpec) -> Column:
+    """Count, mean and sum of squared deviations over a window."""
+    n = F.count(col).over(w)
+    return F.struct(n.alias("n"), F.avg(col).over(w).alias("mean"), (F.var_pop(col).over(w) * n).alias("dev"))
+
+
+def _together(a: Column, b: Column) -> Column:
+    """Moments of two sets of rows; nothing is ever subtracted from a total."""
+    n = a["n"] + b["n"]
+    gap = b["mean"] - a["mean"]
+    both = F.struct(
+        n.alias("n"),
+        ((a["mean"] * a["n"] + b["mean"] * b["n"]) / n).alias("mean"),
+        (a["dev"] + b["dev"] + gap * gap * a["n"] * b["n"] / n).alias("dev"),
+    )
+    return F.when(b.isNull() | (b["n"] == 0), a).when(a["n"] == 0, b).otherwise(both)
+
+
+_OF_MOMENTS = {
+    "avg": lambda m: F.when(m["n"] > 0, m["mean"]),
+    "stddev": lambda m: F.when(m["n"] > 1, F.sqrt(m["dev"] / (m["n"] - 1))),
+}
+
+
+def _long_frames(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, tuple[str, Column]], span: int, sizes: DataFrame | None
+) -> DataFrame:
+    """Means and deviations of the last ``span`` rows and this one, at the cost of a short frame.
+
+    Rows of a key are cut into segments as long as the frame. A frame is the end of one segment
+    and the beginning of the next: growing moments from either side of a segment, each one pass, are put together.
+    """
+    width = span + 1
+    values = {str(c): c for _, c in columns.values()}
+    names = {text: f"__v{i}" for i, text in enumerate(values)}
+    wide = df.withColumns({names[text]: c.cast("double") for text, c in values.items()})
+    place = F.col("__nth") - 1
+    cut = number_rows(wide, keys, order, "__nth", sizes=sizes).withColumn("__seg", F.floor(place / F.lit(width)))
+    segment = Window.partitionBy(*keys, "__seg")
+    grow = (Window.unboundedPreceding, 0)
+    forth, back = segment.orderBy("__nth").rowsBetween(*grow), segment.orderBy(F.desc("__nth")).rowsBetween(*grow)
+    sides = cut.withColumns({f"__a{v}": _moments(v, forth) for v in names.values()})
+    sides = sides.withColumns({f"__b{v}": _moments(v, back) for v in names.values()})
+    rest = {f"__c{v}": (lambda w, v=v: F.lag(f"__b{v}", span).over(w)) for v in names.values()}
+    sides = bounded(sides, keys, ["__nth"], rest, span, sizes=sizes)
+    begun = place % F.lit(width) < span  # a frame that is a whole segment has no other half
+    full = {v: _together(F.col(f"__a{v}"), F.when(begun, F.col(f"__c{v}"))) for v in names.values()}
+    out = sides.withColumns({f"__m{v}": m for v, m in full.items()})
+    out = out.withColumns({n: _OF_MOMENTS[kind](F.col(f"__m{names[str(c)]}")) for n, (kind, c) in columns.items()})
+    return out.select(*df.columns, *columns)
+
+
 def trailing(
     df: DataFrame,
     keys: Sequence[str],
@@ -104,6 +159,15 @@ def trailing(
     if frame == "rows":
         cols = {f"__v_{n}": c for n, (_, c) in columns.items()}
         wide = df.withColumns(cols)
+        whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+        long = {
+            n: c for n, c in columns.items()
+            if span >= LONG_SPAN and include_current and (c[0] == "stddev" or (c[0] == "avg" and not isinstance(wide.schema[f"__v_{n}"].dataType, whole)))
+        }
+        if long:
+            out = _long_frames(df, keys, order, long, span, sizes)
+            rest = {n: c for n, c in columns.items() if n not in long}
+            return (trailing(out, keys, order, rest, span, sizes=sizes) if rest else out).select(*df.columns, *columns)
         over = {
             n: _row_frame(kind, f"__v_{n}", wide.schema[f"__v_{n}"].dataType, -span, end)
             for n, (kind, _) in columns.items()

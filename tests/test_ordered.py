@@ -1,5 +1,6 @@
 """Split and plain paths of the ordered operators give the same rows."""
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -155,3 +156,27 @@ def test_fold_puts_null_order_first_on_both_paths(spark):
 
     whole, split = (sorted((tuple(r) for r in fold(df, ["k"], ["t"], step, out, limit=n).collect()), key=lambda r: r[1]) for n in (10**6, 7))
     assert whole == split and whole[0] == (None, 0)
+
+
+def test_long_frames_against_plain_frames(spark):
+    """Means and deviations over long frames, with missing values, short keys and a large offset."""
+    rng = np.random.default_rng(6)
+    rows = [("a", i, None if rng.random() < 0.1 else 1e9 + float(rng.normal())) for i in range(500)]
+    rows += [("b", i, float(i % 7)) for i in range(45)] + [("c", 0, 5.0), ("d", 0, None), (None, 1, 2.0), (None, 2, 4.0)]
+    rows += [("e", i, None if i < 60 else float(i)) for i in range(120)]
+    df = spark.createDataFrame(rows, "k string, i int, x double").withColumn("whole", F.col("i") * 3)
+    for limit in (None, "40"):
+        if limit:
+            spark.conf.set("spark.millrace.maxGroupRows", limit)
+        for span in (40, 168):
+            got = windows.trailing(df, ["k"], ["i"], {"m": ("avg", F.col("x")), "s": ("stddev", F.col("x")), "w": ("stddev", F.col("whole")), "n": ("count", F.col("x"))}, span)
+            assert got.columns == [*df.columns, "m", "s", "w", "n"]
+            for key, part in pd.DataFrame([tuple(r) for r in got.collect()], columns=got.columns).fillna({"k": "-"}).groupby("k"):
+                part = part.sort_values("i")
+                at = part["x"].astype(float).rolling(span + 1, min_periods=1)
+                shifted = (part["x"].astype(float) - 1e9).rolling(span + 1, min_periods=1) if key == "a" else at
+                np.testing.assert_allclose(part["m"].astype(float), at.mean(), rtol=1e-12, equal_nan=True)
+                np.testing.assert_allclose(part["s"].astype(float), shifted.std(), rtol=1e-6, atol=1e-9, equal_nan=True)
+                np.testing.assert_allclose(part["w"].astype(float), part["whole"].rolling(span + 1, min_periods=1).std(), rtol=1e-9, equal_nan=True)
+                assert part["n"].tolist() == at.count().tolist()
+        spark.conf.unset("spark.millrace.maxGroupRows")
