@@ -34,10 +34,12 @@ BUCKETS = 4096  # of each length, for ranking
 def _encoders(vocabulary: str):
     """The vocabulary for two libraries that give the same ids.
 
-    The fast one takes text by ranks; a run of very much white space, at which its
+    Both take the vocabulary's special tokens for what they are wherever a text spells them out. The fast
+    one takes text by ranks; a run of very much white space, at which its
     pattern matching gives up, goes to the other.
     """
     import base64
+    import json
 
     import public_tokenizers
     import tiktoken
@@ -45,10 +47,12 @@ def _encoders(vocabulary: str):
 
     with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    fast = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with open(public_tokenizers.path(f"{vocabulary}.json")) as file:
+        special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+    ranks = {k: v for k, v in ranks.items() if v not in special.values()}
+    fast = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
     whole = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
-    whole.encode_special_tokens = True
-    return fast.encode_ordinary, lambda text: whole.encode(text, add_special_tokens=False).ids
+    return lambda text: fast.encode(text, allowed_special="all"), lambda text: whole.encode(text, add_special_tokens=False).ids
 
 
 _BLANKS = re.compile(r"\s{5000}")

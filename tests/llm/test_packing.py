@@ -14,7 +14,6 @@ from millrace.llm import packing
 
 def ids_of(texts):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return [[*e.ids, 2] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -48,6 +47,15 @@ def test_odd_rows_round_trip(spark, odd_docs):
             assert all(r["length"] == 1024 for r in own[1:]) and [r["piece"] for r in own] == list(range(len(own)))
 
 
+def test_special_tokens_in_texts():
+    rng = random.Random(8)
+    parts = ["<|endoftext|>", "<|endoftext", "|>", " ", "\n", "a b", "don't", "  ", "ünï", "<|", "字", "\t", "12345", "<|endoftext|", "🙂"]
+    texts = ["abc <|endoftext|> def", "<|endoftext|>", "<|endoftext|><|endoftext|>", "  <|endoftext|>  "]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(25))) for _ in range(5000)]
+    assert [[*packing.token_ids(t), 2] for t in texts] == ids_of(texts)
+    assert 50256 in packing.token_ids(texts[0])
+
+
 def test_whole_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     pairs = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
