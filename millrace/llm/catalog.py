@@ -60,7 +60,7 @@ def op8_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.drop_lines(table(spark, sf_dir, "documents"))
     digest = F.md5(F.coalesce("text", F.lit("")))
-    return found.select("doc_id", "source", "n_lines", "n_dropped", "mostly_repeated", F.length("text").cast("long").alias("n_chars_left"), digest.alias("text_md5"))
+    return found.select("doc_id", "source", "n_lines", "n_dropped", F.length("text").cast("long").alias("n_chars_left"), digest.alias("text_md5"))
 
 
 @query

@@ -43,24 +43,30 @@ FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
 OP10 = r"""
-WITH p AS (SELECT DISTINCT source, text FROM documents WHERE text IS NOT NULL),
-t AS (SELECT source, count(*) AS n FROM p GROUP BY source),
-pl AS (SELECT source, unnest(list_distinct(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')))) AS line FROM p),
-b AS (
-  SELECT pl.source, list(line) AS boiler
-  FROM (SELECT source, line, count(*) AS c FROM pl WHERE line <> '' GROUP BY source, line) pl
-  JOIN t ON pl.source IS NOT DISTINCT FROM t.source
-  WHERE c >= 3 AND n >= 20 AND c > 0.05 * n GROUP BY pl.source),
+WITH p AS MATERIALIZED (SELECT source, text, row_number() OVER () AS page FROM (SELECT DISTINCT source, text FROM documents WHERE text IS NOT NULL)),
+pl AS MATERIALIZED (
+  SELECT source, page, line, length(line) AS size
+  FROM (SELECT source, page, unnest(list_distinct(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')))) AS line FROM p) WHERE line <> ''),
+t0 AS (SELECT source, count(*) AS n FROM p GROUP BY source),
+b0 AS MATERIALIZED (
+  SELECT l.source, l.line FROM (SELECT source, line, count(*) AS c FROM pl GROUP BY source, line) l
+  JOIN t0 ON l.source IS NOT DISTINCT FROM t0.source WHERE c > greatest(0.05 * n, 1.5 * sqrt(n))),
+m AS MATERIALIZED (SELECT pl.*, b0.line IS NOT NULL AS hit FROM pl LEFT JOIN b0 ON b0.source IS NOT DISTINCT FROM pl.source AND b0.line = pl.line),
+g AS (
+  SELECT page, coalesce(sum(size) FILTER (hit), 0) > 0.5 * sum(size) AS together,
+    max(lpad(CAST(size AS VARCHAR), 12, '0') || substr(md5(line), 1, 16)) FILTER (hit) AS longest FROM m GROUP BY page),
+w AS MATERIALIZED (SELECT p.source, p.page, CASE WHEN g.together THEN 'g' || substr(g.longest, 13) ELSE 'p' || p.page END AS vote FROM p LEFT JOIN g USING (page)),
+t1 AS (SELECT source, count(DISTINCT vote) AS n FROM w GROUP BY source),
+b AS MATERIALIZED (
+  SELECT l.source, list(l.line) AS boiler
+  FROM (SELECT m.source, m.line, count(DISTINCT w.vote) AS c FROM m JOIN w USING (page) WHERE m.hit GROUP BY m.source, m.line) l
+  JOIN t1 ON l.source IS NOT DISTINCT FROM t1.source WHERE c > greatest(0.05 * n, 1.5 * sqrt(n)) GROUP BY l.source),
 d AS (
   SELECT doc_id, d.source, text, string_split(coalesce(text, ''), chr(10)) AS every, coalesce(b.boiler, []) AS boiler
   FROM documents d LEFT JOIN b ON d.source IS NOT DISTINCT FROM b.source),
 s AS (SELECT *, list_filter(every, lambda x: trim(x, ' ') = '' OR NOT list_contains(boiler, trim(x, ' '))) AS stays FROM d),
-z AS (
-  SELECT *, len(every) - len(stays) AS lost,
-    length(array_to_string(stays, '')) < 0.5 * length(array_to_string(every, '')) AS too_much FROM s),
-r AS (SELECT *, CASE WHEN text IS NULL OR too_much OR lost = 0 THEN text ELSE array_to_string(stays, chr(10)) END AS cut FROM z)
-SELECT doc_id, source, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(every) END AS BIGINT) AS n_lines,
-  CAST(CASE WHEN too_much THEN 0 ELSE lost END AS BIGINT) AS n_dropped, too_much AS mostly_repeated,
+r AS (SELECT *, len(every) - len(stays) AS lost, CASE WHEN text IS NULL OR len(every) = len(stays) THEN text ELSE array_to_string(stays, chr(10)) END AS cut FROM s)
+SELECT doc_id, source, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(every) END AS BIGINT) AS n_lines, CAST(lost AS BIGINT) AS n_dropped,
   CAST(length(cut) AS BIGINT) AS n_chars_left, md5(coalesce(cut, '')) AS text_md5
 FROM r
 """

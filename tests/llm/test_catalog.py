@@ -58,7 +58,7 @@ def test_pipeline_against_brute_force(spark, sf):
     from test_lines import brute as cut
     from test_minhash import brute as copies
 
-    from millrace.llm import lines, packing, toxicity
+    from millrace.llm import packing, toxicity
 
     assert inspect.isfunction(corpus_pipeline.run) and [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "packing"]
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
@@ -67,7 +67,7 @@ def test_pipeline_against_brute_force(spark, sf):
     texts = {r["doc_id"]: r["text"] for r in rows}
     # the brute-force cut loses ids, so it is done text by text with a mark
     tagged = {}
-    for h, t, *_ in cut([(r["source"], r["text"]) for r in rows], lines.RATIO, lines.LEAST_PAGES, lines.LEAST_HITS):
+    for h, t, *_ in cut([(r["source"], r["text"]) for r in rows]):
         tagged.setdefault(h, []).append(t)
     found = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_boilerplate(spark, docs.where(~docs.doc_id.isin(list(toxic))), sf).collect()}
     assert {h: sorted(v) for h, v in tagged.items()} == {h: sorted(found[r["doc_id"]] for r in rows if r["source"] == h) for h in tagged}
