@@ -10,7 +10,7 @@ from millrace.operators import graph, sampling, sets
 from millrace.plans.registry import query
 from millrace.plans.tables import LEGS, legs, table
 from millrace.session import stage, stage_dir
-from millrace.sources import readers, sinks
+from millrace.sources import archives, readers, sinks
 
 
 def _fresh(spark, name):
@@ -77,6 +77,28 @@ def period_files(spark, sf):
     return readers.read_table(spark, readers.period_paths(f"{path}/y={{year}}/m={{month}}", [1997, 1998], range(1, 7)))
 
 
+@query("listed_csv_files", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE year(o_orderdate) IN (1997, 1998) AND month(o_orderdate) <= 6")
+def listed_csv_files(spark, sf):
+    path = _fresh(spark, "listed")
+    df = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"))
+    df.repartition("y", "m").write.option("header", True).partitionBy("y", "m").csv(path)
+    found = readers.read_csv(spark, readers.period_paths(f"{path}/y={{year}}/m={{month}}", [1997, 1998], range(1, 7)), infer=True)
+    return found.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_totalprice", "o_orderstatus")
+
+
+@query(
+    "archived_csv",
+    """SELECT year(o_orderdate) || '.tar.gz' AS archive, o_orderstatus || '.csv' AS member, CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority
+    FROM orders WHERE o_orderstatus <> 'P'""",
+)
+def archived_csv(spark, sf):
+    path = _fresh(spark, "archives")
+    df = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year"), "o_orderstatus", "o_orderkey", "o_orderpriority")
+    archives.write_tar_csv(df, path, "year", "o_orderstatus").collect()  # one row for each archive
+    found = archives.read_tar_csv(spark, path, ["o_orderkey", "o_orderpriority"], members="[!P].csv")
+    return found.withColumn("archive", F.regexp_extract("archive", "[^/]+$", 0))
+
+
 @query("write_refused", "SELECT r_regionkey, r_name, true AS refused FROM region")
 def write_refused(spark, sf):
     path, df = _fresh(spark, "once"), table(spark, sf, "region").select("r_regionkey", "r_name")

@@ -1,12 +1,9 @@
-"""Readers for tables, text, archives, nested trees and overlapping batches."""
+"""Readers for tables, text, nested trees and overlapping batches."""
 
 from __future__ import annotations
 
-import io
-import tarfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,38 +50,6 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
-def read_tar_csv(
-    spark: SparkSession, path_glob: str, columns: Sequence[str], chunk_rows: int = 50_000
-) -> DataFrame:
-    """Rows of all CSV members of tar archives, all columns text, with archive and member names.
-
-    Archives are read in parallel wherever Spark can read them, one at a time in a task and
-    without a shuffle, and their members streamed in chunks. An archive is one value and so
-    has to be under 2 GB; split larger ones. Columns a member lacks are null.
-    """
-    schema = T.StructType(
-        [T.StructField(c, T.StringType()) for c in ("archive", "member", *columns)]
-    )
-    names = list(columns)
-
-    def untar(archive: tuple[str, bytes]) -> Iterator[tuple]:
-        path, content = archive
-        with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
-            for member in tar:
-                if not member.isfile() or not member.name.endswith(".csv"):
-                    continue
-                rows = pd.read_csv(
-                    tar.extractfile(member), dtype=str, chunksize=chunk_rows, keep_default_na=False, na_values=[""]
-                )
-                for chunk in rows:
-                    chunk = chunk.reindex(columns=names).astype(object)
-                    for values in chunk.where(chunk.notna(), None).itertuples(index=False, name=None):
-                        yield (path, member.name, *values)
-
-    # A DataFrame of file contents would hand many archives to a task at once.
-    return spark.createDataFrame(spark.sparkContext.binaryFiles(path_glob).flatMap(untar), schema)
-
-
 def flatten_tree(df: DataFrame, children: str = "c", depth: str = "d", max_depth: int = 3) -> DataFrame:
     """All nodes of nested ``children`` arrays as flat rows.
 

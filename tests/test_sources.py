@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from millrace.operators import sets, text
-from millrace.sources import dims, readers, sinks
+from millrace.sources import archives, dims, readers, sinks
 
 
 def test_tar_archives(spark, tmp_path):
@@ -21,11 +21,26 @@ def test_tar_archives(spark, tmp_path):
                 info.size = len(body)
                 tar.addfile(info, io.BytesIO(body))
             tar.addfile(tarfile.TarInfo("readme.txt"))
-    got = readers.read_tar_csv(spark, str(tmp_path / "*.tar.gz"), ["STATION", "TEMP", "WIND"], chunk_rows=1)
+    got = archives.read_tar_csv(spark, str(tmp_path / "*.tar.gz"), ["STATION", "TEMP", "WIND"], block_bytes=20)
     rows = sorted((r.member, r.STATION, r.TEMP or "", r.WIND) for r in got.collect())
     assert rows == sorted((f"{s}.csv", s, t, None) for s in "ab" for t in ("", "", "2019", "2020"))
 
 
+def test_archives_round_trip(spark, tmp_path):
+    rows = [(y, f"m{m}", k, f'text, "{k}"\nline' if k % 3 else None) for y in ("a", "b", "c") for m in range(3) for k in range(40)] + [(None, "m", 1, "x")]
+    df = spark.createDataFrame(rows, "year string, month string, k int, note string").repartition(4)
+    path = str(tmp_path / "packed")
+    written = {r.archive: r["rows"] for r in archives.write_tar_csv(df, path, "year", "month").collect()}
+    assert written == {"a": 120, "b": 120, "c": 120}
+    back = archives.read_tar_csv(spark, path, ["note", "k"], block_bytes=200)
+    assert back.rdd.getNumPartitions() == 3
+    got = sorted((r.archive.split("/")[-1][0], r.member[:-4], int(r.k), r.note) for r in back.collect())
+    assert got == sorted(((y, m, k, n) for y, m, k, n in rows if y), key=lambda r: (r[0], r[1], r[2]))
+    some = archives.read_tar_csv(spark, f"file://{path}/[ab]*.tar.gz", ["k"], members="m1*")
+    assert {(r.archive.split("/")[-1], r.member) for r in some.collect()} == {("a.tar.gz", "m1.csv"), ("b.tar.gz", "m1.csv")}
+    assert archives.read_tar_csv(spark, f"{path}/none*.tar", ["k"]).count() == 0
+
+
 def test_tree_stops_at_depth(spark, tmp_path):
     node = lambda i, d, c=None: {"i": i, "s": f"n{i}", "d": d, "c": c or []}
     tree = {"c": [node(1, 1, [node(2, 2, [node(3, 3, [node(4, 4)])])]), node(5, 1)]}
