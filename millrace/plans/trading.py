@@ -285,23 +285,65 @@ def mean_trade_return(spark, sf):
     return agg.mean_by(out, ["symbol"], "ret").withColumn("mean", F.round("mean", 4))
 
 
+def _side_sql(name: str, sign: int, turn: str, push: str, against: str) -> tuple[str, str]:
+    """A book's step from bar to bar: whether it opens or closes, then its state and action."""
+    gain = f"({sign} * (p - {name}_entry))"
+    due = f"""({against} <> 0 OR (us - {name}_at) // 86400000000 > {trading.TIME_STOP_DAYS}
+        OR {gain} <= -{_D(trading.STOP_LOSS)} * {name}_entry OR {gain} >= {_D(trading.STOP_PROFIT)} * {name}_entry)"""
+    marks = f"({name}_entry IS NULL AND {turn} = 1 AND {push} = 1) AS {name}_opens, ({name}_entry IS NOT NULL AND {due}) AS {name}_closes"
+    state = f"""CASE WHEN {name}_closes THEN {name}_book + {gain} * {name}_units ELSE {name}_book END,
+        CASE WHEN {name}_opens THEN p WHEN NOT {name}_closes THEN {name}_entry END, CASE WHEN {name}_opens THEN us WHEN NOT {name}_closes THEN {name}_at END,
+        CASE WHEN {name}_opens THEN {name}_book * {_D(trading.LEVERAGE)} / p WHEN {name}_closes THEN 0 ELSE {name}_units END,
+        CASE WHEN {name}_opens THEN {sign} WHEN {name}_closes THEN 0 END"""
+    return marks, state
+
+
+def _books_sql(capital: float = 10_000.0) -> str:
+    """Books ``bk`` of both sides, one row per bar, bar by bar."""
+    sides = [_side_sql("l", 1, "is_bottom", "bullish", "bearish"), _side_sql("s", -1, "is_top", "bearish", "bullish")]
+    empty = ", ".join(f"{_D(capital / 2)} AS {x}_book, NULL::DOUBLE AS {x}_entry, NULL::BIGINT AS {x}_at, 0::DOUBLE AS {x}_units, NULL::INTEGER AS {x}_action" for x in "ls")
+    return f"""{_DIV},
+    kb AS MATERIALIZED (SELECT p.symbol, p.ts, CAST(p.close AS DOUBLE) AS p, is_bottom, is_top, bullish, bearish, epoch_us(p.ts) AS us, row_number() OVER (PARTITION BY p.symbol ORDER BY p.ts) AS k
+      FROM p JOIN v ON p.symbol = v.symbol AND p.ts = v.ts),
+    bs AS (SELECT symbol, 0::BIGINT AS k, NULL::TIMESTAMP AS ts, NULL::DOUBLE AS p, {_D(capital)} AS equity_before, {empty} FROM (SELECT DISTINCT symbol FROM kb)
+      UNION ALL SELECT symbol, k, ts, p, before, {sides[0][1]}, {sides[1][1]}
+      FROM (SELECT *, {sides[0][0]}, {sides[1][0]} FROM (SELECT kb.symbol, kb.k, kb.ts, kb.p, kb.us, is_bottom, is_top, bullish, bearish, l_book + s_book AS before,
+        l_book, l_entry, l_at, l_units, s_book, s_entry, s_at, s_units FROM bs JOIN kb ON kb.symbol = bs.symbol AND kb.k = bs.k + 1))),
+    bk AS MATERIALIZED (SELECT symbol, ts, p AS close, l_action AS long_action, s_action AS short_action, equity_before, l_book + s_book AS equity FROM bs WHERE k > 0)"""
+
+
 def _books(spark, sf):
     return trading.divergence_trades(_flags(spark, sf), "symbol", "ts")
 
 
-@query("divergence_trades")
+@query(
+    "divergence_trades",
+    f"""WITH {_WEIGHTED}, {_books_sql()} SELECT {_ID}, round(close, 6) AS close, long_action, short_action,
+    round(equity_before, 6) AS equity_before, round(equity, 6) AS equity FROM bk""",
+)
 def divergence_trades(spark, sf):
-    return _books(spark, sf)
+    return _out(_books(spark, sf), "close", "long_action", "short_action", "equity_before", "equity")
 
 
-@query("position_log")
+@query(
+    "position_log",
+    f"""WITH {_WEIGHTED}, {_books_sql()}, a AS (SELECT *, 'long' AS book, long_action AS action FROM bk UNION ALL SELECT *, 'short', short_action FROM bk)
+    SELECT {_ID}, round(close, 6) AS price, book, action FROM a WHERE action IS NOT NULL""",
+)
 def position_log(spark, sf):
-    return trading.position_log(_books(spark, sf), "symbol", "ts")
+    return _out(trading.position_log(_books(spark, sf), "symbol", "ts"), "price", "book", "action")
 
 
-@query("trading_performance")
+@query(
+    "trading_performance",
+    f"""WITH {_WEIGHTED}, {_books_sql()}, pf AS (SELECT symbol, avg(equity / equity_before - 1) AS m, stddev_samp(equity / equity_before - 1) AS s,
+      greatest(max(equity), max(equity_before)) AS peak, arg_min(equity_before, ts) AS initial, arg_max(equity, ts) AS final FROM bk GROUP BY symbol)
+    SELECT symbol, round(coalesce(m / nullif(s, 0), 0), 6) AS sharpe, round(coalesce((peak - final) / nullif(peak, 0), 0), 6) AS drawdown,
+    round(initial, 6) AS initial, round(final, 6) AS final FROM pf""",
+)
 def trading_performance(spark, sf):
-    return trading.performance(_books(spark, sf), "symbol", "ts")
+    out = trading.performance(_books(spark, sf), "symbol", "ts")
+    return out.select("symbol", *[F.round(c, 6).alias(c) for c in ("sharpe", "drawdown", "initial", "final")])
 
 
 @query(

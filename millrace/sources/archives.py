@@ -58,7 +58,7 @@ class TarCsvReader(DataSourceReader):
         return [InputPartition(p) for p in archives(self.pattern)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        if partition.value is None:
+        if partition is None:  # no archive
             return
         fs, path = _open_fs(partition.value)
         with fs.open_input_stream(path, compression=None) as stream, tarfile.open(fileobj=stream, mode="r|*") as tar:
