@@ -49,16 +49,19 @@ def _requests(state: DataFrame, free: list[int], target: int) -> DataFrame:
     first = cells.groupBy("shard").agg(F.max(F.struct("n", "group"))["group"].alias("first"))
     cells = cells.join(first, "shard").withColumn("behind", F.col("group") != F.col("first"))
     order = F.struct((-F.col("n")).alias("less"), full, F.xxhash64("group", "shard").alias("tie"), "shard", "n", "behind")
-    groups = cells.groupBy("group").agg(F.sort_array(F.collect_list(order)).alias("cells"), F.sum("n").alias("size"))
-    groups = groups.where(F.size("cells") > 1).withColumn(
-        "chosen", F.least(F.greatest(F.ceil(F.col("size") / target), F.lit(1)), F.size("cells")).cast("int")
-    )
+    settled = F.when(F.col("n") >= target, F.col("n"))  # what fills a shard stays there
+    groups = cells.groupBy("group").agg(F.sort_array(F.collect_list(order)).alias("cells"), F.sum("n").alias("size"), F.count(settled).alias("kept"), F.coalesce(F.sum(settled), F.lit(0)).alias("there"))
+    more = F.when(F.col("kept") > 0, 0).otherwise(1)
+    wanted = F.col("kept") + F.greatest(F.ceil((F.col("size") - F.col("there")) / target), more)
+    groups = groups.where(F.size("cells") > 1).withColumn("chosen", F.least(wanted, F.size("cells")).cast("int")).withColumn("kept", F.col("kept").cast("int"))
+    groups = groups.where(F.col("chosen") > F.col("kept"))
     # two groups that need several shards don't both gather where both are large
     fields = ("behind", "less", "full", "tie", "shard", "n")
     cells = F.transform("cells", lambda c: F.struct(*[c[x].alias(x) for x in fields]))
     groups = groups.withColumn("cells", F.when(F.col("chosen") > 1, F.sort_array(cells)).otherwise(cells))
-    spread = groups.select("group", "cells", "chosen", F.posexplode("cells").alias("at", "cell")).where("at >= chosen")
-    to = F.element_at("cells", F.col("at") % F.col("chosen") + 1)
+    spread = groups.select("group", "cells", "chosen", "kept", F.posexplode("cells").alias("at", "cell")).where("at >= chosen")
+    room = F.col("chosen") - F.col("kept")
+    to = F.element_at("cells", F.col("chosen") - (F.col("at") - F.col("chosen")) % room)  # the emptier chosen ones first
     return spread.select("group", F.col("cell.shard").alias("shard"), to["shard"].alias("to"), F.col("cell.n").alias("n"), to["n"].alias("gain"))
 
 
