@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textscan
-from millrace.llm.markup import Block, blocks
+from millrace.llm.markup import Block, Path, blocks
 
 SAMPLE_ROWS = 300  # pages that the labeller is trained on, as drawn by hash
 SAMPLE_CHARS = 200_000  # longer pages are not trained on
@@ -43,17 +43,41 @@ ASIDE_TAGS = "nav header footer aside form menu dialog button select textarea la
 ARTICLE_MARKS = "article content entry main post story text".split()
 
 
-@lru_cache(maxsize=200_000)
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    out = np.zeros(PATH, dtype=np.float32)
-    own = [x for x in path if x not in ("html", "body")]
-    last = next((x for x in reversed(own) if x[0] != "."), "")
-    for token in [*set(own), f"last {last}"]:
-        h = zlib.crc32(token.encode())
-        out[h % PATH] += 1.0 if h >> 31 else -1.0
+@lru_cache(maxsize=20_000)
+def _place(word: str) -> tuple[int, float]:
+    h = zlib.crc32(word.encode())
+    return h % PATH, 1.0 if h >> 31 else -1.0
+
+
+def _with(vector: np.ndarray, words: list[str]) -> np.ndarray:
+    if words:
+        vector = vector.copy()
+        for at, sign in map(_place, words):
+            vector[at] += sign
+    return vector
+
+
+def _path_vectors(blocks: list[Block]) -> list[np.ndarray]:
+    """Hashed words of each block's path and its innermost tag; a node of a path is hashed once."""
+    outer: dict = {None: np.zeros(PATH, dtype=np.float32)}
+    whole: dict = {}
+    step = lambda vector, node: _with(vector, [x for x in node.fresh if x not in ("html", "body")])
+    out = []
+    for b in blocks:
+        node = b.path if isinstance(b.path, Path) else Path.of(b.path)
+        if node not in whole:
+            whole[node] = _with(node.derive(outer, step), [f"last {node.last}"])
+        out.append(whole[node])
     return out
 
 
+def _either(page: list[Block], words: set[str]) -> list[bool]:
+    """For each block, whether its path has one of the words."""
+    kept: dict = {None: False}
+    step = lambda found, node: found or not words.isdisjoint(node.fresh)
+    return [(b.path if isinstance(b.path, Path) else Path.of(b.path)).derive(kept, step) for b in page]
+
+
 def vectors(pages: list[list[Block]]) -> np.ndarray:
     """A row per block of all pages."""
     flat = [b for p in pages for b in p]
@@ -66,7 +90,7 @@ def vectors(pages: list[list[Block]]) -> np.ndarray:
     place = (words.hash >> np.uint64(40)).astype(np.int64) % WORD
     bags = np.bincount(owner * WORD + place, minlength=len(flat) * WORD).reshape(len(flat), WORD)
     out[:, PATH : PATH + WORD] = bags / np.sqrt(np.maximum(1, (bags**2).sum(axis=1, keepdims=True)))
-    out[:, :PATH] = [_path_vector(b.path) for b in flat]
+    out[:, :PATH] = _path_vectors(flat)
     size = np.array([len(b.text) for b in flat], dtype=np.float32)
     place_in = np.concatenate([np.arange(len(p)) / max(1, len(p) - 1) for p in pages])
     tail = out[:, PATH + WORD :]
@@ -221,18 +245,15 @@ def _padded(flat: np.ndarray, first: np.ndarray, group: list[int]) -> tuple[np.n
 
 def ancestry(page: list[Block]) -> np.ndarray:
     """Labels by ancestors: within an article (or what is named so), and in nothing beside it."""
-    out = np.zeros(len(page), dtype=np.float32)
-    aside = {*ASIDE_TAGS, *(f".{w}" for w in ASIDE_MARKS)}
-    inside = {"article", "main", *(f".{w}" for w in ARTICLE_MARKS)}
-    for k, b in enumerate(page):
-        out[k] = not aside.intersection(b.path) and bool(inside.intersection(b.path))
-    return out
+    aside = _either(page, {*ASIDE_TAGS, *(f".{w}" for w in ASIDE_MARKS)})
+    inside = _either(page, {"article", "main", *(f".{w}" for w in ARTICLE_MARKS)})
+    return np.array([i and not a for i, a in zip(inside, aside, strict=True)], dtype=np.float32)
 
 
 def density(page: list[Block]) -> np.ndarray:
     """Labels by length and links, for tables in which nothing is named."""
-    aside = {*ASIDE_TAGS, *(f".{w}" for w in ASIDE_MARKS)}
-    return np.array([not aside.intersection(b.path) and len(b.text) >= LEAST_CHARS and b.linked < 0.5 for b in page], dtype=np.float32)
+    aside = _either(page, {*ASIDE_TAGS, *(f".{w}" for w in ASIDE_MARKS)})
+    return np.array([not a and len(b.text) >= LEAST_CHARS and b.linked < 0.5 for a, b in zip(aside, page, strict=True)], dtype=np.float32)
 
 
 def compose(page: list[Block], labels: np.ndarray, others: list[str], rng: np.random.Generator) -> tuple[list[Block], np.ndarray]:

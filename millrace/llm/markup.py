@@ -1,33 +1,101 @@
-"""Leaf blocks of HTML pages: text, tag path and share of linked text."""
+"""Leaf blocks of HTML pages: text, tag path and share of linked text.
+
+Tags, attributes and comments end where the HTML standard ends them. Time and memory grow with
+the length of the page however deep or broken it is: no pattern looks at a character again and
+again, open elements are found by their names, and blocks share their paths.
+"""
 
 from __future__ import annotations
 
 import html
 import re
-from typing import NamedTuple
+from bisect import bisect_right
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from typing import Any, NamedTuple
+
+
+class Path:
+    """Open elements as a linked node: ``words`` are the tag and, with a dot, the words of class, id and role.
+
+    ``fresh``: those of the words that no outer element has. ``last``: the innermost tag but html and body.
+    """
+
+    __slots__ = ("parent", "words", "fresh", "last", "_inner")
+
+    def __init__(self, parent: Path | None = None, words: tuple[str, ...] = (), fresh: tuple[str, ...] = ()):
+        self.parent, self.words, self.fresh = parent, words, fresh
+        self.last = words[0] if words and words[0] not in ("html", "body") else parent.last if parent else ""
+        self._inner: dict[tuple[str, ...], Path] = {}
+
+    @classmethod
+    def of(cls, words: tuple[str, ...]) -> Path:
+        node, seen = cls(), Counter()
+        for k, word in enumerate(words):
+            if word[0] != ".":
+                end = next((j for j in range(k + 1, len(words)) if words[j][0] != "."), len(words))
+                node = node.inner(words[k:end], seen)
+                seen.update(words[k:end])
+        return node
+
+    def inner(self, words: tuple[str, ...], seen: Counter) -> Path:
+        """The node of an element in this one; equal ones share it. ``seen``: words of the open elements."""
+        if words not in self._inner:
+            self._inner[words] = Path(self, words, tuple(x for x in dict.fromkeys(words) if not seen[x]))
+        return self._inner[words]
+
+    def derive(self, kept: dict[Path | None, Any], step: Callable[[Any, Path], Any]) -> Any:
+        """A value that follows from the parent's, found once for each node; ``kept[None]`` is the outermost."""
+        todo, node = [], self
+        while node not in kept:
+            todo.append(node)
+            node = node.parent
+        value = kept[node]
+        for node in reversed(todo):
+            value = kept[node] = step(value, node)
+        return value
+
+    def __reversed__(self) -> Iterator[str]:
+        node = self
+        while node:
+            yield from reversed(node.words)
+            node = node.parent
+
+    def __iter__(self) -> Iterator[str]:
+        return iter([*reversed(self)][::-1])
+
+    def __getitem__(self, at):
+        return tuple(self)[at]
 
 
 class Block(NamedTuple):
-    """Text between two block boundaries. ``path``: tags, and class, id and role words with a dot."""
+    """Text between two block boundaries. ``path``: its words, a node or all of them in order."""
 
-    path: tuple[str, ...]
+    path: Path | tuple[str, ...]
     text: str
     linked: float
 
 
 # Elements by kind, as the HTML standard has them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head script style template noscript iframe svg math object canvas video audio".split())
+UNSEEN = frozenset("head script style template noscript noframes noembed iframe svg math object canvas video audio".split())
 IN_HEAD = frozenset("base basefont bgsound head html link meta noscript script style template title".split())  # all others close an open head
-RAW = frozenset("script style textarea title noscript iframe xmp".split())
+RAW = frozenset("script style textarea title noscript noframes noembed iframe xmp".split())
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol optgroup option p pre search section select summary table tbody td "
     "textarea tfoot th thead title tr ul".split()
 )
 ENDS_PARAGRAPH = BLOCKS - frozenset("button label option optgroup caption td th tr tbody thead tfoot".split())
+TABLE = frozenset("table caption thead tbody tfoot tr td th".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+FOREIGN = frozenset("svg math".split())
 # An element of the key closes open ones of its values, up to the nearest of the stops.
 CLOSES = {
+    "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
+    "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
+    "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "dt": ({"dt", "dd"}, {"dl"}),
     "dd": ({"dt", "dd"}, {"dl"}),
@@ -37,80 +105,144 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_SPACE = r"[ \t\n\f\r]"
+_ATTRIBUTE = (
+    r"[ \t\n\f\r/]*+([^ \t\n\f\r/>][^ \t\n\f\r/>=]*+)"  # a name, which may begin with =
+    rf"(?:{_SPACE}*+={_SPACE}*+(?:\"([^\"]*+)\"?+|'([^']*+)'?+|([^ \t\n\f\r>\"'][^ \t\n\f\r>]*+))?+)?+"
+)
+_TOKEN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    r"|<(?:[!?]|/[^a-zA-Z>])[^>]*+(?:>|\Z)|</>"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^ \t\n\f\r/>]*+)(?P<given>(?:" + re.sub(r"(?<!\\)\((?!\?)", "(?:", _ATTRIBUTE) + r")*+)(?P<rest>[ \t\n\f\r/]*+)(?P<close>>|\Z)",
+    re.S,
+)
+_GIVEN = re.compile(_ATTRIBUTE)
 _WORDS = re.compile(r"[a-z]+")
-_CUT_TAG = re.compile(r"</?[a-zA-Z][^>]*\Z")
+_ZEROS = re.compile(r"&#([xX]?)0++(?=[0-9a-fA-F])")
+_LARGE = re.compile(r"&#(?:[0-9]{8,}+|[xX][0-9a-fA-F]{8,}+);?")
+
 
+def _marks(given: str) -> tuple[str, ...]:
+    if "=" not in given:
+        return ()
+    found: dict[str, str] = {}
+    for name, *values in _GIVEN.findall(given):
+        found.setdefault(name.lower(), "".join(values))
+    return tuple(f".{w}" for k in ("class", "id", "role") if k in found for w in _WORDS.findall(found[k].lower()))
 
-def _marks(attributes: str) -> tuple[str, ...]:
-    found = " ".join("".join(m) for m in _NAMES.findall(attributes)) if "=" in attributes else ""
-    return tuple(f".{w}" for w in _WORDS.findall(found.lower()))
+
+@lru_cache(maxsize=None)
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?=[ \t\n\f\r/>])", re.I)
+
+
+def decode(text: str) -> str:
+    """``text`` with its character references read, numbers of any length among them."""
+    if "&#" in text:
+        text = _LARGE.sub("\ufffd", _ZEROS.sub(r"&#\1", text))
+    return html.unescape(text)
 
 
 def blocks(page: str) -> list[Block]:
-    """Blocks with text of a page in their order; unclosed and cut tags are coped with."""
+    """Blocks with text of a page in their order; unclosed, misnested and cut tags are coped with.
+
+    A tag that the page's end cuts is dropped, as is all that an open comment, quote or script holds.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    root = Path()
+    stack: list[Path] = []
+    places: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements of a tag
+    bounds: list[int] = []  # places of open block elements
+    hidden: list[int] = []  # places of open elements whose text isn't shown
+    seen: Counter = Counter()
     texts: list[str] = []
-    path: tuple[str, ...] = ()
+    path = root
     linked = total = 0
-    unseen = links = 0
 
     def flush() -> None:
         nonlocal texts, linked, total
         if texts:
-            joined = " ".join(html.unescape("".join(texts)).split())
+            joined = " ".join("".join(texts).split())
             if joined:
                 out.append(Block(path, joined, linked / max(1, total)))
             texts, linked, total = [], 0, 0
 
+    def push(tag: str, given: str) -> None:
+        words = (tag, *_marks(given))
+        stack.append((stack[-1] if stack else root).inner(words, seen))
+        seen.update(words)
+        place = len(stack) - 1
+        places[tag].append(place)
+        if tag in BLOCKS:
+            bounds.append(place)
+        if tag in UNSEEN:
+            hidden.append(place)
+
     def pop(to: int) -> None:
-        nonlocal unseen, links
         while len(stack) > to:
-            tag, _ = stack.pop()
-            if tag in BLOCKS:
+            words = stack.pop().words
+            seen.subtract(words)
+            place = len(stack)
+            for own in (places[words[0]], bounds, hidden):
+                if own and own[-1] == place:
+                    own.pop()
+            if words[0] in BLOCKS:
                 flush()
-            unseen -= tag in UNSEEN
-            links -= tag == "a"
 
-    def close(tags: set[str] | frozenset[str], stops: set[str] | frozenset[str]) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in tags:
-                pop(k)
-                return
-            if stack[k][0] in stops:
-                return
+    def nearest(tags: frozenset[str] | set[str]) -> int:
+        return max((places[t][-1] for t in tags if places[t]), default=-1)
+
+    def close(tags: frozenset[str] | set[str], stops: frozenset[str] | set[str]) -> None:
+        stop = nearest(stops)
+        found = [own[k] for t in tags if (k := bisect_right(own := places[t], stop)) < len(own)]
+        if found:
+            pop(min(found))
+
+    def end(tag: str) -> None:
+        own = places[tag]
+        if tag in HEADINGS:
+            own = places[max(HEADINGS, key=lambda t: places[t][-1] if places[t] else -1)]
+        if not own:
+            return
+        if tag not in BLOCKS and tag not in UNSEEN and bounds and bounds[-1] > own[-1]:
+            own.pop()  # it ends here, and the blocks that began in it go on
+        elif tag in TABLE or tag in UNSEEN or tag in ("html", "body") or nearest(TABLE) <= own[-1]:
+            pop(own[-1])
 
     def add(text: str) -> None:
         nonlocal path, linked, total
-        if unseen or not text:
+        if hidden or not text:
             return
         if not texts:
             if text.isspace():
                 return
-            path = tuple(x for tag, marks in stack for x in (tag, *marks))
+            path = stack[-1] if stack else root
+        text = decode(text)
         texts.append(text)
         size = len(text.strip())
         total += size
-        linked += size if links else 0
+        linked += size if places["a"] else 0
+
+    def in_head() -> bool:
+        return bool(places["head"]) and places["head"][-1] == len(stack) - 1
 
     at = 0
     while m := _TOKEN.search(page, at):
-        if stack and stack[-1][0] == "head" and page[at : m.start()].strip():
+        if in_head() and page[at : m.start()].strip():
             pop(len(stack) - 1)
         add(page[at : m.start()])
         at = m.end()
-        if m[2] is None:
+        if m["tag"] is None:
             continue
-        tag = m[2].lower()
-        if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    pop(k)
-                    break
+        if not m["close"]:
+            break
+        tag = m["tag"].lower()
+        if m["end"] and tag != "br":
+            if tag == "p":
+                flush()
+            end(tag)
             continue
-        if stack and stack[-1][0] == "head" and tag not in IN_HEAD:
+        if in_head() and tag not in IN_HEAD:
             pop(len(stack) - 1)
         if tag == "br":
             if texts:
@@ -119,27 +251,30 @@ def blocks(page: str) -> list[Block]:
         if tag in BLOCKS:
             flush()
             if tag in ENDS_PARAGRAPH:
-                close({"p"}, {"button", "td", "th", "table", "body"})
+                close({"p"}, {"button", "caption", "td", "th", "table", "body"})
+            if tag in HEADINGS and stack and stack[-1].words[0] in HEADINGS:
+                pop(len(stack) - 1)
             if tag in CLOSES:
                 close(*CLOSES[tag])
-        if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
+        if tag in VOID or m["rest"].endswith("/") and (tag in FOREIGN or nearest(FOREIGN) >= 0):
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            if tag == "textarea" and not unseen:
-                stack.append((tag, _marks(m[3])))
-                add(page[at : end.start() if end else len(page)])
+            closed = _raw_end(tag).search(page, at)
+            if tag == "textarea" and not hidden:
+                push(tag, m["given"])
+                add(page[at : closed.start() if closed else len(page)])
                 pop(len(stack) - 1)
-            at = end.end() if end else len(page)
+            elif tag == "xmp":
+                add(page[at : closed.start() if closed else len(page)].replace("&", "&amp;"))
+            at = _TOKEN.match(page, closed.start()).end() if closed else len(page)
             continue
-        if tag == "body":
-            pop(min((k for k, x in enumerate(stack) if x[0] == "head"), default=len(stack)))
-        stack.append((tag, _marks(m[3])))
-        unseen += tag in UNSEEN
-        links += tag == "a"
-    if stack and stack[-1][0] == "head":
+        if tag == "body" and places["head"]:
+            pop(places["head"][0])
+        push(tag, m["given"])
+    if in_head():
         pop(len(stack) - 1)
-    add(_CUT_TAG.sub("", page[at:]))
+    if not m:
+        add(page[at:])
     pop(0)
     flush()
     return out

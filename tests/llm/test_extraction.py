@@ -123,3 +123,69 @@ def test_pages_that_cannot_be_labelled_teach_nothing(spark, monkeypatch):
 )
 def test_open_head(page, texts):
     assert [b.text for b in blocks(page)] == texts
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ('<article><p title="5" tall">Hello world.</p><p>b</p></article>', ["Hello world.", "b"]),
+        ("<p title=don't>Lost text</p><p>can't see</p>", ["Lost text", "can't see"]),
+        ("<p>One</p><!--><p>Two</p><!--x--!><p>Three</p><!---><p>Four</p>", ["One", "Two", "Three", "Four"]),
+        ("<p>a<!-- > -- > -->b</p>", ["ab"]),
+        ("<p>One<script src=x />var</script><p>two", ["One", "two"]),
+        ("<script>a</scripty></script >b", ["b"]),
+        ("<svg><title/><path d='M'/></svg>after", ["after"]),
+        ("<p>a<span/>b</p>", ["ab"]),
+        ("<p =x>k<p a= >l", ["k", "l"]),
+        ("</3 x>y</>z", ["yz"]),
+        ("<p>&am<b>p;</b>", ["&amp;"]),
+        ("<p>x</", ["x</"]),
+        ('<p>x<a href="never closed>y</a>', ["x"]),
+        ("<b><p>x</b>y</p>z", ["xy", "z"]),
+        ("<div><table><tr><td>a</div>b</td></tr></table>c</div>", ["ab", "c"]),
+        ("<h1>t</h2>u", ["t", "u"]),
+        ("<xmp><b>&amp;</b></xmp>", ["<b>&amp;</b>"]),
+        ("&#" + "1" * 5000 + ";x&#" + "0" * 5000 + "65;", ["�xA"]),
+    ],
+)
+def test_as_the_standard_reads_it(page, texts):
+    assert [b.text for b in blocks(page)] == texts
+
+
+def test_paths():
+    page = "<div class = 'x y' class=z data-id=no ID=q><table><tr><td>a<tr><td><i>b</table><b>c</b></div>d"
+    assert [tuple(b.path) for b in blocks(page)] == [
+        ("div", ".x", ".y", ".q", "table", "tr", "td"),
+        ("div", ".x", ".y", ".q", "table", "tr", "td", "i"),
+        ("div", ".x", ".y", ".q", "b"),
+        (),
+    ]
+    words = ("html", "body", "div", ".x", "div", ".x", ".z", "p")
+    path = extraction.Path.of(words)
+    assert tuple(path) == words and path[-1] == "p" and list(reversed(path)) == list(words[::-1]) and path.last == "p"
+    assert path.fresh == ("p",) and path.parent.fresh == (".z",)
+    both = extraction.vectors([[Block(words, "x", 0.0), Block(path, "x", 0.0)]])
+    assert (both[0, : extraction.PATH] == both[1, : extraction.PATH]).all()
+
+
+def test_path_vectors_hash_every_word_once():
+    for b in [*blocks(PAGE), *blocks("<div class='a a b'><div class=a><b><div><b>x")]:
+        want = np.zeros(extraction.PATH)
+        for word in [*({*b.path} - {"html", "body"}), f"last {b.path.last}"]:
+            at, sign = extraction._place(word)
+            want[at] += sign
+        assert (extraction._path_vectors([b])[0] == want).all()
+
+
+@pytest.mark.parametrize(
+    "unit",
+    ["<font><p>x</p>", "<p><button><font><div>x", '<a "', '<a x="', "<!--", "<", "<script></scrip", "<table><tr><td>a", "<b><div>x</b>", "<ul><li>x", "&#1", "<a =", "</a>", "<textarea>"],
+)
+def test_long_broken_pages_take_linear_time(unit):
+    import time
+
+    page = unit * (1_000_000 // len(unit))
+    start = time.process_time()
+    found = blocks(page)
+    extraction._path_vectors(found)
+    assert time.process_time() - start < 5
