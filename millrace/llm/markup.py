@@ -10,7 +10,7 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_right
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import Any, NamedTuple
@@ -31,19 +31,21 @@ class Path:
 
     @classmethod
     def of(cls, words: tuple[str, ...]) -> Path:
-        node, seen = cls(), Counter()
+        node, seen = cls(), defaultdict(int)
         for k, word in enumerate(words):
             if word[0] != ".":
                 end = next((j for j in range(k + 1, len(words)) if words[j][0] != "."), len(words))
                 node = node.inner(words[k:end], seen)
-                seen.update(words[k:end])
+                for x in words[k:end]:
+                    seen[x] += 1
         return node
 
-    def inner(self, words: tuple[str, ...], seen: Counter) -> Path:
-        """The node of an element in this one; equal ones share it. ``seen``: words of the open elements."""
-        if words not in self._inner:
-            self._inner[words] = Path(self, words, tuple(x for x in dict.fromkeys(words) if not seen[x]))
-        return self._inner[words]
+    def inner(self, words: tuple[str, ...], seen: dict[str, int]) -> Path:
+        """The node of an element in this one; equal ones share it. ``seen``: counts of the open elements' words."""
+        node = self._inner.get(words)
+        if node is None:
+            node = self._inner[words] = Path(self, words, tuple(x for x in dict.fromkeys(words) if not seen.get(x)))
+        return node
 
     def derive(self, kept: dict[Path | None, Any], step: Callable[[Any, Path], Any]) -> Any:
         """A value that follows from the parent's, found once for each node; ``kept[None]`` is the outermost."""
@@ -113,7 +115,7 @@ _ATTRIBUTE = (
 _TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))"
     r"|<(?:[!?]|/[^a-zA-Z>])[^>]*+(?:>|\Z)|</>"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^ \t\n\f\r/>]*+)(?P<given>(?:" + re.sub(r"(?<!\\)\((?!\?)", "(?:", _ATTRIBUTE) + r")*+)(?P<rest>[ \t\n\f\r/]*+)(?P<close>>|\Z)",
+    r"|<(/?)([a-zA-Z][^ \t\n\f\r/>]*+)((?:" + re.sub(r"(?<!\\)\((?!\?)", "(?:", _ATTRIBUTE) + r")*+)([ \t\n\f\r/]*+)(>|\Z)",
     re.S,
 )
 _GIVEN = re.compile(_ATTRIBUTE)
@@ -154,7 +156,7 @@ def blocks(page: str) -> list[Block]:
     places: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements of a tag
     bounds: list[int] = []  # places of open block elements
     hidden: list[int] = []  # places of open elements whose text isn't shown
-    seen: Counter = Counter()
+    seen: defaultdict[str, int] = defaultdict(int)
     texts: list[str] = []
     path = root
     linked = total = 0
@@ -170,7 +172,8 @@ def blocks(page: str) -> list[Block]:
     def push(tag: str, given: str) -> None:
         words = (tag, *_marks(given))
         stack.append((stack[-1] if stack else root).inner(words, seen))
-        seen.update(words)
+        for x in words:
+            seen[x] += 1
         place = len(stack) - 1
         places[tag].append(place)
         if tag in BLOCKS:
@@ -181,18 +184,25 @@ def blocks(page: str) -> list[Block]:
     def pop(to: int) -> None:
         while len(stack) > to:
             words = stack.pop().words
-            seen.subtract(words)
+            for x in words:
+                seen[x] -= 1
             place = len(stack)
             for own in (places[words[0]], bounds, hidden):
                 if own and own[-1] == place:
                     own.pop()
-            if words[0] in BLOCKS:
+            if texts and words[0] in BLOCKS:
                 flush()
 
     def nearest(tags: frozenset[str] | set[str]) -> int:
-        return max((places[t][-1] for t in tags if places[t]), default=-1)
+        found = -1
+        for t in tags:
+            if (own := places.get(t)) and own[-1] > found:
+                found = own[-1]
+        return found
 
     def close(tags: frozenset[str] | set[str], stops: frozenset[str] | set[str]) -> None:
+        if nearest(tags) < 0:
+            return
         stop = nearest(stops)
         found = [own[k] for t in tags if (k := bisect_right(own := places[t], stop)) < len(own)]
         if found:
@@ -201,7 +211,8 @@ def blocks(page: str) -> list[Block]:
     def end(tag: str) -> None:
         own = places[tag]
         if tag in HEADINGS:
-            own = places[max(HEADINGS, key=lambda t: places[t][-1] if places[t] else -1)]
+            place = nearest(HEADINGS)
+            own = [place] if place >= 0 else []
         if not own:
             return
         if tag not in BLOCKS and tag not in UNSEEN and bounds and bounds[-1] > own[-1]:
@@ -211,7 +222,7 @@ def blocks(page: str) -> list[Block]:
 
     def add(text: str) -> None:
         nonlocal path, linked, total
-        if hidden or not text:
+        if hidden:
             return
         if not texts:
             if text.isspace():
@@ -228,16 +239,19 @@ def blocks(page: str) -> list[Block]:
 
     at = 0
     while m := _TOKEN.search(page, at):
-        if in_head() and page[at : m.start()].strip():
-            pop(len(stack) - 1)
-        add(page[at : m.start()])
+        text = page[at : m.start()]
         at = m.end()
-        if m["tag"] is None:
+        if text:
+            if in_head() and text.strip():
+                pop(len(stack) - 1)
+            add(text)
+        ending, tag, given, rest, closing = m.groups()
+        if tag is None:
             continue
-        if not m["close"]:
+        if not closing:
             break
-        tag = m["tag"].lower()
-        if m["end"] and tag != "br":
+        tag = tag.lower()
+        if ending and tag != "br":
             if tag == "p":
                 flush()
             end(tag)
@@ -249,19 +263,20 @@ def blocks(page: str) -> list[Block]:
                 texts.append(" ")
             continue
         if tag in BLOCKS:
-            flush()
+            if texts:
+                flush()
             if tag in ENDS_PARAGRAPH:
                 close({"p"}, {"button", "caption", "td", "th", "table", "body"})
             if tag in HEADINGS and stack and stack[-1].words[0] in HEADINGS:
                 pop(len(stack) - 1)
             if tag in CLOSES:
                 close(*CLOSES[tag])
-        if tag in VOID or m["rest"].endswith("/") and (tag in FOREIGN or nearest(FOREIGN) >= 0):
+        if tag in VOID or rest.endswith("/") and (tag in FOREIGN or nearest(FOREIGN) >= 0):
             continue
         if tag in RAW:
             closed = _raw_end(tag).search(page, at)
             if tag == "textarea" and not hidden:
-                push(tag, m["given"])
+                push(tag, given)
                 add(page[at : closed.start() if closed else len(page)])
                 pop(len(stack) - 1)
             elif tag == "xmp":
@@ -270,7 +285,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag == "body" and places["head"]:
             pop(places["head"][0])
-        push(tag, m["given"])
+        push(tag, given)
     if in_head():
         pop(len(stack) - 1)
     if not m:
