@@ -3,11 +3,16 @@
 Both sides keep, of every six consecutive 5-word hashes, the smallest (the
 rightmost among equals). Two texts that share ten consecutive words share a
 window of six such hashes and so a kept one, at the same place in the span.
-Fingerprints are joined on their hash; every pair of document and item that
-shares one at some alignment is then compared word by word along that
-alignment, and runs of at least ten equal words are hits. Items of fewer than
-ten words have no such window: all of their words form one fingerprint, and
-documents are searched for runs of exactly those lengths.
+Distinct fingerprints are joined on their hash, which gives the pairs of
+document and item that share one. Around each kept fingerprint of a document,
+the windows of ten words that contain it are looked up among the windows of its
+items and compared word by word; hits that follow one another extend a span.
+Items of fewer than ten words have no such window: all of their words form one
+fingerprint, and documents are searched for runs of exactly those lengths.
+
+A passage that repeats, within a text or over texts, costs its length and not the
+number of ways in which its repeats can be aligned: fingerprints are joined once per
+document and item, and windows are looked up, not paired.
 
 Documents keep a fingerprint only if a Bloom filter of the items' fingerprints
 (of a fixed size, whatever the input) admits it, so what is shuffled are the
@@ -20,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import textscan
@@ -28,6 +33,7 @@ from millrace.session import stage
 
 WINDOW = 10  # words that make a hit
 GRAM = 5  # words of a fingerprint
+PART_WORDS = 1_000_000  # of items that a document is compared with at once
 FILTER_BITS = 24  # the Bloom filter has 2 ** 24 bits, 2 MB
 
 
@@ -123,29 +129,54 @@ def _doc_prints(filled: np.ndarray, short: list[int]):
     return run
 
 
-def _runs(same: np.ndarray, least: int) -> list[tuple[int, int]]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], same.astype(np.int8), [0]])))
-    return [(s, e) for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True) if e - s >= least]
+def _hits(own: np.ndarray, places: np.ndarray, others: textscan.Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where windows of ``n`` words near ``places`` occur in the others that have them, and which these are."""
+    sizes = np.diff(others.first)
+    back = WINDOW - GRAM if n == WINDOW else 0
+    start = np.unique(places[:, None] - np.arange(back + 1))
+    start = start[(start >= 0) & (start <= len(own) - n)]
+    window = textscan.grams(textscan.Words(own, np.array([0, len(own)]), {}), n)[0][start]
+    value, whole = textscan.grams(others, n)
+    at = np.flatnonzero(whole & np.repeat(sizes >= n if n == WINDOW else sizes == n, sizes))
+    at = at[np.argsort(value[at], kind="stable")]
+    if not len(at) or not len(start):
+        return start[:0], at[:0]
+    near = np.minimum(np.searchsorted(value[at], window), len(at) - 1)
+    same = value[at][near] == window
+    start, window, there = start[same], window[same], at[near[same]]
+    equal = np.ones(len(start), dtype=bool)
+    for j in range(n):
+        equal &= own[start + j] == others.hash[there + j]
+    return start[equal], np.unique(others.owner()[at[np.isin(value[at], window[equal])]])
 
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare document and item words along each alignment that shares a fingerprint."""
+    """Spans of each document whose windows occur in items that share a fingerprint, and these items."""
     for batch in batches:
         rows, spans, items = [], [], []
         for i in range(batch.num_rows):
-            own = batch.column("words")[i].values.to_numpy(zero_copy_only=False)
-            found: dict[str | None, list[tuple[int, int]]] = {}
-            for match in batch.column("matches")[i].values.to_pylist():
-                other = np.asarray(match["item_words"], dtype=np.int64)
-                least = min(WINDOW, len(other))
-                for shift in match["shifts"]:
-                    low, high = max(0, shift), min(len(own), shift + len(other))
-                    for s, e in _runs(own[low:high] == other[low - shift : high - shift], least):
-                        found.setdefault(match["item_id"], []).append((low + s, low + e))
-            if found:
+            own = batch.column("words")[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
+            places = batch.column("places")[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
+            matches = batch.column("matches")[i].values
+            listed = matches.field("item_words")
+            sizes = listed.value_lengths().to_numpy(zero_copy_only=False)
+            others = textscan.Words(
+                listed.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), {}
+            )
+            ranges: set[tuple[int, int]] = set()
+            named: set[int] = set()
+            for n in np.unique(np.minimum(sizes, WINDOW)).tolist():
+                start, which = _hits(own, places, others, n)
+                if len(start):
+                    gap = np.flatnonzero(np.diff(start) > 1)
+                    first, last = start[np.concatenate([[0], gap + 1])], start[np.concatenate([gap, [len(start) - 1]])]
+                    ranges.update(zip(first.tolist(), (last + n).tolist(), strict=True))
+                    named.update(which.tolist())
+            if ranges:
                 rows.append(batch.column("row")[i].as_py())
-                spans.append([{"start": s, "stop": e} for s, e in sorted({x for v in found.values() for x in v})])
-                items.append(sorted(x for x in found if x is not None))
+                spans.append([{"start": s, "stop": e} for s, e in sorted(ranges)])
+                ids = matches.field("item_id").take(pa.array(sorted(named), pa.int64())).to_pylist()
+                items.append(sorted({x for x in ids if x is not None}))
         span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
             [pa.array(rows, pa.int64()), pa.array(spans, span), pa.array(items, pa.list_(pa.string()))],
@@ -193,27 +224,29 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
         )
     )
 
-    def flat(df: DataFrame, key: str, place: str) -> DataFrame:
-        pairs = df.where(F.size("hashes") > 0).select(key, F.explode(F.arrays_zip("hashes", "places")).alias("z"))
-        return pairs.select(key, F.col("z.hashes").alias("hash"), F.col("z.places").alias(place))
-
     shared = (
-        flat(found, "row", "dp")
-        .join(flat(prints, "item", "ip"), "hash")
+        found.select("row", F.explode(F.array_distinct("hashes")).alias("hash"))
+        .join(prints.select("item", "n", F.explode(F.array_distinct("hashes")).alias("hash")), "hash")
         .groupBy("row", "item")
-        .agg(F.collect_set(F.col("dp") - F.col("ip")).alias("shifts"))
+        .agg(F.first("n").alias("n"))
     )
+    # A document with very many items is compared with some of them at a time.
+    parts = F.ceil(F.sum("n").over(Window.partitionBy("row")) / PART_WORDS)
     matches = (
-        shared.join(prints.select("item", "item_id", "item_words"), "item")
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("item_id", "item_words", "shifts")).alias("matches"))
+        shared.select("row", "item", F.pmod(F.xxhash64("item"), parts).alias("part"))
+        .join(prints.select("item", "item_id", "item_words"), "item")
+        .groupBy("row", "part")
+        .agg(F.collect_list(F.struct("item_id", "item_words")).alias("matches"))
     )
-    hits = (
+    each = (
         found.where(F.size("hashes") > 0)
-        .select("row", "words")
+        .select("row", "words", "places")
         .join(matches, "row")
+        .select("row", "words", "places", "matches")
         .mapInArrow(_extend, "row long, spans array<struct<start:long,stop:long>>, items array<string>")
     )
+    whole = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    hits = each.groupBy("row").agg(whole("spans"), whole("items"))
     none = F.array().cast("array<string>")
     return (
         found.select("row", "doc_id", "n_words")

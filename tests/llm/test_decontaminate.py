@@ -92,3 +92,38 @@ def test_clean_drops_only_hit_documents(spark, odd_docs):
     kept = decontaminate.clean(odd_docs, spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string"))
     assert kept.columns == odd_docs.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted([1, 2, 3, 6, 7, 8, None, 9, 11, 12], key=repr)
+
+
+def test_repeated_words_and_items_in_parts(spark, monkeypatch):
+    """Runs of one word, alternating words, and a document that meets many items, some at a time."""
+    monkeypatch.setattr(decontaminate, "PART_WORDS", 40)
+    items = [(1, "a " * 30), (2, "a b " * 12), (3, "a " * 9 + "c"), (4, "a"), (5, "b a b")] + [(k, f"p{k} " + "x y z u v w r s t q " * 2) for k in range(10, 40)]
+    rows = [(1, "a " * 200), (2, "b a " * 50), (3, "c " + "a " * 11 + "c"), (4, "z " * 30), (5, "x y z u v w r s t q " * 7), (6, "a " * 5), (7, None)]
+    assert result(spark, rows, items) == brute(rows, items)
+
+
+@pytest.mark.parametrize("unit", [["a"], ["a", "b"], "a b c d e f g".split()])
+def test_repeats_take_linear_time(unit):
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+
+    from millrace.llm import textscan
+
+    text = lambda n: " ".join(unit * (n // len(unit)))
+    doc, item = (textscan.scan(pa.array([text(n)]), textscan.ALNUM) for n in (200_000, 10_000))
+    batch = pa.RecordBatch.from_pylist(
+        [{"row": 1, "words": doc.hash.view(np.int64).tolist(), "places": decontaminate.winnow(doc).tolist(), "matches": [{"item_id": "i", "item_words": item.hash.view(np.int64).tolist()}]}]
+    )
+    start = time.process_time()
+    (got,) = decontaminate._extend(iter([batch]))
+    assert time.process_time() - start < 2
+    assert got.to_pylist() == [{"row": 1, "spans": [{"start": 0, "stop": len(doc.hash)}], "items": ["i"]}]
+
+
+def test_spans(spark):
+    docs = spark.createDataFrame([(1, "s t one two three four five six seven eight nine ten u v w one two three four five six seven eight nine ten")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten"), (2, "u v"), (3, "six seven eight nine ten u v w x")], "item_id long, text string")
+    (got,) = decontaminate.decontaminate(docs, items).collect()
+    assert [tuple(x) for x in got["spans"]] == [(2, 12), (12, 14), (15, 25)] and got["items"] == ["1", "2"]
