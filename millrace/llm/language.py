@@ -2,7 +2,8 @@
 
 A word's score under a language is the sum of the log probabilities of its byte
 trigrams (with the word's ends), hashed into ``2 ** BITS`` buckets. The script of a word, by
-the ranges of its characters, leaves only languages that were seen in that script. A Viterbi
+the ranges of its characters, leaves only languages that were seen in that script; the word is
+scored under these alone, and not at all where there is one. A Viterbi
 pass over the words of a document, with a penalty for each change of language, labels
 spans. The document's language is that of most of its word bytes.
 """
@@ -22,7 +23,6 @@ from millrace.llm import textscan
 BITS = 16
 SWITCH = 10.0  # nats a change of language costs
 RARE = 0.001  # a language uses a script if that share of its words does
-ABSENT = -40.0  # of a word in a script that the language doesn't use
 SMOOTHING = 0.1
 
 # Letters: ASCII letters and everything beyond ASCII.
@@ -118,7 +118,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    """Log probabilities by bucket and language, and penalties by script and language."""
+    """Log probabilities by bucket and language; by script and language 0, or minus infinity if it is not used."""
 
     langs: list[str]
     score: np.ndarray
@@ -143,7 +143,7 @@ def learn(docs: DataFrame) -> Model:
     score = np.log((grams + SMOOTHING) / (grams.sum(axis=0) + SMOOTHING * (1 << BITS)))
     used = words >= RARE * words.sum(axis=0)
     used[~used.any(axis=1)] = True  # a script that no language uses leaves them all
-    return Model(langs, score.astype(np.float32), np.where(used, 0.0, ABSENT))
+    return Model(langs, score.astype(np.float32), np.where(used, 0.0, -np.inf))
 
 
 def _viterbi(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
@@ -184,15 +184,22 @@ def _viterbi(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray
 
 
 def word_scores(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Scores of every word under every language, words' bytes, and the first word of each row."""
+    """Scores of every word under its candidates (minus infinity elsewhere), words' bytes, and the first word of each row."""
     values, sizes, begins = [], [], []
     for at, piece, places in _walk(column):
         code, inside, starts, ends = _trigrams(piece, places)
         if len(starts):
-            each = model.score[code]
-            each[~inside] = 0
-            values.append(np.add.reduceat(each, starts, axis=0).astype(np.float64) + model.script[_scripts(piece, starts)])
-            sizes.append(ends - starts)
+            size = ends - starts
+            script, code = _scripts(piece, starts), code[inside]
+            value = model.script[script]
+            for one in np.unique(script):
+                langs, own = np.flatnonzero(np.isfinite(model.script[one])), script == one
+                if len(langs) > 1:
+                    each = model.score[code[np.repeat(own, size)]]
+                    each = each if len(langs) == each.shape[1] else each[:, langs]
+                    value[np.ix_(own, langs)] = np.add.reduceat(each, np.cumsum(size[own]) - size[own], axis=0)
+            values.append(value)
+            sizes.append(size)
             begins.append(starts + at)
     _, rows = textscan.utf8(column)
     if not values:
