@@ -30,7 +30,6 @@ from millrace.session import stage
 
 PREFIXES = (4, 5, 6, 7)
 SAMPLE_ROWS = 20_000  # labelled documents that the score is learned from, at most
-CANDIDATES = 20_000  # features considered, at most
 LEAST_DOCS = 3  # toxic documents that a feature has to explain, at least
 COMMON = 0.05  # a feature of that share of the toxic documents and of no other is taken in any case
 FALSE_COST = 3.0  # explained documents that a clean one with the feature outweighs
@@ -297,6 +296,11 @@ def _least_support(good: np.ndarray, rate: float, features: int) -> np.ndarray:
         least[short] += 1
 
 
+def _common(toxic: int) -> int:
+    """Toxic documents that make a feature of no other document a common one."""
+    return max(10, math.ceil(COMMON * toxic))
+
+
 def _choose(documents: list[list[int]], bad: np.ndarray, good: np.ndarray, least: np.ndarray) -> tuple[list[int], int]:
     """Features that explain the toxic documents, greedily, and how many stay unexplained."""
     holders: list[list[int]] = [[] for _ in range(len(bad))]
@@ -329,15 +333,21 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     toxic, every = known.agg(F.coalesce(F.sum(F.col("toxic").cast("int")), F.lit(0)), F.count("*")).first()
     counted = known.mapInArrow(_feature_counts(characters), "feature long, bad long, good long").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     counted = stage(counted.where(F.col("bad") + F.col("good") >= LEAST_DOCS))
+    rate, features = min(0.5, max(toxic, 1) / max(every, 2)), counted.count()
     precise = counted.where((F.col("bad") >= LEAST_DOCS) & (F.col("bad") >= LEAST_PRECISION * (F.col("bad") + F.col("good"))))
-    found = precise.orderBy(F.desc("bad"), "feature").limit(CANDIDATES).toPandas()
+    # Features in too few toxic documents to be chosen stay behind; how many are enough follows from the clean ones.
+    clean = np.array(sorted(r[0] for r in precise.select("good").distinct().collect()), dtype=np.int64)
+    enough = _least_support(clean, rate, features)
+    enough[clean == 0] = np.minimum(enough[clean == 0], _common(toxic))
+    table = known.sparkSession.createDataFrame(list(zip(clean.tolist(), enough.tolist(), strict=True)), "good long, enough long")
+    found = precise.join(table, "good").where("bad >= enough").select("feature", "bad", "good").toPandas()
     order = np.argsort(found["feature"].to_numpy(np.int64).view(np.uint64), kind="stable")
     wanted = found["feature"].to_numpy(np.int64).view(np.uint64)[order]
     bad, good = found["bad"].to_numpy(float)[order], found["good"].to_numpy(float)[order]
     held = known.where("toxic").select("doc_id", "text").mapInArrow(_has(characters, wanted, ["doc_id"]), "doc_id long, __places array<int>, __restored string")
-    least = _least_support(good, min(0.5, max(toxic, 1) / max(every, 2)), counted.count())
+    least = _least_support(good, rate, features)
     chosen, left = _choose([r[0] for r in held.select("__places").collect()], bad, good, least)
-    common = np.flatnonzero((good == 0) & (bad >= max(10, COMMON * toxic)))
+    common = np.flatnonzero((good == 0) & (bad >= _common(toxic)))
     chosen = sorted({*chosen, *common.tolist()})
     base = min(0.45, (left + 0.5) / (every - toxic + left + 1.0))
     return Model(characters, wanted[chosen], (bad[chosen] + 0.5) / (bad[chosen] + good[chosen] + 1.0), base)

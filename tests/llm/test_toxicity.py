@@ -77,3 +77,31 @@ def test_rare_words_of_toxic_copies_are_not_chosen():
     bad = np.array([100.0] + [40.0] * 9)
     chosen, left = toxicity._choose(documents, bad, np.zeros(10), np.full(10, 3))
     assert chosen == [0] and left == 0
+
+
+def test_no_feature_is_cut(spark):
+    """The chosen features are those that plain counts over all features of the labelled texts give."""
+    from collections import defaultdict
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = toxicity.learn(docs, labels)
+    sample = {r["doc_id"]: r["toxic"] for r in toxicity.labelled_sample(labels).collect()}
+    toxic_of = defaultdict(bool)
+    for r in docs.where("text is not null").collect():
+        if r["doc_id"] in sample:
+            toxic_of[r["text"]] |= sample[r["doc_id"]]
+    texts = pa.array(toxic_of)
+    value, owner = toxicity._distinct(texts, toxicity._restore(texts, toxicity._reader(model.characters)), len(texts))
+    has = defaultdict(set)
+    for v, d in zip(value.tolist(), owner.tolist(), strict=True):
+        has[v].add(d)
+    is_toxic = list(toxic_of.values())
+    every = {v: (sum(is_toxic[d] for d in own), len(own)) for v, own in has.items() if len(own) >= toxicity.LEAST_DOCS}
+    names = sorted(v for v, (bad, n) in every.items() if bad >= toxicity.LEAST_DOCS and bad >= toxicity.LEAST_PRECISION * n)
+    bad, good = (np.array([f(*every[v]) for v in names], dtype=float) for f in (lambda b, n: b, lambda b, n: n - b))
+    least = toxicity._least_support(good, min(0.5, max(sum(is_toxic), 1) / max(len(is_toxic), 2)), len(every))
+    own = [[k for k, v in enumerate(names) if d in has[v]] for d in range(len(is_toxic)) if is_toxic[d]]
+    chosen, _ = toxicity._choose(own, bad, good, least)
+    chosen = {*chosen, *np.flatnonzero((good == 0) & (bad >= max(10, toxicity.COMMON * sum(is_toxic)))).tolist()}
+    assert chosen and model.features.tolist() == [names[k] for k in sorted(chosen)]
