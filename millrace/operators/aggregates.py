@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import maths, strings
 from millrace.operators.keyed import attach, top_per_group
+from millrace.operators.quantiles import discrete_quantiles
 
 
 def rate_by(df: DataFrame, keys: Sequence[str], flag: str, digits: int = 2) -> DataFrame:
@@ -110,11 +111,9 @@ def conditional_stats(df: DataFrame, keys: Sequence[str], cond: Column, value: s
     )
 
 
-def medians(df: DataFrame, keys: Sequence[str], cols: Sequence[str], accuracy: int = 10000) -> DataFrame:
-    """Approximate medians of many columns in one job; mergeable sketches of fixed size."""
-    return df.groupBy(*keys).agg(
-        *[F.percentile_approx(c, 0.5, accuracy).alias(f"{c}_median") for c in cols]
-    )
+def medians(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Medians of many columns, the lower one of an even number; exact for groups of any size."""
+    return discrete_quantiles(df, {f"{c}_median": (c, 0.5) for c in cols}, keys)
 
 
 def modes(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:

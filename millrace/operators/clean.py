@@ -13,6 +13,7 @@ from millrace.functions import conditions, maths, times
 from millrace.operators.aggregates import modes
 from millrace.operators.keyed import attach, join_on
 from millrace.operators.ordered import bounded
+from millrace.operators.quantiles import attach_quantiles, discrete_quantiles
 from millrace.operators.roles import Roles
 from millrace.session import stage
 
@@ -130,7 +131,7 @@ def reading_default(col: str) -> float:
 
 
 def impute_readings(
-    df: DataFrame, cols: Sequence[str], roles: Roles, order: Sequence[str], accuracy: int = 10000
+    df: DataFrame, cols: Sequence[str], roles: Roles, order: Sequence[str]
 ) -> DataFrame:
     """Fill numeric readings from the past outwards.
 
@@ -145,16 +146,14 @@ def impute_readings(
     out = bounded(df, [place, day], order, {f"__d_{c}": mean(c, 10) for c in cols}, 10, sizes=sizes)
     out = bounded(out, [place], order, {f"__p_{c}": mean(c, 20) for c in cols}, 20, sizes=sizes)
     out = out.withColumn("__month", F.month(day))
-    median = lambda c: F.percentile_approx(c, 0.5, accuracy)
-    by_month = (
-        df.groupBy(place, F.month(day).alias("__month")).agg(*[median(c).alias(f"__m_{c}") for c in cols])
-    )
+    months = df.select(place, F.month(day).alias("__month"), *cols)
+    by_month = discrete_quantiles(months, {f"__m_{c}": (c, 0.5) for c in cols}, [place, "__month"])
     out = join_on(out, by_month, [place, "__month"], "left")
     out = out.withColumns(
         {c: F.coalesce(c, f"__d_{c}", f"__p_{c}", f"__m_{c}") for c in cols}
     ).select(*df.columns)
     out = stage(out)  # the median below reads every filled row; do not run the windows twice
-    out = attach(out, [], {f"__g_{c}": median(c) for c in cols})
+    out = attach_quantiles(out, [], {f"__g_{c}": (c, 0.5) for c in cols})
     return out.withColumns(
         {c: F.coalesce(c, f"__g_{c}", F.lit(reading_default(c)).cast(df.schema[c].dataType)) for c in cols}
     ).select(*df.columns)
@@ -187,6 +186,12 @@ def fill_from_group(df: DataFrame, keys: Sequence[str], values: dict[str, Column
     return out.withColumns({c: F.coalesce(c, f"__g_{c}") for c in values}).select(*df.columns)
 
 
+def fill_from_group_median(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Fill nulls from the exact median of the group."""
+    out = attach_quantiles(df, keys, {f"__g_{c}": (c, 0.5) for c in cols})
+    return out.withColumns({c: F.coalesce(c, f"__g_{c}") for c in cols}).select(*df.columns)
+
+
 def clean_pass(
     df: DataFrame,
     roles: Roles,
@@ -229,22 +234,20 @@ def simple_clean_pass(
     sky: str,
     distance: str,
     places: Sequence[str] = (),
-    accuracy: int = 10000,
 ) -> DataFrame:
     """Earlier cleaning: critical columns unless cancelled, centred means, medians, modes, outliers."""
     out = recode_outcome(df, roles.outcome, roles.cancelled)
     out = require(out, critical, unless=F.col(roles.cancelled) == 1)
     out = impute_centred(out, rolling, [roles.origin], order)
-    median = lambda c: F.percentile_approx(c, 0.5, accuracy)
     out = out.withColumn("__month", F.month(roles.day))
     keys = [roles.origin, "__month"]
-    out = fill_from_group(out, keys, {c: median(c) for c in by_month})
+    out = fill_from_group_median(out, keys, by_month)
     sky_modes = modes(out, keys, sky)
     out = join_on(out, sky_modes, keys, "left").withColumn(sky, F.coalesce(sky, f"{sky}_mode"))
     out = out.drop(f"{sky}_mode", "__month")
     out = stage(out.withColumn(distance, conditions.negative_to_null(F.col(distance))))
     numeric = [distance, *rolling, *by_month]
-    out = attach(out, [], {f"__g_{c}": median(c) for c in numeric})
+    out = attach_quantiles(out, [], {f"__g_{c}": (c, 0.5) for c in numeric})
     out = out.withColumns({c: F.coalesce(c, f"__g_{c}") for c in numeric}).drop(*[f"__g_{c}" for c in numeric])
     overall = modes(out, [], sky).select(f"{sky}_mode").scalar()
     out = out.withColumn(sky, F.coalesce(F.col(sky), overall))

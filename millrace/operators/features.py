@@ -16,6 +16,7 @@ from millrace.functions import conditions, maths, times
 from millrace.operators.aggregates import flag_weights
 from millrace.operators.joins import flag_members
 from millrace.operators.keyed import attach
+from millrace.operators.quantiles import discrete_quantiles
 from millrace.operators.roles import Roles
 from millrace.operators.windows import (
     expanding,
@@ -112,13 +113,12 @@ def time_profile(df: DataFrame, roles: Roles, order: Sequence[str], mode: str =
 
 
 def extreme_flags(
-    df: DataFrame, high: Sequence[str], low: Sequence[str] = (), both: Sequence[str] = (), accuracy: int = 20
+    df: DataFrame, high: Sequence[str], low: Sequence[str] = (), both: Sequence[str] = ()
 ) -> DataFrame:
-    """Flags of readings beyond the outer quantiles, thresholds from one job."""
-    cols = [*high, *low, *both]
-    limits = df.agg(
-        F.struct(*[F.percentile_approx(c, list(EXTREME_QUANTILES), accuracy).alias(c) for c in cols]).alias("q")
-    ).scalar()
+    """Flags of readings beyond the outer quantiles."""
+    wanted = {f"{c}_{k}": (c, p) for c in [*high, *low, *both] for k, p in enumerate(EXTREME_QUANTILES)}
+    found = stage(discrete_quantiles(df, wanted)).select(F.struct(*wanted).alias("q")).scalar()
+    limits = {c: [found[f"{c}_0"], found[f"{c}_1"]] for c in [*high, *low, *both]}
     flags = {f"extreme_{c}": F.col(c) >= limits[c][1] for c in high}
     flags |= {f"low_{c}": F.col(c) <= limits[c][0] for c in low}
     flags |= {f"extreme_{c}": (F.col(c) <= limits[c][0]) | (F.col(c) >= limits[c][1]) for c in both}
@@ -143,10 +143,9 @@ def reading_profile(
     wind: str,
     precipitation: str,
     visibility: str,
-    accuracy: int = 20,
 ) -> DataFrame:
     """Extreme flags and score, heat index, rolling z-scores, rapid change and seasonal anomaly."""
-    base = extreme_flags(df, high=[precipitation, wind], low=[visibility], both=[temperature], accuracy=accuracy)
+    base = extreme_flags(df, high=[precipitation, wind], low=[visibility], both=[temperature])
     flags = [f"extreme_{precipitation}", f"extreme_{wind}", f"extreme_{temperature}", f"low_{visibility}"]
     out = combined_score(base, flags, roles.outcome, "extreme_score")
     out = out.withColumn("heat_index", maths.heat_index(F.col(temperature), F.col(humidity)))
@@ -158,7 +157,7 @@ def reading_profile(
     return out.drop("__month")
 
 
-def carrier_profile(df: DataFrame, roles: Roles, order: Sequence[str], carrier: str, accuracy: int = 20) -> DataFrame:
+def carrier_profile(df: DataFrame, roles: Roles, order: Sequence[str], carrier: str) -> DataFrame:
     """Time-of-day, weekday, aircraft, hub, schedule, bucket and importance features.
 
     Needs the columns of ``clock_columns``.
@@ -167,12 +166,13 @@ def carrier_profile(df: DataFrame, roles: Roles, order: Sequence[str], carrier:
     late, mine = F.col(r.outcome), F.col(r.carrier) == carrier
     overall = base.agg(
         F.struct(
-            F.percentile_approx(late, [0.5, 0.3], accuracy).alias("q"),
             F.count(F.lit(1)).alias("n"),
             F.avg(r.distance).alias("d"),
         ).alias("o")
     ).scalar()
-    median, p30 = overall["q"][0], overall["q"][1]
+    rates = discrete_quantiles(base, {"median": (r.outcome, 0.5), "p30": (r.outcome, 0.3)})
+    rates = rates.select(F.struct("median", "p30").alias("q")).scalar()
+    median, p30 = rates["median"], rates["p30"]
     route = [r.origin, r.dest]
     out = expanding(
         base, [r.origin, "day_part"], order, {"__part_rate": ("avg", F.when(mine, late))},
@@ -191,7 +191,7 @@ def carrier_profile(df: DataFrame, roles: Roles, order: Sequence[str], carrier:
     )
     out = attach(out, [r.origin, "time_bucket"], {"__bucket_rate": F.avg(late)}, source=base)
     volumes = base.filter(mine).groupBy(r.origin).agg(F.count(F.lit(1)).alias("__v"))
-    cut = volumes.agg(F.percentile_approx("__v", 0.85, accuracy).alias("c")).scalar()
+    cut = discrete_quantiles(volumes, {"c": ("__v", 0.85)}).scalar()
     out = flag_members(out, volumes.filter(F.col("__v") >= cut), r.origin, "is_hub")
     part_rate = F.coalesce("__part_rate", "__place_rate", median)
     out = out.withColumns(

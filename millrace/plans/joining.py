@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from millrace.functions import maths, times
 from millrace.operators import joins, keyed
 from millrace.operators import windows as win
+from millrace.operators.quantiles import discrete_quantiles
 from millrace.plans.registry import query
 from millrace.plans.tables import BARS, LEG_ORDER, LEG_ORDER_SQL, LEGS, bars, legs, table
 from millrace.sources.dims import STATE_ZONES, state_zones
@@ -207,7 +208,7 @@ def resume_unseen(spark, sf):
 def flag_hubs(spark, sf):
     df = legs(spark, sf)
     volume = df.filter("carrier = 'F'").groupBy("origin").agg(F.count(F.lit(1)).alias("n"))
-    cut = volume.agg(F.percentile_approx("n", 0.85, 1_000_000).alias("cut")).scalar()
+    cut = discrete_quantiles(volume, {"cut": ("n", 0.85)}).scalar()
     hubs = volume.filter(F.col("n") >= cut)
     return joins.flag_members(df, hubs, "origin", "is_hub").select("leg_id", "line", "distance", "is_hub")
 

@@ -266,7 +266,7 @@ _IMPUTE = f"""WITH {LEGS}, s AS (SELECT * FROM legs WHERE dest < 10),
 
 @query("impute_cascade", _IMPUTE.replace("s AS (SELECT * FROM legs WHERE dest < 10),\n", ""))
 def impute_cascade(spark, sf):
-    out = clean.impute_readings(legs(spark, sf), ["wind"], Roles(), LEG_ORDER, 1_000_000)
+    out = clean.impute_readings(legs(spark, sf), ["wind"], Roles(), LEG_ORDER)
     return out.select("leg_id", "line", "distance", F.round("wind", 6).alias("wind"))
 
 
@@ -302,8 +302,7 @@ def impute_centred_mean(spark, sf):
     SELECT leg_id, line, distance, coalesce(wind, med) AS wind FROM legs JOIN m ON origin = o AND dest = t""",
 )
 def fill_from_group_median(spark, sf):
-    median = F.percentile_approx("wind", 0.5, 1_000_000)
-    out = clean.fill_from_group(legs(spark, sf), ["origin", "dest"], {"wind": median})
+    out = clean.fill_from_group_median(legs(spark, sf), ["origin", "dest"], ["wind"])
     return out.select("leg_id", "line", "distance", "wind")
 
 

@@ -229,7 +229,7 @@ def group_medians(spark, sf):
     quantile_disc(distance, 0.5) AS distance_median FROM legs""",
 )
 def global_medians(spark, sf):
-    return agg.medians(legs(spark, sf), [], ["minutes", "distance"], 1_000_000)
+    return agg.medians(legs(spark, sf), [], ["minutes", "distance"])
 
 
 _MODE_SQL = f"""WITH {LEGS}, c AS (SELECT {{keys}} sky, count(*) AS n FROM legs WHERE sky IS NOT NULL GROUP BY ALL),

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from millrace.functions import times
 from millrace.operators import features, keyed, ordered
 from millrace.operators import windows as win
+from millrace.operators.quantiles import attach_quantiles, discrete_quantiles
 from millrace.operators.roles import Roles
 from millrace.plans.registry import query
 from millrace.plans.tables import BARS, LEG_ORDER, LEG_ORDER_SQL, LEGS, bars, legs, table
@@ -196,7 +197,7 @@ def expanding_rate_before(spark, sf):
 )
 def shrunk_rate(spark, sf):
     df = legs(spark, sf).withColumn("dow", times.monday_weekday(F.col("day")))
-    p30 = df.agg(F.percentile_approx("late", 0.3, 10000).alias("q")).scalar()
+    p30 = discrete_quantiles(df, {"q": ("late", 0.3)}).scalar()
     return _out(win.shrunk_rate(df, ["origin", "dest", "dow"], "late", p30, 3, "rate"), "rate")
 
 
@@ -247,8 +248,7 @@ def smoothed_rate_ratio(spark, sf):
     SELECT leg_id, line, distance, median FROM legs JOIN m ON origin = o AND dest = t""",
 )
 def median_over_partition(spark, sf):
-    median = F.percentile_approx("minutes", 0.5, 10000)
-    return _out(keyed.attach(legs(spark, sf), ["origin", "dest"], {"median": median}), "median")
+    return _out(attach_quantiles(legs(spark, sf), ["origin", "dest"], {"median": ("minutes", 0.5)}), "median")
 
 
 @query(
@@ -499,7 +499,7 @@ def simple_place_features(spark, sf):
 )
 def extreme_flags_score(spark, sf):
     df = table(spark, sf, "lineitem").withColumn("late", F.when(F.col("l_returnflag") == "R", 1).otherwise(0))
-    flagged = features.extreme_flags(df, ["l_tax", "l_quantity"], ["l_discount"], ["l_extendedprice"], 1_000_000)
+    flagged = features.extreme_flags(df, ["l_tax", "l_quantity"], ["l_discount"], ["l_extendedprice"])
     flags = ["extreme_l_tax", "extreme_l_quantity", "low_l_discount", "extreme_l_extendedprice"]
     out = features.combined_score(flagged, flags, "late", "score")
     return out.select("l_orderkey", "l_linenumber", "l_extendedprice", F.round("score", 6).alias("score"))
@@ -537,7 +537,7 @@ def reading_profile(spark, sf):
 )
 def carrier_profile(spark, sf):
     df = features.clock_columns(legs(spark, sf), Roles())
-    out = features.carrier_profile(df, Roles(), LEG_ORDER, "F", 1_000_000)
+    out = features.carrier_profile(df, Roles(), LEG_ORDER, "F")
     return _out(
         out, "part_rate", "weekday_rate", "aircraft_rate", "is_hub", "schedule_ratio", "bucket_rate", "route_importance", digits=6
     )

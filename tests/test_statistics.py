@@ -138,3 +138,37 @@ def test_bootstrap_in_blocks_against_plain_draws(spark, monkeypatch):
             drawn.append(here[st.drawn_places(b, rep, int(st.draws_of_block(b, 2500, 60, 3, 1000)[rep]), len(here), 3)])
         drawn = np.concatenate(drawn)
         assert len(drawn) == 2500 and got[rep] == pytest.approx((drawn.mean(), drawn.std()), rel=1e-9)
+
+
+def smallest_with_share(values, p):
+    from fractions import Fraction
+
+    values = sorted(v for v in values if v is not None)
+    return values[max(1, -(-Fraction(str(p)) * len(values) // 1)) - 1] if values else None
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_discrete_quantiles_match_brute_force(spark, request, split):
+    """Ties, nulls, a null key, a group without values, a key with most rows; as one window and in pieces."""
+    from millrace.operators.quantiles import attach_quantiles, discrete_quantiles
+
+    if split:
+        request.getfixturevalue("small_groups")
+    rng = np.random.default_rng(8)
+    rows = [(None if k % 7 == 0 else "hot" if k % 3 else f"g{k % 5}", int(rng.integers(200)) if rng.random() < 0.9 else None, float(np.round(rng.normal(), 2))) for k in range(900)]
+    rows += [("none", None, 1.5), ("ten", 1, 0.0), *[("ten", v, 0.0) for v in range(2, 11)]]
+    df = spark.createDataFrame(rows, "g string, a int, b double")
+    wanted = {"a3": ("a", 0.3), "a5": ("a", 0.5), "a0": ("a", 0.0), "b95": ("b", 0.95), "b1": ("b", 1.0)}
+    want = {}
+    for g in {r[0] for r in rows}:
+        want[g] = tuple(smallest_with_share([r["ab".index(c) + 1] for r in rows if r[0] == g], p) for c, p in wanted.values())
+    got = discrete_quantiles(df, wanted, ["g"])
+    assert got.columns == ["g", *wanted] and {r[0]: tuple(r)[1:] for r in got.collect()} == want
+    assert want["ten"][0] == 3 and want["none"][0] is None
+    (one,) = discrete_quantiles(df, wanted).collect()
+    assert tuple(one) == tuple(smallest_with_share([r["ab".index(c) + 1] for r in rows], p) for c, p in wanted.values())
+    each = attach_quantiles(df, ["g"], {"m": ("a", 0.5)}).collect()
+    assert len(each) == len(rows) and all(r["m"] == want[r["g"]][1] for r in each)
+    assert {r["m"] for r in attach_quantiles(df, [], {"m": ("a", 0.5)}).collect()} == {one["a5"]}
+    assert discrete_quantiles(df.limit(0), wanted, ["g"]).count() == 0
+    assert tuple(discrete_quantiles(df.limit(0), wanted).first()) == (None,) * 5
