@@ -63,6 +63,27 @@ def dimension_join(spark, sf):
     return joins.dimension_join(df, state_zones(spark), ["state"])
 
 
+_LOCAL = "day + INTERVAL 1 MINUTE * CAST(hhmm // 100 * 60 + hhmm % 100 AS INTEGER)"
+
+
+@query(
+    "state_local_to_utc",
+    # A local time that the clocks repeat is the earlier one; the SQL engine takes the later.
+    f"WITH {LEGS}, z(state, zone) AS (VALUES "
+    + ", ".join(f"('{s}', '{z}')" for s, z in STATE_ZONES)
+    + f"""), l AS (SELECT leg_id, line, distance, {_LOCAL} AS local, CASE origin % 5 WHEN 0 THEN 'CA' WHEN 1 THEN 'NY' WHEN 2 THEN 'HI'
+      WHEN 3 THEN 'AZ' ELSE 'XX' END AS state FROM legs),
+    u AS (SELECT leg_id, line, distance, l.state, least(timezone(zone, local), timezone(zone, local - INTERVAL 1 HOUR) + INTERVAL 1 HOUR) AS utc
+      FROM l LEFT JOIN z ON l.state = z.state)
+    SELECT leg_id, line, distance, state, CAST(epoch(utc) AS BIGINT) AS utc FROM u""",
+)
+def state_local_to_utc(spark, sf):
+    state = F.element_at(F.array(*[F.lit(s) for s in ("CA", "NY", "HI", "AZ", "XX")]), (F.col("origin") % 5 + 1).cast("int"))
+    df = legs(spark, sf).select("leg_id", "line", "distance", state.alias("state"), times.at_clock(F.col("day"), F.col("hhmm")).alias("local"))
+    out = joins.dimension_join(df, state_zones(spark), ["state"])
+    return out.select("leg_id", "line", "distance", "state", F.unix_timestamp(times.to_utc(F.col("local"), F.col("zone"))).alias("utc"))
+
+
 # Places share a station when their keys agree modulo 10; an event is due 8 hours after it was logged.
 _EVENT_SQL = """e AS (SELECT event_id, user_id AS place, ts + INTERVAL 8 HOUR AS due FROM events WHERE event_type = 'purchase'),
     w AS (SELECT event_id AS reading_id, user_id AS place, ts AS taken, value FROM events WHERE event_type <> 'purchase')"""

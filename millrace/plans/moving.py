@@ -249,6 +249,15 @@ def random_split(spark, sf):
     return sampling.random_split(table(spark, sf, "documents"), {"fit": 0.98, "held": 0.02}, ["doc_id"]).select("doc_id", "part")
 
 
+@query(
+    "train_test_split",
+    f"""WITH u AS (SELECT o_orderkey, {_UNIT.format(key='o_orderkey', seed=42)} AS u FROM orders)
+    SELECT o_orderkey, CASE WHEN u < 0.8 THEN 'train' ELSE 'test' END AS part FROM u""",
+)
+def train_test_split(spark, sf):
+    return sampling.random_split(table(spark, sf, "orders"), {"train": 0.8, "test": 0.2}, ["o_orderkey"]).select("o_orderkey", "part")
+
+
 @query("first_rows", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1000")
 def first_rows(spark, sf):
     df = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
