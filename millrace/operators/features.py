@@ -1,21 +1,23 @@
 """Feature sets built from the window and keyed operators.
 
-A set reads its input several times, once per grouping and each time only the
-columns it needs. Over files that is cheap; an input that is costly to compute
-should be staged first, as ``all_profiles`` does between its sets.
+A set brings the rows of an origin together once; every finer grouping works on
+them where they are. If an origin has too many rows for one task, a set reads its
+input several times, once per grouping and each time only the columns it needs.
+Over files that is cheap; an input that is costly to compute should then be staged
+first, as ``all_profiles`` does between its sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import conditions, maths, times
 from millrace.operators.aggregates import flag_weights
 from millrace.operators.joins import flag_members
-from millrace.operators.keyed import attach
+from millrace.operators.keyed import GATHERED, attach, gather
 from millrace.operators.quantiles import discrete_quantiles
 from millrace.operators.roles import Roles
 from millrace.operators.windows import (
@@ -39,11 +41,18 @@ def place_profile(
     df: DataFrame, roles: Roles, order: Sequence[str], carrier: str, frame: str = "rows", include_current: bool = True
 ) -> DataFrame:
     """Eight features of the origin and the route name."""
-    r, base = roles, df
+    return _place_profile(*gather(df, [roles.origin]), df, roles, order, carrier, frame, include_current)
+
+
+def _place_profile(
+    df: DataFrame, near: str | None, base: DataFrame, roles: Roles, order: Sequence[str], carrier: str,
+    frame: str = "rows", include_current: bool = True,
+) -> DataFrame:
+    r = roles
     mine = F.col(r.carrier) == carrier
     rate = F.when(mine, F.col(r.outcome))
-    sizes = base.select(r.origin, r.dest)
-    out = attach(df, [r.origin, r.day], {"daily_operations": F.count(F.lit(1))})
+    sizes = near or base.select(r.origin, r.dest)
+    out = attach(df, [r.origin, r.day], {"daily_operations": F.count(F.lit(1))}, sizes=near)
     kw = {"frame": frame, "day": r.day, "include_current": include_current, "sizes": sizes}
     out = trailing(
         out, [r.origin], order,
@@ -94,19 +103,29 @@ def clock_columns(df: DataFrame, roles: Roles) -> DataFrame:
 
 def time_profile(df: DataFrame, roles: Roles, order: Sequence[str], mode: str = "row") -> DataFrame:
     """Clock columns, prior-period rate, same-day history and congestion."""
-    r, base = roles, clock_columns(df, roles)
-    out = prior_rate(base, r.origin, r.day, order, r.outcome, "prior_rate", mode, RATE_FALLBACK)
-    out = same_day_so_far(out, r.origin, r.day, order, r.outcome, sizes=base)
+    return _time_profile(*gather(df, [roles.origin]), df, roles, order, mode)
+
+
+def _time_profile(
+    df: DataFrame, near: str | None, source: DataFrame, roles: Roles, order: Sequence[str], mode: str = "row"
+) -> DataFrame:
+    r, base = roles, clock_columns(source, roles)
+    out = prior_rate(clock_columns(df, roles), r.origin, r.day, order, r.outcome, "prior_rate", mode, RATE_FALLBACK, near)
+    out = same_day_so_far(out, r.origin, r.day, order, r.outcome, sizes=near or base)
     if "daily_operations" not in out.columns:
-        out = attach(out, [r.origin, r.day], {"daily_operations": F.count(F.lit(1))}, source=base)
+        out = attach(out, [r.origin, r.day], {"daily_operations": F.count(F.lit(1))}, source=base, sizes=near)
     out = trailing(
         out, [r.origin, "weekday", "dep_hour"], order, {"__usual": ("avg", F.col("daily_operations"))}, 365,
-        include_current=False, sizes=base.select(r.origin, "weekday", "dep_hour"),
+        include_current=False, sizes=near or base.select(r.origin, "weekday", "dep_hour"),
     )
-    # The mean over a place's rows weights each day by its rows, hence the squares.
-    per_day = base.groupBy(r.origin, r.day).agg(F.count(F.lit(1)).cast("double").alias("__n"))
-    mean = F.sum(F.col("__n") * F.col("__n")) / F.sum("__n")
-    out = attach(out, [r.origin], {"__place": mean}, source=per_day)
+    if near is GATHERED:
+        out = attach(out, [r.origin, r.day], {"__n": F.count(F.lit(1))}, sizes=near)
+        out = attach(out, [r.origin], {"__place": F.avg("__n")}, sizes=near).drop("__n")
+    else:
+        # The mean over a place's rows weights each day by its rows, hence the squares.
+        per_day = base.groupBy(r.origin, r.day).agg(F.count(F.lit(1)).cast("double").alias("__n"))
+        mean = F.sum(F.col("__n") * F.col("__n")) / F.sum("__n")
+        out = attach(out, [r.origin], {"__place": mean}, source=per_day)
     out = out.withColumn("usual_operations", F.coalesce("__usual", "__place", F.lit(CAPACITY_FALLBACK)))
     ratio = F.when(F.col("usual_operations") > 0, F.col("daily_operations") / F.col("usual_operations"))
     return out.withColumn("congestion", F.coalesce(ratio, F.lit(1.0))).drop("__usual", "__place")
@@ -116,22 +135,32 @@ def extreme_flags(
     df: DataFrame, high: Sequence[str], low: Sequence[str] = (), both: Sequence[str] = ()
 ) -> DataFrame:
     """Flags of readings beyond the outer quantiles."""
+    return df.withColumns(_extreme(df, high, low, both))
+
+
+def _extreme(
+    df: DataFrame, high: Sequence[str], low: Sequence[str] = (), both: Sequence[str] = ()
+) -> dict[str, Column]:
     wanted = {f"{c}_{k}": (c, p) for c in [*high, *low, *both] for k, p in enumerate(EXTREME_QUANTILES)}
     found = stage(discrete_quantiles(df, wanted)).select(F.struct(*wanted).alias("q")).scalar()
     limits = {c: [found[f"{c}_0"], found[f"{c}_1"]] for c in [*high, *low, *both]}
     flags = {f"extreme_{c}": F.col(c) >= limits[c][1] for c in high}
     flags |= {f"low_{c}": F.col(c) <= limits[c][0] for c in low}
     flags |= {f"extreme_{c}": (F.col(c) <= limits[c][0]) | (F.col(c) >= limits[c][1]) for c in both}
-    return df.withColumns({n: conditions.flag(c) for n, c in flags.items()})
+    return {n: conditions.flag(c) for n, c in flags.items()}
 
 
 def combined_score(df: DataFrame, flags: Sequence[str], target: str, name: str) -> DataFrame:
     """Sum of flags weighted by how much each lifts the target rate."""
+    return df.withColumn(name, _weighted(df, flags, target))
+
+
+def _weighted(df: DataFrame, flags: Sequence[str], target: str) -> Column:
     weights = flag_weights(df, flags, target, RATE_FALLBACK).select(F.struct(*flags).alias("w")).scalar()
     total = F.lit(0.0)
     for f in flags:
         total = total + F.col(f) * weights[f]
-    return df.withColumn(name, total)
+    return total
 
 
 def reading_profile(
@@ -145,15 +174,17 @@ def reading_profile(
     visibility: str,
 ) -> DataFrame:
     """Extreme flags and score, heat index, rolling z-scores, rapid change and seasonal anomaly."""
-    base = extreme_flags(df, high=[precipitation, wind], low=[visibility], both=[temperature])
+    found = _extreme(df, high=[precipitation, wind], low=[visibility], both=[temperature])
     flags = [f"extreme_{precipitation}", f"extreme_{wind}", f"extreme_{temperature}", f"low_{visibility}"]
-    out = combined_score(base, flags, roles.outcome, "extreme_score")
+    score = _weighted(df.withColumns(found), flags, roles.outcome)
+    out, near = gather(df, [roles.origin])
+    out = out.withColumns(found).withColumn("extreme_score", score)
     out = out.withColumn("heat_index", maths.heat_index(F.col(temperature), F.col(humidity)))
-    out = rolling_zscore(out, [roles.origin], order, [temperature, wind], 168, sizes=df)
+    out = rolling_zscore(out, [roles.origin], order, [temperature, wind], 168, sizes=near or df)
     rapid = (F.abs(f"{temperature}_z") > 3) | (F.abs(f"{wind}_z") > 3)
     out = out.withColumns({"rapid_change": conditions.flag(rapid), "__month": F.month(roles.day)})
     months = df.withColumn("__month", F.month(roles.day))
-    out = seasonal_zscore(out, [roles.origin, "__month"], temperature, "seasonal_z", source=months)
+    out = seasonal_zscore(out, [roles.origin, "__month"], temperature, "seasonal_z", source=months, sizes=near)
     return out.drop("__month")
 
 
@@ -162,7 +193,13 @@ def carrier_profile(df: DataFrame, roles: Roles, order: Sequence[str], carrier:
 
     Needs the columns of ``clock_columns``.
     """
-    r, base = roles, df
+    return _carrier_profile(*gather(df, [roles.origin]), df, roles, order, carrier)
+
+
+def _carrier_profile(
+    df: DataFrame, near: str | None, base: DataFrame, roles: Roles, order: Sequence[str], carrier: str
+) -> DataFrame:
+    r = roles
     late, mine = F.col(r.outcome), F.col(r.carrier) == carrier
     overall = base.agg(
         F.struct(
@@ -175,24 +212,28 @@ def carrier_profile(df: DataFrame, roles: Roles, order: Sequence[str], carrier:
     median, p30 = rates["median"], rates["p30"]
     route = [r.origin, r.dest]
     out = expanding(
-        base, [r.origin, "day_part"], order, {"__part_rate": ("avg", F.when(mine, late))},
-        include_current=False, sizes=base.select(r.origin, "day_part"),
+        df, [r.origin, "day_part"], order, {"__part_rate": ("avg", F.when(mine, late))},
+        include_current=False, sizes=near or base.select(r.origin, "day_part"),
     )
     out = trailing(
         out, route, order, {"__usual_time": ("avg", F.col(r.duration))}, 365,
-        include_current=False, sizes=base.select(*route),
+        include_current=False, sizes=near or base.select(*route),
     )
-    out = attach(out, [r.origin], {"__place_rate": F.avg(late)}, source=base)
-    out = attach(out, [*route, "weekday"], {"__dow_late": F.sum(late), "__dow_n": F.count(F.lit(1))}, source=base)
+    out = attach(out, [r.origin], {"__place_rate": F.avg(late)}, source=base, sizes=near)
+    out = attach(out, [*route, "weekday"], {"__dow_late": F.sum(late), "__dow_n": F.count(F.lit(1))}, source=base, sizes=near)
     out = attach(out, [r.tail], {"__tail_rate": F.avg(late)}, source=base)
     out = attach(
         out, route,
-        {"__route_rate": F.avg(late), "__route_n": F.count(F.lit(1)), "__route_d": F.avg(r.distance)}, source=base,
+        {"__route_rate": F.avg(late), "__route_n": F.count(F.lit(1)), "__route_d": F.avg(r.distance)}, source=base, sizes=near,
     )
-    out = attach(out, [r.origin, "time_bucket"], {"__bucket_rate": F.avg(late)}, source=base)
+    out = attach(out, [r.origin, "time_bucket"], {"__bucket_rate": F.avg(late)}, source=base, sizes=near)
     volumes = base.filter(mine).groupBy(r.origin).agg(F.count(F.lit(1)).alias("__v"))
     cut = discrete_quantiles(volumes, {"c": ("__v", 0.85)}).scalar()
-    out = flag_members(out, volumes.filter(F.col("__v") >= cut), r.origin, "is_hub")
+    if near is GATHERED:
+        out = attach(out, [r.origin], {"__v": F.count(F.when(mine, 1))}, sizes=near)
+        out = out.withColumn("is_hub", F.when((F.col("__v") > 0) & (F.col("__v") >= cut), 1).otherwise(0))
+    else:
+        out = flag_members(out, volumes.filter(F.col("__v") >= cut), r.origin, "is_hub")
     part_rate = F.coalesce("__part_rate", "__place_rate", median)
     out = out.withColumns(
         {
@@ -210,6 +251,11 @@ def carrier_profile(df: DataFrame, roles: Roles, order: Sequence[str], carrier:
 
 def all_profiles(df: DataFrame, roles: Roles, order: Sequence[str], carrier: str) -> DataFrame:
     """Place, time and carrier sets in order."""
+    out, near = gather(df, [roles.origin])
+    if near is GATHERED:
+        out = _place_profile(out, near, df, roles, order, carrier)
+        out = _time_profile(out, near, df, roles, order)
+        return _carrier_profile(out, near, clock_columns(df, roles), roles, order, carrier)
     return (
         df.transform(place_profile, roles, order, carrier)
         .transform(stage)
