@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import conditions, maths, times
 from millrace.operators.aggregates import modes
-from millrace.operators.keyed import attach, join_on
+from millrace.operators.keyed import GATHERED, attach, gather, join_on
 from millrace.operators.ordered import bounded
 from millrace.operators.quantiles import attach_quantiles, discrete_quantiles
 from millrace.operators.roles import Roles
@@ -140,20 +140,35 @@ def impute_readings(
     filled values, and a constant by column name. All columns share each window
     and each aggregate.
     """
+    out, near = gather(df, [roles.origin])
+    out = stage(_readings_near(out, near, df, cols, roles, order))  # the last median reads every row; do not run the windows twice
+    return _readings_left(out, cols)
+
+
+def _readings_near(
+    df: DataFrame, near: str | None, source: DataFrame, cols: Sequence[str], roles: Roles, order: Sequence[str]
+) -> DataFrame:
+    """Readings filled from their day, place and month."""
     place, day = roles.origin, roles.day
     mean = lambda c, n: lambda w: F.avg(c).over(w.rowsBetween(-n, 0))
-    sizes = df.select(place, day)
+    sizes = near or source.select(place, day)
     out = bounded(df, [place, day], order, {f"__d_{c}": mean(c, 10) for c in cols}, 10, sizes=sizes)
     out = bounded(out, [place], order, {f"__p_{c}": mean(c, 20) for c in cols}, 20, sizes=sizes)
     out = out.withColumn("__month", F.month(day))
-    months = df.select(place, F.month(day).alias("__month"), *cols)
-    by_month = discrete_quantiles(months, {f"__m_{c}": (c, 0.5) for c in cols}, [place, "__month"])
-    out = join_on(out, by_month, [place, "__month"], "left")
-    out = out.withColumns(
+    wanted = {f"__m_{c}": (c, 0.5) for c in cols}
+    if near is GATHERED:
+        out = attach_quantiles(out, [place, "__month"], wanted, near)
+    else:
+        months = source.select(place, F.month(day).alias("__month"), *cols)
+        out = join_on(out, discrete_quantiles(months, wanted, [place, "__month"]), [place, "__month"], "left")
+    return out.withColumns(
         {c: F.coalesce(c, f"__d_{c}", f"__p_{c}", f"__m_{c}") for c in cols}
     ).select(*df.columns)
-    out = stage(out)  # the median below reads every filled row; do not run the windows twice
-    out = attach_quantiles(out, [], {f"__g_{c}": (c, 0.5) for c in cols})
+
+
+def _readings_left(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Readings still missing from the overall median, then a constant."""
+    out = attach_quantiles(df, [], {f"__g_{c}": (c, 0.5) for c in cols})
     return out.withColumns(
         {c: F.coalesce(c, f"__g_{c}", F.lit(reading_default(c)).cast(df.schema[c].dataType)) for c in cols}
     ).select(*df.columns)
@@ -161,16 +176,28 @@ def impute_readings(
 
 def impute_category(df: DataFrame, col: str, roles: Roles, order: Sequence[str], default: str = CLEAR_SKY) -> DataFrame:
     """Fill a category from the first value in the day's last 10 rows, the month, the overall mode."""
+    out, near = gather(df, [roles.origin])
+    return _category_left(stage(_category_near(out, near, df, col, roles, order)), col, default)
+
+
+def _category_near(
+    df: DataFrame, near: str | None, source: DataFrame, col: str, roles: Roles, order: Sequence[str]
+) -> DataFrame:
+    """A category filled from its day and month."""
     place, day = roles.origin, roles.day
     first = lambda w: F.first(col, ignorenulls=True).over(w.rowsBetween(-10, 0))
-    out = bounded(df, [place, day], order, {"__d": first}, 10, sizes=df.select(place, day))
+    out = bounded(df, [place, day], order, {"__d": first}, 10, sizes=near or source.select(place, day))
     out = out.withColumn("__month", F.month(day))
     in_order = F.when(F.col(col).isNotNull(), F.struct(*order))
-    by_month = df.groupBy(place, F.month(day).alias("__month")).agg(F.min_by(col, in_order).alias("__m"))
-    out = join_on(out, by_month, [place, "__month"], "left")
-    out = stage(out.withColumn(col, F.coalesce(col, "__d", "__m")).select(*df.columns))
-    overall = modes(out, [], col).select(f"{col}_mode").scalar()
-    return out.withColumn(col, F.coalesce(F.col(col), overall, F.lit(default)))
+    months = source.withColumn("__month", F.month(day))
+    out = attach(out, [place, "__month"], {"__m": F.min_by(col, in_order)}, source=months, sizes=near)
+    return out.withColumn(col, F.coalesce(col, "__d", "__m")).select(*df.columns)
+
+
+def _category_left(df: DataFrame, col: str, default: str) -> DataFrame:
+    """A category still missing from the overall mode, then a constant."""
+    overall = modes(df, [], col).select(f"{col}_mode").scalar()
+    return df.withColumn(col, F.coalesce(F.col(col), overall, F.lit(default)))
 
 
 def impute_centred(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str], reach: int = 5) -> DataFrame:
@@ -206,8 +233,15 @@ def clean_pass(
     out = recode_outcome(df, roles.outcome, roles.cancelled)
     out = require(out, critical)
     out = fill_calendar(out, roles.day, calendar or {})
-    out = impute_readings(out, readings, roles, order)
-    out = impute_category(out, sky, roles, order)
+    rows, near = gather(out, [roles.origin])
+    if near is GATHERED and not {*order, roles.day} & set(readings):
+        # nothing the category looks at is a reading: both are filled in one pass and staged once
+        rows = _readings_near(rows, near, out, readings, roles, order)
+        out = stage(_category_near(rows, near, out, sky, roles, order))
+        out = _category_left(_readings_left(out, readings), sky, CLEAR_SKY)
+    else:
+        out = impute_readings(out, readings, roles, order)
+        out = impute_category(out, sky, roles, order)
     out = out.withColumns({c: F.coalesce(c, F.lit(UNKNOWN)) for c in text})
     out = out.withColumns(
         {
