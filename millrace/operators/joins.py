@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from millrace.functions import maths
@@ -137,6 +138,14 @@ def dimension_join(df: DataFrame, dim: DataFrame, on: Sequence[str], how: str =
     return join_on(df, dim, on, how, null_safe=False)
 
 
+def _seconds(time: Column, kinds: set[T.DataType]) -> Column:
+    """Whole seconds: of the clock for times without a zone, else of the epoch."""
+    if kinds == {T.TimestampNTZType()}:
+        clock = F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+        return F.unix_date(F.to_date(time)).cast("long") * 86400 + clock
+    return F.unix_seconds(time)
+
+
 def interval_join(
     events: DataFrame,
     readings: DataFrame,
@@ -152,32 +161,57 @@ def interval_join(
 ) -> DataFrame:
     """Readings of the same key taken between ``event + lo`` and ``event + hi``.
 
-    The range test becomes an equi join on hour buckets. ``cover`` finds every
-    reading in the interval: each reading is copied to the hours of the events
-    it can serve, so events keep one bucket and left rows stay single.
-    ``start`` only looks into the hour that holds ``event + lo``. ``pick`` set
-    to ``latest`` keeps one reading per ``event_id``. Hot (key, hour) groups are
-    salted.
+    The range test becomes an equi join on time buckets. ``cover`` finds every
+    reading in the interval: each reading is copied to the buckets of the events
+    it can serve, so events keep one bucket and left rows stay single. Buckets are
+    hours, or a quarter of a longer interval, so that a reading has six copies at
+    most, however long the interval. ``start`` only looks into the hour that holds
+    ``event + lo``. ``pick`` set to ``latest`` keeps one reading per ``event_id``;
+    with ``cover`` that is the last one up to ``event + hi``, found by a scan in time
+    order without copies, if it lies in the interval. Hot (key, bucket) groups are salted.
     """
     at = F.col(event_time)
     lo, hi = at + F.make_interval(hours=F.lit(lo_hours)), at + F.make_interval(hours=F.lit(hi_hours))
     taken = F.col(reading_time)
+    if pick is not None and (pick != "latest" or not event_id):
+        raise ValueError("pick is 'latest' and needs event_id")
+    if pick and bucket == "cover":
+        out = _last_before(events, readings, keys, hi, lo, reading_time, how)
+        return _latest(out, events, readings, keys, reading_time, event_id)
     if bucket == "start":
         left = events.withColumn("__bucket", F.date_trunc("hour", lo))
         right = readings.withColumn("__bucket", F.date_trunc("hour", taken))
     elif bucket == "cover":
-        first = F.date_trunc("hour", taken - F.make_interval(hours=F.lit(hi_hours)))
-        last = F.date_trunc("hour", taken - F.make_interval(hours=F.lit(lo_hours)))
-        hours = F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))
-        left = events.withColumn("__bucket", F.date_trunc("hour", at))
-        right = readings.withColumn("__bucket", F.explode(hours))
+        width = max(1, -(-(hi_hours - lo_hours) // 4)) * 3600
+        kinds = {events.schema[event_time].dataType, readings.schema[reading_time].dataType}
+        zoned = (lambda t: t) if kinds == {T.TimestampNTZType()} else lambda t: t.cast("timestamp")
+        number = lambda t: F.floor(_seconds(t, kinds) / F.lit(width)).cast("long")
+        first = number(zoned(taken) - F.make_interval(hours=F.lit(hi_hours)))
+        last = number(zoned(taken) - F.make_interval(hours=F.lit(lo_hours)))
+        left = events.withColumn("__bucket", number(zoned(at)))
+        right = readings.withColumn("__bucket", F.explode(F.sequence(first, last)))
     else:
         raise ValueError("bucket is 'start' or 'cover'")
     out = salted_join(left, right, [*keys, "__bucket"], how, taken.between(lo, hi)).drop("__bucket")
-    if pick is None:
-        return out
-    if pick != "latest" or not event_id:
-        raise ValueError("pick is 'latest' and needs event_id")
+    return _latest(out, events, readings, keys, reading_time, event_id) if pick else out
+
+
+def _last_before(
+    events: DataFrame, readings: DataFrame, keys: Sequence[str], hi: Column, lo: Column, reading_time: str, how: str
+) -> DataFrame:
+    """Each event with the last reading of its key up to ``hi``, if that is not before ``lo``."""
+    extra = [c for c in readings.columns if c not in keys]
+    ends = events.withColumns({"__hi": hi, "__lo": lo})
+    found = asof(ends, readings, keys, "__hi", reading_time, extra)
+    inside = F.col(f"matched_{reading_time}") >= F.col("__lo")
+    picked = [F.when(inside, F.col(f"matched_{c}")).alias(c) for c in extra]
+    return found.filter(inside if how == "inner" else F.lit(True)).select(*events.columns, *picked)
+
+
+def _latest(
+    out: DataFrame, events: DataFrame, readings: DataFrame, keys: Sequence[str], reading_time: str, event_id: Sequence[str]
+) -> DataFrame:
+    """The newest paired reading of each event."""
     extra = [c for c in readings.columns if c not in keys]
     newest = F.max_by(F.struct(*extra), F.struct(reading_time, *[c for c in extra if c != reading_time]))
     rest = [c for c in events.columns if c not in event_id]

@@ -49,6 +49,38 @@ def test_interval_join_is_brute_force(spark, events, readings):
     assert matches(joins.interval_join(e, r, ["place"], "due", "taken", how="inner")) == want
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_latest_reading_needs_no_copies(spark, kind, how):
+    events, readings = [at(97 * i) for i in range(25)], [at(-1500 + 61 * (i % 23)) for i in range(40)]
+    e, r = frames(spark, [*events, None], [*readings, None])
+    e, r = e.withColumn("due", F.col("due").cast(kind)), r.withColumn("taken", F.col("taken").cast(kind))
+    out = joins.interval_join(e, r, ["place"], "due", "taken", -24, -2, how, pick="latest", event_id=["id"])
+    want = {(25, None)} if how == "left" else set()
+    for i, a in enumerate(events):
+        near = [(b, j) for j, b in enumerate(readings) if a - dt.timedelta(hours=24) <= b <= a - dt.timedelta(hours=2)]
+        want |= {(i, max(near)[1])} if near else {(i, None)} if how == "left" else set()
+    assert matches(out) == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_long_interval_copies_readings_six_times_at_most(spark, kind):
+    events, readings = [at(97 * i) for i in range(25)], [at(-1500 + 61 * i) for i in range(40)]
+    e, r = frames(spark, events, readings)
+    e, r = e.withColumn("due", F.col("due").cast(kind)), r.withColumn("taken", F.col("taken").cast(kind))
+    asked, join = [], joins.salted_join
+    try:
+        joins.salted_join = lambda left, right, *rest: (asked.append(right), join(left, right, *rest))[1]
+        out = joins.interval_join(e, r, ["place"], "due", "taken", lo_hours=-24, how="inner")
+    finally:
+        joins.salted_join = join
+    want = {(i, j) for i, a in enumerate(events) for j, b in enumerate(readings)
+            if a - dt.timedelta(hours=24) <= b <= a - dt.timedelta(hours=2)}
+    assert matches(out) == want and asked[0].groupBy("rid").count().agg(F.max("count")).first()[0] <= 6
+
+
 def test_interval_join_with_hot_key(small_groups):
     spark = small_groups
     events, readings = [at(i % 55) for i in range(300)], [at(-240 + 7 * i) for i in range(30)]
