@@ -18,6 +18,16 @@ def test_clock_text(spark, hhmm, want):
     assert one(spark, "h string", (hhmm,), times.clock_text(F.col("h"))) == (want,)
 
 
+def test_clock_time_is_that_of_its_text_without_parsing(spark):
+    texts = ["5", "45", "545", "1545", "2359", "2400", "1260", "", "+5", "1 30", "130 ", "-5", "1e2", "12345", None]
+    days = [dt.date(2024, 3, 10), dt.date(2024, 2, 29), dt.date(1, 1, 1), None]
+    df = spark.createDataFrame([(d, h) for d in days for h in texts], "d date, h string").withColumn("at", times.at_clock(F.col("d"), F.col("h")))
+    text = F.concat(F.date_format("d", "yyyy-MM-dd"), F.lit(" "), times.clock_text(F.col("h")), F.lit(":00"))
+    want = F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
+    assert df.filter(~F.col("at").eqNullSafe(want)).isEmpty() and df.filter("at is not null").count() == 3 * 7
+    assert "gettimestamp" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_elapsed_minutes(spark):
     a, b = F.col("a"), F.col("b")
     assert one(spark, "a int, b int", (650, 810), times.elapsed_minutes(a, b), times.elapsed_minutes(a, b, compat=True)) == (80, 120)

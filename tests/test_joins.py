@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions import maths
-from millrace.operators import joins
+from millrace.operators import joins, keyed
 
 T0 = dt.datetime(2024, 1, 1, 10, 0)
 
@@ -81,6 +81,36 @@ def test_long_interval_copies_readings_six_times_at_most(spark, kind):
     assert matches(out) == want and asked[0].groupBy("rid").count().agg(F.max("count")).first()[0] <= 6
 
 
+@pytest.mark.parametrize("kinds", [("timestamp", "timestamp_ntz"), ("timestamp_ntz", "timestamp_ntz"), ("timestamp", "timestamp")])
+@pytest.mark.parametrize("bucket", ["start", "cover"])
+def test_interval_pairs_cost_two_comparisons(spark, kinds, bucket):
+    events, readings = [at(97 * i) for i in range(25)], [at(-300 + 61 * (i % 33)) for i in range(40)]
+    e, r = frames(spark, [*events, None], [*readings, None])
+    e, r = e.withColumn("due", F.col("due").cast(kinds[0])), r.withColumn("taken", F.col("taken").cast(kinds[1]))
+    out = joins.interval_join(e, r, ["place"], "due", "taken", bucket=bucket)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joined = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
+    assert "hours" not in joined and "cast" not in joined, joined
+    want = {(25, None)}
+    for i, a in enumerate(events):
+        lo = a - dt.timedelta(hours=4)
+        end = min(a - dt.timedelta(hours=2), lo.replace(minute=59)) if bucket == "start" else a - dt.timedelta(hours=2)
+        want |= {(i, j) for j, b in enumerate(readings) if lo <= b <= end} or {(i, None)}
+    assert matches(out) == want and out.columns == [*e.columns, "rid", "taken"]
+
+
+def test_interval_join_measures_buckets_of_hot_keys_only(spark):
+    e, r = frames(spark, [at(7 * i) for i in range(20)], [at(-180)])
+    asked, measure = [], keyed.largest_group
+    try:
+        keyed.largest_group = lambda df, keys: (asked.append(list(keys)), measure(df, keys))[1]
+        for limit in (20, 19):
+            keyed.salted_join(e.withColumn("h", F.hour("due")), r.withColumn("h", F.lit(1)), ["place", "h"], limit=limit, coarse=["place"])
+    finally:
+        keyed.largest_group = measure
+    assert asked == [["place"], ["place"], ["place", "h"]]
+
+
 def test_interval_join_with_hot_key(small_groups):
     spark = small_groups
     events, readings = [at(i % 55) for i in range(300)], [at(-240 + 7 * i) for i in range(30)]
