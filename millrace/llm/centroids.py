@@ -40,8 +40,8 @@ LARGE = 1 << 24
 def hadamard(rows: np.ndarray) -> np.ndarray:
     """Walsh-Hadamard transform of every row, in its natural order; twice gives 64 times the row."""
     for half in (1 << k for k in range(DIMENSIONS.bit_length() - 1)):
-        pairs = rows.reshape(len(rows), -1, 2, half)
-        rows = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], axis=2).reshape(len(rows), -1)
+        pairs = rows.reshape(len(rows), DIMENSIONS // (2 * half), 2, half)
+        rows = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], axis=2).reshape(len(rows), DIMENSIONS)
     return rows
 
 
