@@ -219,6 +219,23 @@ def fill_from_group_median(df: DataFrame, keys: Sequence[str], cols: Sequence[st
     return out.withColumns({c: F.coalesce(c, f"__g_{c}") for c in cols}).select(*df.columns)
 
 
+def fill_elapsed(df: DataFrame, elapsed: str, start: str, end: str) -> DataFrame:
+    """Missing elapsed minutes from two HHMM times."""
+    return df.withColumn(elapsed, F.coalesce(F.col(elapsed), times.elapsed_minutes(F.col(start), F.col(end))))
+
+
+def fill_from_station(df: DataFrame, cols: Sequence[str], station: str, order: Sequence[str], default: str = UNKNOWN) -> DataFrame:
+    """Missing texts from the first value of the station, then a constant."""
+    first = {f"__s_{c}": F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))) for c in cols}
+    out = attach(df, [station], first)
+    return out.withColumns({c: F.coalesce(c, f"__s_{c}", F.lit(default)) for c in cols}).select(*df.columns)
+
+
+def _fill_or_add(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Derived columns; those that the rows have already keep their values and are filled."""
+    return df.withColumns({c: F.coalesce(F.col(c), v) if c in df.columns else v for c, v in values.items()})
+
+
 def clean_pass(
     df: DataFrame,
     roles: Roles,
@@ -228,10 +245,25 @@ def clean_pass(
     sky: str,
     calendar: dict[str, str] | None = None,
     text: Sequence[str] = (),
+    arrival: str | None = None,
+    elapsed: str | None = None,
+    station: str | None = None,
+    equipment: Sequence[str] = (),
 ) -> DataFrame:
-    """Full cleaning: outcome, critical columns, calendar, elapsed time, readings, blocks, leftovers."""
+    """Full cleaning: outcome, critical columns, elapsed time, calendar, readings, blocks, times, texts, leftovers.
+
+    Rows without an outcome after recoding go, as do those without a ``critical`` column or the HHMM
+    ``arrival``. ``elapsed`` minutes are filled from departure and arrival; ``equipment`` texts
+    from the first value of their ``station``. Blocks and times that the rows have are filled, others added.
+    """
+    if elapsed and not arrival:
+        raise ValueError("elapsed time needs the arrival")
+    if equipment and not station:
+        raise ValueError("equipment texts need their station")
     out = recode_outcome(df, roles.outcome, roles.cancelled)
-    out = require(out, critical)
+    out = require(out, [*critical, roles.outcome, *([arrival] if arrival else [])])
+    if elapsed:
+        out = fill_elapsed(out, elapsed, roles.hhmm, arrival)
     out = fill_calendar(out, roles.day, calendar or {})
     rows, near = gather(out, [roles.origin])
     if near is GATHERED and not {*order, roles.day} & set(readings):
@@ -242,19 +274,15 @@ def clean_pass(
     else:
         out = impute_readings(out, readings, roles, order)
         out = impute_category(out, sky, roles, order)
+    departs = times.at_clock(F.col(roles.day), F.col(roles.hhmm))
+    blocks = {"dep_block": times.block_label(F.col(roles.hhmm))}
+    if arrival:
+        blocks["arr_block"] = times.block_label(F.col(arrival))
+    clocks = {"departs_at": departs, "four_hours_before": times.shift_hours(departs, -4), "two_hours_before": times.shift_hours(departs, -2)}
+    out = _fill_or_add(out, blocks | clocks)
     out = out.withColumns({c: F.coalesce(c, F.lit(UNKNOWN)) for c in text})
-    out = out.withColumns(
-        {
-            "dep_block": times.block_label(F.col(roles.hhmm)),
-            "departs_at": times.at_clock(F.col(roles.day), F.col(roles.hhmm)),
-        }
-    )
-    out = out.withColumns(
-        {
-            "four_hours_before": times.shift_hours(F.col("departs_at"), -4),
-            "two_hours_before": times.shift_hours(F.col("departs_at"), -2),
-        }
-    )
+    if equipment:
+        out = fill_from_station(out, equipment, station, order)
     return default_nulls(out, roles.day)
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from millrace.functions import conditions
+from millrace.functions import conditions, times
 from millrace.operators import clean, profile
 from millrace.operators.roles import Roles
 from millrace.plans.registry import query
@@ -308,10 +308,21 @@ def fill_from_group_median(spark, sf):
 
 @query("full_cleaning_pass")
 def full_cleaning_pass(spark, sf):
-    df = legs(spark, sf).withColumn("month", F.lit(None).cast("int"))
+    calendar = {"year": "year", "quarter": "quarter", "month": "month", "monthday": "day", "weekday": "weekday"}
+    lands = (times.hhmm_minutes(F.col("hhmm")) + F.col("minutes").cast("int")) % 1440
+    df = legs(spark, sf).withColumns({c: F.lit(None).cast("int") for c in calendar}).withColumns(
+        {
+            "arr_hhmm": (F.floor(lands / F.lit(60)) * 100 + lands % 60).cast("int"),
+            "elapsed": F.when(F.col("leg_id") % 4 != 0, F.col("minutes").cast("int")),
+            "arr_block": F.lit(None).cast("string"),
+            "remark": F.when(F.col("leg_id") % 9 != 0, F.col("carrier")),
+            "station": F.col("origin") % 100,
+            "equipped": F.when(F.col("leg_id") % 7 > 1, F.date_format(F.trunc("day", "year"), "yyyy-MM-dd")),
+        }
+    )
     return clean.clean_pass(
         df, Roles(), LEG_ORDER, ["day", "carrier", "origin", "dest", "hhmm"], ["wind", "temp"], "sky",
-        calendar={"month": "month"},
+        calendar=calendar, text=["remark"], arrival="arr_hhmm", elapsed="elapsed", station="station", equipment=["equipped"],
     )
 
 
