@@ -196,6 +196,15 @@ def _usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def _shuffled(left: DataFrame, right: DataFrame, on: Column | str) -> DataFrame:
+    """Both sides shuffled and sorted, whatever size Spark takes them for.
+
+    An exploded table counts as no larger than the file it was read from, and a file of pairs
+    unpacks to many times its size: either would be broadcast through the driver's memory.
+    """
+    return left.hint("merge").join(right.hint("merge"), on)
+
+
 def _all_pairs(classes: DataFrame, total: int) -> DataFrame:
     """All pairs of a label, each once; the rows of a label are dealt over a task for each ``PART_ROWS``."""
     parts = -(-total // PART_ROWS)
@@ -204,7 +213,7 @@ def _all_pairs(classes: DataFrame, total: int) -> DataFrame:
     met = F.lit(True)
     for c in ("label", "dim", "part"):
         met = met & (F.col(f"x.{c}") == F.col(f"y.{c}"))
-    return x.join(y, met & (F.col("x.class") > F.col("y.class"))).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
+    return _shuffled(x, y, met & (F.col("x.class") > F.col("y.class"))).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
 
 
 def _candidates(codes: DataFrame, chunk: int, tables: int, most: int) -> DataFrame:
@@ -218,7 +227,7 @@ def _candidates(codes: DataFrame, chunk: int, tables: int, most: int) -> DataFra
     probed = codes.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(tables - 1)))).withColumn("f", F.explode(F.sequence(F.lit(-1), F.lit(chunk - 1))))
     own = F.element_at(F.array(*chunks), F.col("t") + 1)
     flipped = F.when(F.col("f") < 0, own).otherwise(own.bitwiseXOR(F.expr("shiftleft(1L, greatest(f, 0))")))
-    probed = probed.withColumn("key", flipped)
+    probed = probed.withColumn("key", flipped + F.expr(f"shiftleft(CAST(t AS BIGINT), {chunk})"))  # one number first to sort by
     x, y = probed.alias("x"), probed.alias("y")
     apart = [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in chunks]
     earlier = F.lit(True)
@@ -226,16 +235,15 @@ def _candidates(codes: DataFrame, chunk: int, tables: int, most: int) -> DataFra
         earlier = earlier & ((F.col("x.t") <= t) | (differing > 2))
     fx, fy = F.col("x.f"), F.col("y.f")
     met = (
-        (F.col("x.label") == F.col("y.label"))
+        (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.label") == F.col("y.label"))
         & (F.col("x.dim") == F.col("y.dim"))
-        & (F.col("x.t") == F.col("y.t"))
-        & (F.col("x.key") == F.col("y.key"))
         & (F.col("x.class") > F.col("y.class"))
         & ((fy < 0) | ((fx >= 0) & (fx < fy)))
         & (sum(apart[1:], apart[0]) <= most)
         & earlier
     )
-    return x.join(y, met).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
+    return _shuffled(x, y, met).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
 
 
 def near_vectors(rows: DataFrame, threshold: float = THRESHOLD, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -271,8 +279,8 @@ def near_vectors(rows: DataFrame, threshold: float = THRESHOLD, sample_rows: int
             _encode(mean, rotation, chunk), "class long, label string, dim int, " + ", ".join(f"c{t} long" for t in range(tables))
         )
         pairs = stage(_candidates(stage(codes), chunk, tables, most))
-    near = pairs.join(classes.select(F.col("class").alias("b"), F.col("embedding").alias("y")), "b")
-    near = near.join(classes.select(F.col("class").alias("a"), F.col("embedding").alias("x")), "a")
+    near = _shuffled(pairs, classes.select(F.col("class").alias("b"), F.col("embedding").alias("y")), "b")
+    near = _shuffled(near, classes.select(F.col("class").alias("a"), F.col("embedding").alias("x")), "a")
     links = stage(near.select("a", "b", "x", "y").mapInArrow(_rerank(threshold), "a long, b long"))
 
     ends = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -128,3 +128,16 @@ def test_all_pairs_where_probing_takes_more(spark):
     rng = np.random.default_rng(5)
     rows = [(k, rounded(np.eye(32)[0] + 0.04 * rng.normal(size=32)), k % 2) for k in range(300)]
     assert result(spark, rows) == brute(rows)
+
+
+def test_exploded_tables_and_pairs_are_not_broadcast(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    planned = []
+    stage = vectors.stage
+    monkeypatch.setattr(vectors, "stage", lambda df: (planned.append(df._jdf.queryExecution().sparkPlan().toString()), stage(df))[1])
+    for n in (60, 400):  # all pairs of a label, probed tables
+        rows = spark.createDataFrame([(k, rounded(rng.normal(size=64)), 1) for k in range(n)], "vec_id long, embedding array<float>, label int")
+        vectors.near_vectors(rows).collect()
+    joins = [p for p in planned if "Join" in p]
+    assert len(joins) >= 4 and sum("Generate explode" in p for p in joins) == 2
+    assert not any("Broadcast" in p for p in joins if "Generate explode" in p or "MapInArrow" in p)
